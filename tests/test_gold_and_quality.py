@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import TESTDATA
+from tests.rows import raw_rows
+from tests.test_silver import trip
+from tripline.contract import GOLD_TRIP_COLUMNS
+from tripline.operators import (
+    QualityError,
+    assert_clean,
+    assert_no_rows,
+    assert_required_columns,
+    avg_passenger_count_by_hour,
+    avg_total_amount_by_month,
+    clean_trips,
+    column_availability,
+    count_by_pickup_month,
+    count_by_source_month,
+    null_profile,
+    reject_profile,
+    trip_facts,
+    violation_profile,
+)
+from tripline.plans.standin import Standin
+
+# What the stand-in must give, per scale factor.
+EXPECTED = {
+    "sf0.001": {
+        "by_source_month": [167, 171, 167, 167, 328],
+        "nulls": (25, 35, 24, 15, 33),
+        "violations": (1000, 58, 21, 32),
+        "by_pickup_month": [131, 126, 125, 126, 126],
+        "avg_total_amount": [51.81, 51.42, 47.20, 51.16, 49.26],
+        "may_hours": 23,
+    },
+    "sf0.01": {
+        "by_source_month": [1667, 1692, 1667, 1667, 3307],
+        "nulls": (244, 345, 233, 150, 336),
+        "violations": (10000, 564, 208, 320),
+        "by_pickup_month": [1279, 1305, 1308, 1310, 1307],
+        "avg_total_amount": [49.57, 52.74, 49.56, 50.54, 48.35],
+        "may_hours": 24,
+    },
+    "sf0.1": {
+        "by_source_month": [16667, 16903, 16666, 16667, 33097],
+        "nulls": (2440, 3449, 2326, 1493, 3351),
+        "violations": (100000, 5639, 2078, 3196),
+        "by_pickup_month": [13032, 13013, 13046, 13053, 13051],
+        "avg_total_amount": [49.70, 49.90, 49.83, 49.41, 49.85],
+        "may_hours": 24,
+    },
+}
+
+
+@pytest.mark.parametrize("sf", sorted(EXPECTED))
+def test_known_results(spark, sf):
+    expected, standin = EXPECTED[sf], Standin.of(spark, str(TESTDATA / sf))
+    raw, silver = standin.raw(), standin.silver()
+    assert [row["count"] for row in count_by_source_month(raw).collect()] == expected["by_source_month"]
+    assert tuple(null_profile(raw).first()) == expected["nulls"]
+    assert tuple(violation_profile(raw).first())[:4] == expected["violations"]
+    by_month = avg_total_amount_by_month(silver).collect()
+    assert [row.trip_count for row in by_month] == expected["by_pickup_month"]
+    assert [row.avg_total_amount for row in by_month] == expected["avg_total_amount"]
+    assert [row["count"] for row in count_by_pickup_month(silver).collect()] == expected["by_pickup_month"]
+    hours = avg_passenger_count_by_hour(silver).collect()
+    assert len(hours) == expected["may_hours"]
+    assert [row.pickup_hour for row in hours] == sorted(row.pickup_hour for row in hours)
+    assert sum(row.trip_count for row in hours) == by_month[4].trip_count
+    kept = {row.rule: row.row_count for row in reject_profile(raw).collect()}["kept"]
+    assert kept == silver.count() == sum(expected["by_pickup_month"])
+    assert_clean(silver)
+
+
+def test_means_are_rounded_half_up_and_ordered(spark):
+    silver = clean_trips(raw_rows(
+        spark,
+        trip("2023-05-01 07:00:00", "2023-05-01 08:00:00") | {"total_amount": 1.005, "passenger_count": 1.0},
+        trip("2023-02-01 07:00:00", "2023-02-01 08:00:00") | {"total_amount": 2.0},
+        trip("2023-05-31 06:00:00", "2023-05-31 08:00:00") | {"total_amount": 1.005, "passenger_count": 2.0},
+        trip("2023-05-31 06:30:00", "2023-05-31 08:00:00") | {"total_amount": 1.005, "passenger_count": 5.0},
+    ))
+    assert [tuple(row) for row in avg_total_amount_by_month(silver).collect()] == [
+        (2023, 2, 2.0, 1), (2023, 5, 1.01, 3)]
+    assert [tuple(row) for row in avg_passenger_count_by_hour(silver).collect()] == [(6, 3.5, 2), (7, 1.0, 1)]
+    assert [tuple(row) for row in avg_passenger_count_by_hour(silver, month=2).collect()] == [(7, 1.0, 1)]
+    assert avg_passenger_count_by_hour(silver, year=2022).count() == 0
+
+
+def test_nan_makes_the_mean_of_its_group_nan(spark):
+    silver = clean_trips(raw_rows(spark, {"total_amount": float("nan")}, {}))
+    row = avg_total_amount_by_month(silver).first()
+    assert math.isnan(row.avg_total_amount) and row.trip_count == 2
+
+
+def test_trip_facts(spark):
+    assert trip_facts(clean_trips(raw_rows(spark, {}))).columns == GOLD_TRIP_COLUMNS
+
+
+def test_profiles_of_an_empty_table(spark):
+    empty = raw_rows(spark, {}).limit(0)
+    assert tuple(violation_profile(empty).first()) == (0, None, None, None, None, None)
+    assert set(null_profile(empty).first()) == {0}
+    assert {row.row_count for row in reject_profile(empty).collect()} == {0}
+    assert avg_total_amount_by_month(clean_trips(empty)).count() == 0
+
+
+def test_missing_columns_are_named(spark):
+    raw = raw_rows(spark, {}, {"VendorID": None}).drop("total_amount")
+    rows = {row.column_name: tuple(row)[1:] for row in column_availability(raw).collect()}
+    assert rows["total_amount"] == (False, 2, 0)
+    assert rows["VendorID"] == (True, 2, 1)
+    with pytest.raises(QualityError, match="total_amount"):
+        assert_required_columns(raw)
+
+
+def test_assertions_name_what_is_wrong(spark):
+    silver = clean_trips(raw_rows(spark, {}))
+    assert_clean(silver)
+    with pytest.raises(QualityError, match="total_amount_not_negative"):
+        assert_clean(silver.withColumn("total_amount", F.lit(-1.0)))
+    with pytest.raises(QualityError, match="months not landed.*7"):
+        assert_no_rows(spark.range(7, 8), "months not landed")
+    assert_no_rows(spark.range(0), "nothing")

@@ -17,7 +17,6 @@ from tripline.contract import (
     TRIP_TYPES,
     as_months,
     landed_path,
-    landed_path_column,
 )
 
 _FOOTER_READS = 16
@@ -30,11 +29,12 @@ def physical_schemas(spark: SparkSession, base: str, year: int, months) -> dict[
     """
     months = as_months(months)
 
+    @inheritable_thread_target(spark)
     def schema_of(month: int) -> T.StructType:
         return spark.read.parquet(landed_path(base, year, month)).schema
 
     with ThreadPoolExecutor(min(_FOOTER_READS, len(months))) as pool:
-        return dict(zip(months, pool.map(inheritable_thread_target(schema_of), months)))
+        return dict(zip(months, pool.map(schema_of, months)))
 
 
 def required_types(schema: T.StructType, file: str) -> T.StructType:
@@ -60,25 +60,31 @@ def read_landing(
     are schemas, not as there are files. Year and month come from the folder names, so a filter on
     ``source_year`` or ``source_month`` leaves the other files unread.
     """
-    paths_by_types: dict[T.StructType, list[str]] = {}
+    months_by_types: dict[T.StructType, list[int]] = {}
     for month, schema in physical_schemas(spark, base, year, months).items():
-        path = landed_path(base, year, month)
         # A StructType is hashed and compared by its fields.
-        paths_by_types.setdefault(required_types(schema, path), []).append(path)
-
-    def scan(types: T.StructType, paths: list[str]) -> DataFrame:
-        with_folders = T.StructType([*types.fields, T.StructField("year", T.IntegerType()),
-                                     T.StructField("month", T.IntegerType())])
-        files = spark.read.option("basePath", base).schema(with_folders).parquet(*paths)
+        types = required_types(schema, landed_path(base, year, month))
+        months_by_types.setdefault(types, []).append(month)
+
+    def scan(types: T.StructType, months: list[int]) -> DataFrame:
+        paths = {month: landed_path(base, year, month) for month in months}
+        folders = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+        files = (
+            spark.read.option("basePath", base)
+            .schema(T.StructType([*types.fields, *folders]))
+            .parquet(*paths.values())
+        )
+        # One constant per file: formatting the path for each row would take longer than reading the row.
+        source_file = F.coalesce(*[F.when(F.col("month") == month, path) for month, path in paths.items()])
         return files.select(
             *typed(TRIP_TYPES),
             F.col("year").alias("source_year"),
             F.col("month").alias("source_month"),
-            landed_path_column(base, F.col("year"), F.col("month")).alias("source_file"),
+            source_file.alias("source_file"),
             F.current_timestamp().alias("raw_loaded_at"),
         )
 
-    scans = [scan(types, paths) for types, paths in paths_by_types.items()]
+    scans = [scan(types, found) for types, found in months_by_types.items()]
     return reduce(DataFrame.unionByName, scans)
 
 
