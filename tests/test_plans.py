@@ -1,0 +1,106 @@
+"""The physical plans that hold at scale: what is read, what is pruned and what is shuffled."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tripline.operators import (
+    avg_passenger_count_by_hour,
+    avg_total_amount_by_month,
+    clean_trips,
+    gather_strays,
+    null_profile,
+    reject_profile,
+    violation_profile,
+)
+from tripline.plans.standin import Standin
+from tripline.plans.tables import _OPEN_FILES, _settings
+from tripline.sources import read_landing
+
+
+@pytest.fixture(scope="module")
+def standin(spark):
+    return Standin.of(spark, "/root/testdata/sf0.001")
+
+
+def explained(df, mode: str) -> str:
+    modes = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return df._jdf.queryExecution().explainString(modes.fromString(mode))
+
+
+def plan(df) -> str:
+    return explained(df, "simple")
+
+
+def formatted(df) -> str:
+    return explained(df, "formatted")
+
+
+def times(pattern: str, text: str) -> int:
+    return len(re.findall(pattern, text))
+
+
+def test_landing_has_one_scan_per_schema_not_per_file(spark, standin):
+    raw = read_landing(spark, standin.landing)
+    assert times("FileScan parquet", plan(raw)) == 2
+    assert times("Exchange", plan(raw)) == 0
+
+
+def test_landing_reads_only_asked_columns_and_months(spark, standin):
+    chosen = plan(read_landing(spark, standin.landing).where("source_month = 2").select("total_amount"))
+    assert times("FileScan parquet", chosen) == times(r"ReadSchema: struct<total_amount:double>", chosen)
+    assert times(r"PartitionFilters: \[isnotnull\(month#\d+\), \(month#\d+ = 2\)\]", chosen) >= 1
+    assert "event_type" not in plan(read_landing(spark, standin.landing))
+
+
+def test_cleaning_is_one_stage_with_its_rules_at_the_scan(standin):
+    cleaned = plan(clean_trips(standin.raw()))
+    assert times("FileScan parquet", cleaned) == 1
+    assert times(r"\bFilter ", cleaned) == 1
+    assert times("Exchange|Python|try_cast", cleaned) == 0
+    for pushed in (
+        "GreaterThanOrEqual(tpep_pickup_datetime,2023-01-01 00:00:00.0)",
+        "LessThan(tpep_pickup_datetime,2023-06-01 00:00:00.0)",
+        "GreaterThan(passenger_count,0.0)",
+        "GreaterThanOrEqual(total_amount,0.0)",
+        "IsNotNull(VendorID)",
+    ):
+        assert pushed in formatted(clean_trips(standin.raw()))
+
+
+def test_only_strays_are_shuffled_before_the_silver_write(standin):
+    gathered = plan(gather_strays(clean_trips(standin.raw())))
+    assert times("Exchange", gathered) == 1
+    assert "REBALANCE_PARTITIONS_BY_COL" in gathered
+    # The first branch, down to its scan, is the rows at home.
+    assert "Exchange" not in gathered.split("FileScan parquet")[0]
+
+
+def test_silver_write_does_not_sort(spark, standin):
+    silver = standin.lake.table("silver")
+    standin.silver()
+    insert = f"EXPLAIN INSERT INTO {silver} SELECT * FROM {silver}"
+    with _settings(spark, spark__sql__maxConcurrentOutputFileWriters=_OPEN_FILES):
+        assert "Sort [" not in spark.sql(insert).first()[0]
+    assert "Sort [" in spark.sql(insert).first()[0]
+
+
+def test_hourly_question_reads_one_month(standin):
+    hourly = avg_passenger_count_by_hour(standin.silver())
+    assert re.search(r"PartitionFilters: \[.*pickup_year#\d+ = 2023.*pickup_month#\d+ = 5", formatted(hourly))
+    assert "ReadSchema: struct<passenger_count:double,pickup_hour:int>" in formatted(hourly)
+    files = standin.silver().where("pickup_year = 2023 AND pickup_month = 5").inputFiles()
+    assert all("pickup_month=5" in file for file in files)
+
+
+def test_monthly_question_reads_one_column_and_sums_before_it_shuffles(standin):
+    monthly = plan(avg_total_amount_by_month(standin.silver()))
+    assert "ReadSchema: struct<total_amount:double>" in formatted(avg_total_amount_by_month(standin.silver()))
+    assert monthly.index("Exchange hashpartitioning") < monthly.index("partial_avg")
+
+
+@pytest.mark.parametrize("profile", [null_profile, violation_profile, reject_profile])
+def test_profiles_take_one_pass(standin, profile):
+    assert times("FileScan parquet", plan(profile(standin.raw()))) == 1

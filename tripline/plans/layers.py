@@ -46,7 +46,14 @@ def create_raw(
 ) -> DataFrame:
     """Landing files to the raw table. A scan task reads one month's file, so no shuffle comes before the write."""
     landed = read_landing(spark, landing_base, year, months)
-    return write_table(landed, lake, "raw", mode, RAW_PARTITIONS)
+    raw = write_table(landed, lake, "raw", mode, RAW_PARTITIONS)
+    if mode == OVERWRITE_PARTITIONS:
+        # Row counts come from the files' footers.
+        held = {tuple(row) for row in landed.select(*RAW_PARTITIONS).distinct().collect()}
+        empty = {(year, month) for month in as_months(months)} - held
+        drop_partitions(spark, lake, "raw", [dict(zip(RAW_PARTITIONS, key)) for key in sorted(empty)])
+        raw = spark.table(lake.table("raw"))
+    return raw
 
 
 def create_silver(
@@ -127,7 +134,7 @@ def replace_months(
     gone = before - after
     if gone:
         gone -= _pickup_months(clean_trips(raw.where(_picked_up_in(gone)), period))
-        drop_partitions(spark, silver_name, [dict(zip(SILVER_PARTITIONS, key)) for key in sorted(gone)])
+        drop_partitions(spark, lake, "silver", [dict(zip(SILVER_PARTITIONS, key)) for key in sorted(gone)])
     return spark.table(silver_name)
 
 

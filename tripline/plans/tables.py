@@ -81,7 +81,12 @@ def layer_tables(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     )
 
 
-def drop_partitions(spark: SparkSession, name: str, keys: list[dict[str, int]]) -> None:
+def drop_partitions(spark: SparkSession, lake: Lakehouse, layer: str, keys: list[dict[str, int]]) -> None:
+    """Remove partitions that a new load has no rows for, which overwriting by partition leaves as they were."""
+    name = lake.table(layer)
     for key in keys:
-        spec = ", ".join(f"{column} = {value}" for column, value in key.items())
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        tests = [f"{column} = {value}" for column, value in key.items()]
+        if lake.storage == "delta":
+            spark.sql(f"DELETE FROM {name} WHERE {' AND '.join(tests)}")
+        else:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({', '.join(tests)})")

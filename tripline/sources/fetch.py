@@ -78,9 +78,9 @@ def land_files(
     spark = files.sparkSession
     checkpoint_root(spark)
     run = uuid4().hex
-    inspect = F.udf(transfer.inspect, _INSPECTED).asNondeterministic()
-    copy_range = F.udf(transfer.copy_range, _COPIED).asNondeterministic()
-    publish = F.udf(transfer.publish, _PUBLISHED).asNondeterministic()
+    inspect = F.udf(transfer.inspect, _INSPECTED, useArrow=False).asNondeterministic()
+    copy_range = F.udf(transfer.copy_range, _COPIED, useArrow=False).asNondeterministic()
+    publish = F.udf(transfer.publish, _PUBLISHED, useArrow=False).asNondeterministic()
 
     prefix, replacement = mount
     path = F.col("landing_path")
