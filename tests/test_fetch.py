@@ -8,7 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripline.contract import landed_path
-from tripline.sources import append_manifest, failed_files, land_files, landing_files, manifest_latest, transfer
+from tripline.sources import (
+    append_manifest,
+    failed_files,
+    ingest_landing,
+    land_files,
+    landing_files,
+    manifest_latest,
+    transfer,
+)
 
 CONTENT = {1: b"a" * 10, 2: b"bc" * 50_000, 3: b""}
 
@@ -95,7 +103,8 @@ def test_mounted_landing_path(spark, published, tmp_path):
 def test_manifest_grows_and_knows_the_last_attempt(spark, published, tmp_path):
     base, history = tmp_path / "landing", str(tmp_path / "manifest")
     for months in ([1, 6], [1, 6]):
-        append_manifest(land_files(landing_files(spark, str(published), str(base), 2023, months)), history)
+        attempts = ingest_landing(spark, str(published), str(base), 2023, months, manifest_path=history)
+        assert attempts.count() == 2
     (published / "yellow_tripdata_2023-06.parquet").write_bytes(b"late")
     append_manifest(land_files(landing_files(spark, str(published), str(base), 2023, [6])), history)
     manifest = spark.read.parquet(history)

@@ -6,25 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripline.contract import Lakehouse
 
-_MONTHLY = """
-    SELECT pickup_year, pickup_month, avg_total_amount, trip_count
-    FROM IDENTIFIER(:gold) ORDER BY pickup_year, pickup_month
-"""
-_HOURLY = """
-    SELECT pickup_hour, avg_passenger_count, trip_count
-    FROM IDENTIFIER(:gold) ORDER BY pickup_hour
-"""
-_SAMPLE = "SELECT * FROM IDENTIFIER(:gold) LIMIT 100"
-
 
 def answer_avg_total_amount_by_month(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> DataFrame:
-    return spark.sql(_MONTHLY, args={"gold": lake.table("gold_monthly")})
+    return spark.sql(f"""
+        SELECT pickup_year, pickup_month, avg_total_amount, trip_count
+        FROM {lake.table("gold_monthly")} ORDER BY pickup_year, pickup_month""")
 
 
 def answer_avg_passenger_count_by_hour(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> DataFrame:
-    return spark.sql(_HOURLY, args={"gold": lake.table("gold_hourly")})
+    return spark.sql(f"""
+        SELECT pickup_hour, avg_passenger_count, trip_count
+        FROM {lake.table("gold_hourly")} ORDER BY pickup_hour""")
 
 
-def first_trips(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> DataFrame:
-    """Any 100 trips, in the table's column order."""
-    return spark.sql(_SAMPLE, args={"gold": lake.table("gold_trips")})
+def first_trips(spark: SparkSession, lake: Lakehouse = Lakehouse(), rows: int = 100) -> DataFrame:
+    """Any ``rows`` trips, in the table's column order."""
+    return spark.sql(f"SELECT * FROM {lake.table('gold_trips')} LIMIT {int(rows)}")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.contract import Lakehouse
+from tripline.sources.local import local_table
 
 OVERWRITE_PARTITIONS = "overwrite_partitions"
 
@@ -73,7 +74,7 @@ def write_table(
 
 def layer_tables(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     """The five tables of the layers, and whether the catalog has them."""
-    expected = spark.createDataFrame([(name,) for name in lake.table_names()], "table_name string")
+    expected = local_table(spark, "table_name string", [(name,) for name in lake.table_names()])
     listed = spark.sql(f"SHOW TABLES IN {lake.database}").select(F.col("tableName").alias("table_name"))
     found = listed.withColumn("listed", F.lit(True))
     return expected.join(found, "table_name", "left").select(

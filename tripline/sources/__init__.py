@@ -3,6 +3,7 @@
 from tripline.sources.fetch import (
     append_manifest,
     failed_files,
+    ingest_landing,
     land_files,
     landing_files,
     manifest_latest,
@@ -20,6 +21,7 @@ from tripline.sources.landing import (
 __all__ = [
     "append_manifest",
     "failed_files",
+    "ingest_landing",
     "land_files",
     "landing_files",
     "landing_inventory",

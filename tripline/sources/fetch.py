@@ -146,6 +146,24 @@ def append_manifest(manifest: DataFrame, path: str) -> None:
     manifest.select(*columns).coalesce(1).write.mode("append").parquet(path)
 
 
+def ingest_landing(
+    spark: SparkSession,
+    published_base: str,
+    landing_base: str,
+    year: int = DEFAULT_YEAR,
+    months=DEFAULT_MONTHS,
+    overwrite: bool = False,
+    manifest_path: str | None = None,
+    mount: tuple[str, str] = ("file:", ""),
+) -> DataFrame:
+    """Fetch the months into the landing area, add the attempts to the manifest, and return them."""
+    files = landing_files(spark, published_base, landing_base, year, months)
+    manifest = land_files(files, overwrite, mount)
+    if manifest_path is not None:
+        append_manifest(manifest, manifest_path)
+    return manifest
+
+
 def manifest_latest(manifest: DataFrame) -> DataFrame:
     """The last attempt at each monthly file."""
     others = [name for name in MANIFEST_TYPES if name not in ("year", "month")]

@@ -18,6 +18,7 @@ from tripline.contract import (
     as_months,
     landed_path,
 )
+from tripline.sources.local import local_table
 
 _FOOTER_READS = 16
 
@@ -111,7 +112,7 @@ def landing_inventory(spark: SparkSession, base: str) -> DataFrame:
 
 def expected_months(spark: SparkSession, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS) -> DataFrame:
     """One row per month that should have been landed."""
-    return spark.createDataFrame([(year, month) for month in as_months(months)], "year int, month int")
+    return local_table(spark, "year int, month int", [(year, month) for month in as_months(months)])
 
 
 def missing_months(
@@ -132,9 +133,7 @@ def landing_types(
         for month, schema in physical_schemas(spark, base, year, months).items()
         for field in schema
     ]
-    return spark.createDataFrame(
-        rows, "source_year int, source_month int, column_name string, data_type string"
-    )
+    return local_table(spark, "source_year int, source_month int, column_name string, data_type string", rows)
 
 
 def schema_drift(
