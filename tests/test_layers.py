@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from uuid import uuid4
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,11 @@ def test_gold_trips_as_a_view(spark, landed, lake):
     view = create_gold(spark, lake=lake, trips_as="view")["gold_trips_df"]
     assert view.columns == GOLD_TRIP_COLUMNS and view.count() == 634
     assert layer_tables(spark, lake).where("is_present").count() == 5
+    create_gold(spark, lake=lake, trips_as="view")
+    table = create_gold(spark, lake=lake, trips_as="table")["gold_trips_df"]
+    assert table.columns == GOLD_TRIP_COLUMNS and table.count() == 634
+    with pytest.raises(Exception, match="VIEW|view"):
+        create_gold(spark, lake=lake, trips_as="view")
     with pytest.raises(ValueError, match="trips_as"):
         create_gold(spark, lake=lake, trips_as="stream")
 
@@ -202,3 +208,15 @@ def test_reloading_a_file_that_became_empty_empties_its_month(spark, tmp_path, l
     raw_rows(spark, april).select(*columns).limit(0).write.parquet(landed_path(str(tmp_path / "new"), 2023, 4))
     assert months_of(replace_months(spark, str(tmp_path / "new"), [4], lake=lake)) == {(2023, 3): 1}
     assert spark.table(lake.table("raw")).count() == 1
+
+
+def test_database_in_the_warehouse(spark, landed):
+    lake = Lakehouse(database=f"test_{uuid4().hex}")
+    assert create_raw(spark, landed, months=[1], lake=lake).count() == 167
+
+
+def test_stored_timestamps_have_statistics(spark, landed, lake):
+    raw = create_raw(spark, landed, months=[1], lake=lake)
+    file = pq.ParquetFile(raw.inputFiles()[0].removeprefix("file://").replace("%20", " ").replace("%27", "'"))
+    pickup = file.metadata.row_group(0).column(file.schema_arrow.names.index(PICKUP))
+    assert pickup.physical_type == "INT64" and pickup.statistics.has_min_max

@@ -38,6 +38,8 @@ def gather_strays(silver: DataFrame) -> DataFrame:
     month and can write it as it is. Only the strays, which would leave a small file per task and month, are
     shuffled together; the rebalance hint splits a month that is too large for one task.
     """
-    at_home = (F.col("pickup_year") == F.col("source_year")) & (F.col("pickup_month") == F.col("source_month"))
+    at_home = F.col("pickup_year").eqNullSafe(F.col("source_year")) & F.col("pickup_month").eqNullSafe(
+        F.col("source_month")
+    )
     strays = silver.where(~at_home).hint("rebalance", "pickup_year", "pickup_month")
     return silver.where(at_home).unionByName(strays)

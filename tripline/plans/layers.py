@@ -163,6 +163,7 @@ def create_all(
     months=DEFAULT_MONTHS,
     lake: Lakehouse = Lakehouse(),
     period: Period = Period(),
+    hourly_month: tuple[int, int] = (2023, 5),
     trips_as: str = "table",
 ) -> dict[str, DataFrame]:
     """Raw, silver and gold in turn, each checked before the next one builds on it."""
@@ -171,6 +172,6 @@ def create_all(
     assert_required_columns(raw)
     silver = create_silver(spark, lake=lake, period=period)
     assert_clean(silver, period)
-    gold = create_gold(spark, lake=lake, trips_as=trips_as)
+    gold = create_gold(spark, "overwrite", lake, *hourly_month, trips_as)
     assert_no_rows(layer_tables(spark, lake).where("NOT is_present"), "tables missing from the catalog")
     return {"raw_df": raw, "silver_df": silver, **gold}

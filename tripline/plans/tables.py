@@ -17,6 +17,10 @@ OVERWRITE_PARTITIONS = "overwrite_partitions"
 # instead of sorting its rows by month first.
 _OPEN_FILES = "8"
 
+# Eight bytes with statistics, which a range of pickups can be tested against. Spark's default for Parquet is a
+# legacy type of twelve bytes without usable statistics.
+_TIMESTAMPS = "TIMESTAMP_MICROS"
+
 
 @contextmanager
 def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
@@ -57,6 +61,7 @@ def write_table(
     with _settings(
         spark,
         spark__sql__maxConcurrentOutputFileWriters=_OPEN_FILES,
+        spark__sql__parquet__outputTimestampType=_TIMESTAMPS,
         spark__sql__sources__partitionOverwriteMode="dynamic",
     ):
         if mode == OVERWRITE_PARTITIONS and spark.catalog.tableExists(name):
@@ -75,9 +80,12 @@ def write_table(
 def layer_tables(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     """The five tables of the layers, and whether the catalog has them."""
     expected = local_table(spark, "table_name string", [(name,) for name in lake.table_names()])
-    listed = spark.sql(f"SHOW TABLES IN {lake.database}").select(F.col("tableName").alias("table_name"))
-    found = listed.withColumn("listed", F.lit(True))
-    return expected.join(found, "table_name", "left").select(
+    listed = (
+        spark.sql(f"SHOW TABLES IN {lake.database}")
+        .where("NOT isTemporary")
+        .select(F.col("tableName").alias("table_name"), F.lit(True).alias("listed"))
+    )
+    return expected.join(listed, "table_name", "left").select(
         "table_name", F.coalesce("listed", F.lit(False)).alias("is_present")
     )
 
