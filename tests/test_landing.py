@@ -10,6 +10,7 @@ from tripline.plans.standin import Standin
 from tripline.sources import (
     landing_inventory,
     landing_types,
+    missing_landing_columns,
     missing_months,
     physical_schemas,
     read_landing,
@@ -78,6 +79,8 @@ def test_missing_file_and_missing_column(spark, landed, tmp_path):
         landed_path(str(tmp_path), 2023, 1))
     with pytest.raises(ValueError, match="total_amount.*2023-01"):
         read_landing(spark, str(tmp_path), 2023, [1])
+    assert missing_landing_columns(spark, str(tmp_path), 2023, [1]).collect() == [(2023, 1, "total_amount")]
+    assert missing_landing_columns(spark, landed).count() == 0
 
 
 @pytest.mark.parametrize("months", [[], [1, 1], ["01", 1], [0], [13]])

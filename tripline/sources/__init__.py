@@ -11,6 +11,7 @@ from tripline.sources.fetch import (
 from tripline.sources.landing import (
     landing_inventory,
     landing_types,
+    missing_landing_columns,
     missing_months,
     physical_schemas,
     read_landing,
@@ -27,6 +28,7 @@ __all__ = [
     "landing_inventory",
     "landing_types",
     "manifest_latest",
+    "missing_landing_columns",
     "missing_months",
     "physical_schemas",
     "read_landing",

@@ -136,6 +136,18 @@ def landing_types(
     return local_table(spark, "source_year int, source_month int, column_name string, data_type string", rows)
 
 
+def missing_landing_columns(
+    spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
+) -> DataFrame:
+    """Required columns that a monthly file lacks; upper and lower case are the same to a reader."""
+    required = F.explode(F.array(*map(F.lit, TRIP_COLUMNS))).alias("column_name")
+    wanted = expected_months(spark, year, months).select("year", "month", required).alias("wanted")
+    held = landing_types(spark, base, year, months).alias("held")
+    same_file = (F.col("year") == F.col("source_year")) & (F.col("month") == F.col("source_month"))
+    same_name = F.lower("wanted.column_name") == F.lower("held.column_name")
+    return wanted.join(held, same_file & same_name, "left_anti")
+
+
 def schema_drift(
     spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
 ) -> DataFrame:
