@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import io
 import os
+import tempfile
 from urllib.error import HTTPError
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripline.contract import landed_path
@@ -197,3 +200,38 @@ def test_web_source_that_is_not_there(tmp_path, monkeypatch):
     monkeypatch.setattr(transfer.urllib.request, "urlopen", Web(b"", True, True))
     *_, parts, error = transfer.inspect("https://data.example.org/other", str(tmp_path / "target"), False)
     assert parts == [] and error.startswith("HTTPError: HTTP Error 404")
+
+
+def test_local_paths():
+    assert transfer.local_path("/data/a%20b#c?d") == "/data/a%20b#c?d"
+    assert transfer.local_path("file:///data/a%20b") == "/data/a b"
+    assert transfer.local_path("https://data.example.org/file") is None
+
+
+def test_odd_names_of_parts(tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    (folder / "part 100%25.parquet").write_bytes(b"xyz")
+    url, staged = folder.as_uri(), str(tmp_path / ".staged")
+    _, _, [(part, size, _)], error = transfer.inspect(url, str(tmp_path / "target"), False)
+    assert (part, size, error) == ("part 100%25.parquet", 3, None)
+    assert transfer.copy_range(url, part, staged, 0, 3) == (3, None)
+    assert transfer.publish(str(tmp_path / "target"), staged, False, 3, None)[0] == "success"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=200), st.integers(1, 60), st.randoms())
+def test_ranges_in_any_order_make_the_file(content, step, random):
+    with tempfile.TemporaryDirectory() as folder:
+        source, staged = os.path.join(folder, "source"), os.path.join(folder, "to", ".staged")
+        with open(source, "wb") as file:
+            file.write(content)
+        offsets = list(range(0, max(len(content), 1), step))
+        random.shuffle(offsets)
+        for offset in offsets + offsets[:1]:
+            length = min(step, len(content) - offset)
+            assert transfer.copy_range(source, "", staged, offset, length) == (length, None)
+        target = os.path.join(folder, "to", "target")
+        assert transfer.publish(target, staged, False, len(content), None)[:2] == ("success", len(content))
+        with open(target, "rb") as file:
+            assert file.read() == content

@@ -220,3 +220,10 @@ def test_stored_timestamps_have_statistics(spark, landed, lake):
     file = pq.ParquetFile(raw.inputFiles()[0].removeprefix("file://").replace("%20", " ").replace("%27", "'"))
     pickup = file.metadata.row_group(0).column(file.schema_arrow.names.index(PICKUP))
     assert pickup.physical_type == "INT64" and pickup.statistics.has_min_max
+
+
+def test_other_storage_format(spark, landed, tmp_path):
+    lake = Lakehouse(database=f"test_{uuid4().hex}", location=str(tmp_path), storage="orc")
+    create_raw(spark, landed, lake=lake)
+    assert sum(months_of(create_silver(spark, lake=lake)).values()) == 634
+    assert sum(months_of(replace_months(spark, landed, [5], lake=lake)).values()) == 634

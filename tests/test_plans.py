@@ -16,7 +16,7 @@ from tripline.operators import (
     violation_profile,
 )
 from tripline.plans.standin import Standin
-from tripline.plans.tables import _OPEN_FILES, _settings
+from tripline.plans.tables import write_settings
 from tripline.sources import read_landing
 
 
@@ -82,7 +82,7 @@ def test_silver_write_does_not_sort(spark, standin):
     silver = standin.lake.table("silver")
     standin.silver()
     insert = f"EXPLAIN INSERT INTO {silver} SELECT * FROM {silver}"
-    with _settings(spark, spark__sql__maxConcurrentOutputFileWriters=_OPEN_FILES):
+    with write_settings(spark):
         assert "Sort [" not in spark.sql(insert).first()[0]
     assert "Sort [" in spark.sql(insert).first()[0]
 

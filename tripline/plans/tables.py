@@ -13,21 +13,22 @@ from tripline.sources.local import local_table
 
 OVERWRITE_PARTITIONS = "overwrite_partitions"
 
-# A task that writes by month meets only a few months, so it can keep their files open side by side
-# instead of sorting its rows by month first.
-_OPEN_FILES = "8"
-
-# Eight bytes with statistics, which a range of pickups can be tested against. Spark's default for Parquet is a
-# legacy type of twelve bytes without usable statistics.
-_TIMESTAMPS = "TIMESTAMP_MICROS"
+_WRITE_SETTINGS = {
+    # A task that writes by month meets only a few months, so it can keep their files open side by side
+    # instead of sorting its rows by month first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Eight bytes with statistics, which a range of pickups can be tested against. Spark's default for Parquet
+    # is a legacy type of twelve bytes without usable statistics.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
 
 
 @contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Session settings for the length of one write."""
-    keys = {name.replace("__", "."): value for name, value in values.items()}
-    before = {key: spark.conf.get(key, None) for key in keys}
-    for key, value in keys.items():
+def write_settings(spark: SparkSession) -> Iterator[None]:
+    """The session settings of a table write, for the length of one."""
+    before = {key: spark.conf.get(key, None) for key in _WRITE_SETTINGS}
+    for key, value in _WRITE_SETTINGS.items():
         spark.conf.set(key, value)
     try:
         yield
@@ -58,12 +59,7 @@ def write_table(
     spark = df.sparkSession
     name = lake.table(layer)
     ensure_database(spark, lake)
-    with _settings(
-        spark,
-        spark__sql__maxConcurrentOutputFileWriters=_OPEN_FILES,
-        spark__sql__parquet__outputTimestampType=_TIMESTAMPS,
-        spark__sql__sources__partitionOverwriteMode="dynamic",
-    ):
+    with write_settings(spark):
         if mode == OVERWRITE_PARTITIONS and spark.catalog.tableExists(name):
             # insertInto goes by position, and a stored table has its partition columns last.
             df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)

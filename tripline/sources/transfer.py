@@ -23,7 +23,9 @@ def utc_now() -> str:
 def local_path(url: str) -> str | None:
     """The file system path behind a ``file:`` address or a plain path, else None."""
     parts = urlsplit(url)
-    return unquote(parts.path) if parts.scheme in ("", "file") else None
+    if parts.scheme == "file":
+        return unquote(parts.path)
+    return None if parts.scheme else url
 
 
 def _describe(error: Exception) -> str:
@@ -64,10 +66,10 @@ def inspect(url: str, target: str, overwrite: bool):
         return started, False, [], _describe(error)
 
 
-def _open_range(url: str, offset: int, length: int):
+def _open_range(url: str, part: str, offset: int, length: int):
     path = local_path(url)
     if path is not None:
-        source = open(path, "rb")
+        source = open(os.path.join(path, part) if part else path, "rb")
         source.seek(offset)
         return source
     headers = dict(_HEADERS)
@@ -83,14 +85,13 @@ def _open_range(url: str, offset: int, length: int):
 def copy_range(url: str, part: str, staged: str, offset: int, length: int):
     """Copy ``length`` bytes (all that follow, if negative); returns (bytes copied, error)."""
     try:
-        source_url = os.path.join(url, part) if part else url
         target = os.path.join(staged, part) if part else staged
         os.makedirs(os.path.dirname(target), exist_ok=True)
         copied = 0
         if length == 0:
             open(target, "ab").close()
             return 0, None
-        with _open_range(source_url, offset, length) as source:
+        with _open_range(url, part, offset, length) as source:
             with open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as output:
                 output.seek(offset)
                 while length < 0 or copied < length:
