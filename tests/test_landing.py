@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tripline.sources import (
     read_month,
     schema_drift,
 )
+from tripline.sources.scratch import checkpoint_root, new_folder
 
 RAW_TYPES = [
     ("VendorID", "int"), ("passenger_count", "double"), ("total_amount", "double"),
@@ -105,3 +108,16 @@ def test_schema_drift(spark, landed):
     ]
     assert schema_drift(spark, landed, months=[2, 3]).count() == 0
     assert landing_types(spark, landed, months=[1]).count() == len(physical_schemas(spark, landed, 2023, [1])[1])
+
+
+def test_checkpoint_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_root(spark) == named
+    assert new_folder(spark, "landing").startswith(f"{named}/landing-")
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(session)

@@ -301,6 +301,19 @@ def raw_append_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.count_by_source_month(create_raw(spark, standin.landing, months=[1], mode="append", lake=lake))
 
 
+_RAW_COLUMNS = [*TRIP_COLUMNS, *RAW_PARTITIONS]
+
+
+@_registered(
+    f"SELECT {', '.join(_RAW_COLUMNS)} FROM raw"
+    f" ORDER BY {', '.join(f'{name} NULLS FIRST' for name in _RAW_COLUMNS)} LIMIT 10"
+)
+def raw_trips_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 10 rows; ordered by all columns, so that they are always the same."""
+    raw = Standin.of(spark, sf_dir).raw().select(*_RAW_COLUMNS)
+    return _comparable(raw.orderBy(*_RAW_COLUMNS).limit(10))
+
+
 # Silver
 
 

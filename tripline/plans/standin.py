@@ -19,6 +19,7 @@ from tripline.contract import (
     landed_path,
 )
 from tripline.plans.layers import create_gold, create_raw, create_silver
+from tripline.sources.local import side_by_side
 from tripline.sources.scratch import new_folder
 
 _TRIPS = Template("""
@@ -66,19 +67,18 @@ def standin_trips(events: DataFrame) -> DataFrame:
 
 def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS) -> str:
     """Write monthly files whose types drift: from February on, vendors and passengers are other integers."""
-    for month in months:
+
+    def write(month: int) -> None:
         vendor, passengers = ("bigint", "double") if month == 1 else ("int", "bigint")
-        (
-            trips.where(F.col("source_month") == month)
-            .withColumns(
-                {
-                    "VendorID": F.col("VendorID").cast(vendor),
-                    "passenger_count": F.col("passenger_count").cast(passengers),
-                }
-            )
-            .drop("source_year", "source_month")
-            .write.parquet(landed_path(base, DEFAULT_YEAR, month))
+        of_month = trips.where(F.col("source_month") == month).withColumns(
+            {
+                "VendorID": F.col("VendorID").cast(vendor),
+                "passenger_count": F.col("passenger_count").cast(passengers),
+            }
         )
+        of_month.drop("source_year", "source_month").write.parquet(landed_path(base, DEFAULT_YEAR, month))
+
+    side_by_side(trips.sparkSession, write, months)
     return base
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +16,7 @@ from tripline.contract import (
     as_months,
     landed_path,
 )
-from tripline.sources.local import local_table
-
-_FOOTER_READS = 16
+from tripline.sources.local import local_table, side_by_side
 
 
 def physical_schemas(spark: SparkSession, base: str, year: int, months) -> dict[int, T.StructType]:
@@ -30,12 +26,10 @@ def physical_schemas(spark: SparkSession, base: str, year: int, months) -> dict[
     """
     months = as_months(months)
 
-    @inheritable_thread_target(spark)
     def schema_of(month: int) -> T.StructType:
         return spark.read.parquet(landed_path(base, year, month)).schema
 
-    with ThreadPoolExecutor(min(_FOOTER_READS, len(months))) as pool:
-        return dict(zip(months, pool.map(schema_of, months)))
+    return dict(zip(months, side_by_side(spark, schema_of, months)))
 
 
 def required_types(schema: T.StructType, file: str) -> T.StructType:
@@ -154,7 +148,7 @@ def schema_drift(
     """The columns that not all files share in the same type: one row per column and type, with its files.
 
     A column of one type that is in every file has one group as large as the number of files; any smaller
-    group belongs to a column that changed its type or is absent somewhere.
+    group belongs to a column that changed its type or is absent somewhere. ``months`` lists twelve at most.
     """
     return (
         landing_types(spark, base, year, months)

@@ -11,13 +11,17 @@ from pyspark.sql import SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where nothing is named, as on a laptop or in a test, a temporary folder takes its place.
+    Only a local session without such a name, as in a test, gets a temporary folder instead: on a cluster, other
+    machines could not read it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         named = tempfile.mkdtemp(prefix="tripline-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
