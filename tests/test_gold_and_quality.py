@@ -1,14 +1,19 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from datetime import datetime, timedelta, timezone
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
 from tests.rows import raw_rows
 from tests.test_silver import trip
-from tripline.contract import GOLD_TRIP_COLUMNS
+from tripline.contract import DROPOFF, GOLD_TRIP_COLUMNS, PICKUP
 from tripline.operators import (
     QualityError,
     assert_clean,
@@ -126,3 +131,31 @@ def test_assertions_name_what_is_wrong(spark):
     with pytest.raises(QualityError, match="months not landed.*7"):
         assert_no_rows(spark.range(7, 8), "months not landed")
     assert_no_rows(spark.range(0), "nothing")
+
+
+amounts = st.integers(0, 4000).map(lambda quarters: quarters / 4)
+pickups = st.datetimes(datetime(2023, 1, 1), datetime(2023, 5, 31, 23, 59, 59), timezones=st.just(timezone.utc))
+
+
+def half_up(values: list[float]) -> float:
+    """Mean to two decimals. Sums of quarters are exact, so only the quotient is rounded before the ties are seen."""
+    return float(Decimal(repr(sum(values) / len(values))).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(pickups, amounts, st.integers(1, 6)), min_size=1, max_size=60))
+def test_means_agree_with_plain_python(spark, rows):
+    silver = clean_trips(raw_rows(spark, *[
+        {PICKUP: pickup, DROPOFF: pickup + timedelta(minutes=9), "total_amount": amount,
+         "passenger_count": float(passengers)}
+        for pickup, amount, passengers in rows
+    ]))
+    by_month, by_hour = defaultdict(list), defaultdict(list)
+    for pickup, amount, passengers in rows:
+        by_month[pickup.year, pickup.month].append(amount)
+        if pickup.month == 5:
+            by_hour[pickup.hour].append(float(passengers))
+    assert [tuple(row) for row in avg_total_amount_by_month(silver).collect()] == [
+        (*key, half_up(values), len(values)) for key, values in sorted(by_month.items())]
+    assert [tuple(row) for row in avg_passenger_count_by_hour(silver).collect()] == [
+        (key, half_up(values), len(values)) for key, values in sorted(by_hour.items())]

@@ -15,6 +15,7 @@ from tripline.operators import (
     reject_profile,
     violation_profile,
 )
+from tripline.plans.registry import queries
 from tripline.plans.standin import Standin
 from tripline.plans.tables import write_settings
 from tripline.sources import read_landing
@@ -104,3 +105,10 @@ def test_monthly_question_reads_one_column_and_sums_before_it_shuffles(standin):
 @pytest.mark.parametrize("profile", [null_profile, violation_profile, reject_profile])
 def test_profiles_take_one_pass(standin, profile):
     assert times("FileScan parquet", plan(profile(standin.raw()))) == 1
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
+    """Side effects such as fetching files are over when a query returns; what it returns is plain Spark."""
+    text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+    assert times("CartesianProduct|NestedLoopJoin|Python|Pandas|Arrow", text) == 0

@@ -36,6 +36,8 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     ingest.add_argument("--published", required=True, help="base address of the published files")
     ingest.add_argument("--manifest", help="folder of the manifest")
     ingest.add_argument("--overwrite", action="store_true")
+    ingest.add_argument("--mount", nargs=2, default=["file:", ""], metavar=("PREFIX", "FOLDER"),
+                        help="how tasks reach the landing area: the start of its address, and what replaces it")
     commands.add_parser("build", parents=[months, tables, layers], help="build raw, silver and gold")
     commands.add_parser("replace", parents=[months, tables, layers], help="load some months again")
     commands.add_parser("answer", parents=[tables], help="show the two gold aggregates")
@@ -47,7 +49,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tripline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if chosen.command == "ingest":
         manifest = ingest_landing(spark, chosen.published, chosen.landing, chosen.year, chosen.months,
-                                  chosen.overwrite, chosen.manifest)
+                                  chosen.overwrite, chosen.manifest, tuple(chosen.mount))
         manifest.sort("year", "month").show(len(chosen.months), truncate=False)
         assert_no_rows(failed_files(manifest).select("year", "month", "status"), "files not landed")
         return

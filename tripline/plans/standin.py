@@ -89,7 +89,7 @@ class Standin:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.trips = standin_trips(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+        self.trips = standin_trips(spark.read.parquet(f"{sf_dir}/events.parquet"))
         self._landing: str | None = None
         self._lake: Lakehouse | None = None
         self._tables: dict[str, str] = {}
@@ -97,9 +97,9 @@ class Standin:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Standin:
         """One stand-in per application and data folder, so that its layers are written once."""
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in cls._known:
-            cls._known[key] = cls(spark, sf_dir)
+            cls._known[key] = cls(spark, key[1])
         return cls._known[key]
 
     @property
