@@ -158,7 +158,7 @@ class Web:
         self.body, self.ranges, self.length = body, ranges, length
         self.asked = []
 
-    def __call__(self, request):
+    def __call__(self, request, timeout):
         if not request.full_url.endswith("/file"):
             raise HTTPError(request.full_url, 404, "Not Found", None, None)
         wanted = request.get_header("Range")

@@ -14,6 +14,7 @@ from urllib.parse import unquote, urlsplit
 
 _CHUNK = 1 << 20
 _HEADERS = {"User-Agent": "Mozilla/5.0"}
+_SILENCE = 300  # seconds without an answer after which a web source counts as failed
 
 
 def utc_now() -> str:
@@ -50,7 +51,8 @@ def _parts_of_source(url: str) -> list[tuple[str, int, bool]]:
     path = local_path(url)
     if path is not None:
         return _parts_of_folder(path) if os.path.isdir(path) else [("", os.path.getsize(path), True)]
-    with urllib.request.urlopen(urllib.request.Request(url, headers=_HEADERS, method="HEAD")) as reply:
+    request = urllib.request.Request(url, headers=_HEADERS, method="HEAD")
+    with urllib.request.urlopen(request, timeout=_SILENCE) as reply:
         size = int(reply.headers.get("Content-Length") or -1)
         return [("", size, size >= 0 and reply.headers.get("Accept-Ranges") == "bytes")]
 
@@ -75,7 +77,7 @@ def _open_range(url: str, part: str, offset: int, length: int):
     headers = dict(_HEADERS)
     if offset > 0 or length >= 0:
         headers["Range"] = f"bytes={offset}-{'' if length < 0 else offset + length - 1}"
-    reply = urllib.request.urlopen(urllib.request.Request(url, headers=headers))
+    reply = urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=_SILENCE)
     if offset > 0 and reply.status != 206:
         reply.close()
         raise OSError(f"the server ignored the byte range at {offset}")
