@@ -154,13 +154,15 @@ def test_incomplete_copies_are_not_published(tmp_path):
 class Web:
     """Answers in place of a web server: one file, with or without byte ranges and a known length."""
 
-    def __init__(self, body: bytes, ranges: bool, length: bool):
-        self.body, self.ranges, self.length = body, ranges, length
+    def __init__(self, body: bytes, ranges: bool, length: bool, head: bool = True):
+        self.body, self.ranges, self.length, self.head = body, ranges, length, head
         self.asked = []
 
     def __call__(self, request, timeout):
         if not request.full_url.endswith("/file"):
             raise HTTPError(request.full_url, 404, "Not Found", None, None)
+        if request.get_method() == "HEAD" and not self.head:
+            raise HTTPError(request.full_url, 405, "Method Not Allowed", None, None)
         wanted = request.get_header("Range")
         self.asked.append((request.get_method(), wanted))
         reply = io.BytesIO(self.body)
@@ -196,6 +198,14 @@ def test_web_source(tmp_path, monkeypatch, ranges, length):
     assert (tmp_path / "target").read_bytes() == b"0123456789"
 
 
+def test_web_source_without_head(tmp_path, monkeypatch):
+    monkeypatch.setattr(transfer.urllib.request, "urlopen", Web(b"0123456789", True, True, head=False))
+    url, staged = "https://data.example.org/file", str(tmp_path / ".staged")
+    *_, parts, error = transfer.inspect(url, str(tmp_path / "target"), False)
+    assert (parts, error) == ([("", -1, False)], None)
+    assert transfer.copy_range(url, "", staged, 0, -1) == (10, None)
+
+
 def test_web_source_that_is_not_there(tmp_path, monkeypatch):
     monkeypatch.setattr(transfer.urllib.request, "urlopen", Web(b"", True, True))
     *_, parts, error = transfer.inspect("https://data.example.org/other", str(tmp_path / "target"), False)

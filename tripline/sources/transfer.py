@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import os
 import shutil
+import urllib.error
 import urllib.request
 from datetime import datetime, timezone
 from urllib.parse import unquote, urlsplit
 
 _CHUNK = 1 << 20
 _HEADERS = {"User-Agent": "Mozilla/5.0"}
+_NO_HEAD = (403, 405, 501)  # answers of servers that serve a file but not its size alone
 _SILENCE = 300  # seconds without an answer after which a web source counts as failed
 
 
@@ -52,9 +54,14 @@ def _parts_of_source(url: str) -> list[tuple[str, int, bool]]:
     if path is not None:
         return _parts_of_folder(path) if os.path.isdir(path) else [("", os.path.getsize(path), True)]
     request = urllib.request.Request(url, headers=_HEADERS, method="HEAD")
-    with urllib.request.urlopen(request, timeout=_SILENCE) as reply:
-        size = int(reply.headers.get("Content-Length") or -1)
-        return [("", size, size >= 0 and reply.headers.get("Accept-Ranges") == "bytes")]
+    try:
+        with urllib.request.urlopen(request, timeout=_SILENCE) as reply:
+            size = int(reply.headers.get("Content-Length") or -1)
+            return [("", size, size >= 0 and reply.headers.get("Accept-Ranges") == "bytes")]
+    except urllib.error.HTTPError as refusal:
+        if refusal.code not in _NO_HEAD:
+            raise
+        return [("", -1, False)]
 
 
 def inspect(url: str, target: str, overwrite: bool):
