@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as driver
 from tests.conftest import TESTDATA
 
-SIZES = ["sf0.001", "sf0.01"]
+SIZES = ["sf0.01"]
 
 
 @pytest.fixture(scope="session", params=SIZES)

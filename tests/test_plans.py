@@ -110,5 +110,5 @@ def test_profiles_take_one_pass(standin, profile):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
     """Side effects such as fetching files are over when a query returns; what it returns is plain Spark."""
-    text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+    text = plan(queries()[name](spark, "/root/testdata/sf0.01"))
     assert times("CartesianProduct|NestedLoopJoin|Python|Pandas|Arrow", text) == 0
