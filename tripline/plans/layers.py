@@ -32,6 +32,7 @@ from tripline.plans.tables import (
     ensure_database,
     layer_tables,
     write_table,
+    write_tables,
 )
 from tripline.sources.landing import missing_months, read_landing
 
@@ -80,29 +81,28 @@ def create_gold(
     ``trips_as="view"`` publishes the trip detail as a view on silver: no second copy of all trips is stored,
     and a filter on ``pickup_year`` and ``pickup_month`` reaches silver's partitions.
     """
+    if trips_as not in ("table", "view"):
+        raise ValueError(f"trips_as must be 'table' or 'view', not {trips_as!r}")
     silver = spark.table(lake.table("silver"))
-    ensure_database(spark, lake)
+    frames = {
+        "gold_trips": trip_facts(silver),
+        "gold_monthly": avg_total_amount_by_month(silver),
+        "gold_hourly": avg_passenger_count_by_hour(silver, year, month),
+    }
+    if trips_as == "view":
+        columns = ", ".join(frames.pop("gold_trips").columns)
+        ensure_database(spark, lake)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {lake.table('gold_trips')} AS SELECT {columns} FROM {lake.table('silver')}"
+        )
+    stored = write_tables(frames, lake, mode)
     return {
-        "gold_trips_df": _publish_trips(silver, lake, mode, trips_as),
-        "monthly_avg_df": write_table(avg_total_amount_by_month(silver), lake, "gold_monthly", mode),
-        "may_hourly_passengers_df": write_table(
-            avg_passenger_count_by_hour(silver, year, month), lake, "gold_hourly", mode
-        ),
+        "gold_trips_df": spark.table(lake.table("gold_trips")),
+        "monthly_avg_df": stored["gold_monthly"],
+        "may_hourly_passengers_df": stored["gold_hourly"],
     }
 
 
-def _publish_trips(silver: DataFrame, lake: Lakehouse, mode: str, trips_as: str) -> DataFrame:
-    if trips_as == "table":
-        return write_table(trip_facts(silver), lake, "gold_trips", mode)
-    if trips_as != "view":
-        raise ValueError(f"trips_as must be 'table' or 'view', not {trips_as!r}")
-    spark = silver.sparkSession
-    columns = ", ".join(trip_facts(silver).columns)
-    name = lake.table("gold_trips")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {lake.table('silver')}")
-    return spark.table(name)
-
-
 def replace_months(
     spark: SparkSession,
     landing_base: str,

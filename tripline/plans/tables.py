@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.contract import Lakehouse
-from tripline.sources.local import local_table
+from tripline.sources.local import local_table, side_by_side
 
 OVERWRITE_PARTITIONS = "overwrite_partitions"
 
@@ -56,20 +56,35 @@ def write_table(
     ``mode`` is a Spark save mode, or ``overwrite_partitions``, which replaces the partitions ``df`` has rows
     for and leaves the others alone. Rows have no key, so ``append`` of the same rows stores them twice.
     """
-    spark = df.sparkSession
-    name = lake.table(layer)
+    ensure_database(df.sparkSession, lake)
+    with write_settings(df.sparkSession):
+        return _store(df, lake, layer, mode, partition_by)
+
+
+def write_tables(frames: dict[str, DataFrame], lake: Lakehouse, mode: str = "overwrite") -> dict[str, DataFrame]:
+    """``write_table`` for several unpartitioned layers at once: small ones need not wait for a large one."""
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
     ensure_database(spark, lake)
     with write_settings(spark):
-        if mode == OVERWRITE_PARTITIONS and spark.catalog.tableExists(name):
-            # insertInto goes by position, and a stored table has its partition columns last.
-            df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-        else:
-            writer = df.write.format(lake.storage).mode("overwrite" if mode == OVERWRITE_PARTITIONS else mode)
-            if lake.storage == "delta":
-                writer = writer.option("overwriteSchema", "true")
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.saveAsTable(name)
+        stored = side_by_side(spark, lambda layer: _store(frames[layer], lake, layer, mode, ()), frames)
+    return dict(zip(frames, stored))
+
+
+def _store(df: DataFrame, lake: Lakehouse, layer: str, mode: str, partition_by: tuple[str, ...]) -> DataFrame:
+    spark = df.sparkSession
+    name = lake.table(layer)
+    if mode == OVERWRITE_PARTITIONS and spark.catalog.tableExists(name):
+        # insertInto goes by position, and a stored table has its partition columns last.
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    else:
+        writer = df.write.format(lake.storage).mode("overwrite" if mode == OVERWRITE_PARTITIONS else mode)
+        if lake.storage == "delta":
+            writer = writer.option("overwriteSchema", "true")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(name)
     return spark.table(name)
 
 
