@@ -15,6 +15,7 @@ from tripline.operators import (
     reject_profile,
     violation_profile,
 )
+from tripline.plans.layers import _picked_up_in
 from tripline.plans.registry import queries
 from tripline.plans.standin import Standin
 from tripline.plans.tables import write_settings
@@ -107,6 +108,20 @@ def test_profiles_take_one_pass(standin, profile):
     assert times("FileScan parquet", plan(profile(standin.raw()))) == 1
 
 
+def test_replacing_months_reads_only_what_it_must(standin):
+    """The reloaded files by partition, the touched months by ranges Parquet statistics are tested against."""
+    reloaded = "source_year = 2023 AND source_month IN (5)"
+    new = formatted(clean_trips(standin.raw().where(reloaded)).select("pickup_month").distinct())
+    assert re.search(r"PartitionFilters: \[.*source_month#\d+ = 5", new)
+    old = formatted(standin.silver().where(reloaded).select("pickup_year", "pickup_month").distinct())
+    assert "ReadSchema: struct<source_year:int,source_month:int>" in old
+    rebuilt = formatted(clean_trips(standin.raw().where(_picked_up_in({(2023, 2), (2023, 5)}))))
+    assert ("Or(And(GreaterThanOrEqual(tpep_pickup_datetime,2023-02-01 00:00:00.0),"
+            "LessThan(tpep_pickup_datetime,2023-03-01 00:00:00.0)),"
+            "And(GreaterThanOrEqual(tpep_pickup_datetime,2023-05-01 00:00:00.0),"
+            "LessThan(tpep_pickup_datetime,2023-06-01 00:00:00.0)))") in rebuilt
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
     """Side effects such as fetching files are over when a query returns; what it returns is plain Spark."""
