@@ -33,6 +33,7 @@ from tripline.plans import (
 )
 from tripline.plans.standin import Standin
 from tripline.sources import read_landing
+from tripline.sources.local import side_by_side
 
 
 @pytest.fixture
@@ -247,3 +248,15 @@ def test_a_failed_write_of_partitions_leaves_the_old_rows(spark, landed, lake):
     with pytest.raises(Exception, match="lost"):
         write_table(broken, lake, "raw", "overwrite_partitions", RAW_PARTITIONS)
     assert spark.table(lake.table("raw")).count() == 1000
+
+
+def test_layers_built_by_several_threads(spark, landed, tmp_path):
+    lakes = [Lakehouse(database=f"test_{uuid4().hex}", location=str(tmp_path / str(n))) for n in range(3)]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    def build(lake):
+        create_raw(spark, landed, lake=lake)
+        return create_raw(spark, landed, months=[2], mode="overwrite_partitions", lake=lake).count()
+
+    assert side_by_side(spark, build, lakes) == [1000] * 3
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,17 +25,25 @@ _WRITE_SETTINGS = {
 }
 
 
+_TURN = RLock()
+
+
 @contextmanager
 def write_settings(spark: SparkSession) -> Iterator[None]:
-    """The session settings of a table write, for the length of one."""
-    before = {key: spark.conf.get(key, None) for key in _WRITE_SETTINGS}
-    for key, value in _WRITE_SETTINGS.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    """The session settings of a table write, for the length of one.
+
+    Threads take turns: were one to put the settings back while another is about to overwrite some partitions,
+    that one would overwrite the table.
+    """
+    with _TURN:
+        before = {key: spark.conf.get(key, None) for key in _WRITE_SETTINGS}
+        for key, value in _WRITE_SETTINGS.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def ensure_database(spark: SparkSession, lake: Lakehouse) -> None:
