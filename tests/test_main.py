@@ -34,6 +34,8 @@ def test_commands(spark, tmp_path, capsys):
     main(["replace", "--landing", landing, "--months", "5", "--trips-as", "view", *tables])
     main(["answer", *tables])
     assert capsys.readouterr().out.count("|          7|                3.5|         2|") == 2
+    main(["replace", "--landing", landing, "--months", "5", "--hourly", "2023", "3", "--trips-as", "view", *tables])
+    assert "|         10|                1.0|         2|" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "manifest")).count() == 3
     with pytest.raises(QualityError, match="files not landed.*'month': 6"):
         main([*fetch, "--months", "3", "6"])

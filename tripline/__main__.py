@@ -28,6 +28,8 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     layers = argparse.ArgumentParser(add_help=False)
     layers.add_argument("--start", type=date.fromisoformat, default=Period.start, help="first pickup day")
     layers.add_argument("--end", type=date.fromisoformat, default=Period.end, help="day after the last pickup day")
+    layers.add_argument("--hourly", type=int, nargs=2, default=[2023, 5], metavar=("YEAR", "MONTH"),
+                        help="the month whose hours of the day are compared")
     layers.add_argument("--trips-as", choices=["table", "view"], default="table")
 
     parser = argparse.ArgumentParser(prog="tripline", description=__doc__)
@@ -56,11 +58,12 @@ def main(arguments: list[str] | None = None) -> None:
     lake = Lakehouse(chosen.database, chosen.location, chosen.storage)
     if chosen.command == "build":
         period = Period(chosen.start, chosen.end)
-        create_all(spark, chosen.landing, chosen.year, chosen.months, lake, period, trips_as=chosen.trips_as)
+        create_all(spark, chosen.landing, chosen.year, chosen.months, lake, period, tuple(chosen.hourly),
+                   chosen.trips_as)
     elif chosen.command == "replace":
         period = Period(chosen.start, chosen.end)
         replace_months(spark, chosen.landing, chosen.months, chosen.year, lake, period)
-        create_gold(spark, lake=lake, trips_as=chosen.trips_as)
+        create_gold(spark, "overwrite", lake, *chosen.hourly, chosen.trips_as)
     answer_avg_total_amount_by_month(spark, lake).show(1000)
     answer_avg_passenger_count_by_hour(spark, lake).show(24)
 

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripline.contract import DROPOFF, LINEAGE_TYPES, PICKUP, TRIP_TYPES, Period
-from tripline.functions import all_of, calendar_parts, minutes_between, trip_rules
-from tripline.sources.landing import typed
+from tripline.functions import all_of, calendar_parts, minutes_between, trip_rules, typed
 
 
 def clean_trips(

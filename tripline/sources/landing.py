@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from tripline.contract import (
     as_months,
     landed_path,
 )
+from tripline.functions import typed
 from tripline.sources.local import local_table, side_by_side
 
 
@@ -41,11 +42,6 @@ def required_types(schema: T.StructType, file: str) -> T.StructType:
     return T.StructType([T.StructField(name, by_name[name.lower()].dataType) for name in TRIP_COLUMNS])
 
 
-def typed(types: dict[str, T.DataType]) -> list[Column]:
-    """The columns of ``types``, in that order and type. A value that does not fit becomes NULL."""
-    return [F.col(name).try_cast(kind).alias(name) for name, kind in types.items()]
-
-
 def read_landing(
     spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
 ) -> DataFrame:
