@@ -66,9 +66,9 @@ def land_files(
 ) -> DataFrame:
     """Fetch the files of ``landing_files`` and return their manifest rows.
 
-    The work is split by byte range, not by file: a file of any size is copied by as many tasks as it has
-    ranges, all writing into one hidden staging file that is renamed once it is whole. A monthly file may also
-    be a folder of part files. A failure is recorded in ``status`` and leaves an older file as it was.
+    The work is split by byte range, not by file: a file of any size is copied by many tasks, each writing its
+    ranges into one hidden staging file that is renamed once it is whole. A monthly file may also be a folder of
+    part files. A failure is recorded in ``status`` and leaves an older file as it was.
 
     ``mount`` turns a landing path into the path tasks write to, as a prefix and its replacement, for
     storage that Spark and the file system address differently.
@@ -92,36 +92,37 @@ def land_files(
     known = files.select("year", "month", "source_url", "landing_path", written.alias("target"),
                          F.concat(folder, F.lit("."), name, F.lit(f".{run}")).alias("staged"))
     inspected = (
-        known.repartition(_tasks(known))
+        known.repartition(max(1, known.count()))
         .withColumn("found", inspect("source_url", "target", F.lit(overwrite)))
         .select("*", "found.*")
         .drop("found")
         .checkpoint()
     )
 
-    # A part whose size or offsets the source cannot serve is one range up to its end.
-    step = F.when(F.col("part.seekable"), F.lit(range_bytes)).otherwise(F.greatest("part.size", F.lit(1)))
-    last = F.greatest(F.col("part.size") - 1, F.lit(0))
+    # A part whose size or offsets the source cannot serve is one range up to its end. A file without parts, which
+    # is kept or cannot be fetched, stays as one row without a range.
+    size = F.col("part.size")
+    step = F.when(F.col("part.seekable"), F.lit(range_bytes)).otherwise(F.greatest(size, F.lit(1))).cast("bigint")
+    offsets = F.sequence(F.lit(0).cast("bigint"), F.greatest(size - 1, F.lit(0)), step)
     ranges = (
-        inspected.select("landing_path", "source_url", "staged", F.explode("parts").alias("part"))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last, step.cast("bigint"))).alias("offset"))
-        .withColumn("length", F.when(F.col("part.size") < 0, F.lit(-1))
-                    .otherwise(F.least(step, F.col("part.size") - F.col("offset"))))
+        inspected.withColumn("part", F.explode_outer("parts"))
+        .drop("parts")
+        .withColumn("offset", F.explode_outer(F.when(F.col("part").isNotNull(), offsets)))
+        .withColumn("length", F.when(size < 0, F.lit(-1)).otherwise(F.least(step, size - F.col("offset"))))
     )
     copied = (
-        ranges.repartition(_tasks(ranges))
+        ranges.repartition(_copy_tasks(ranges, range_bytes))
         .withColumn("copy", copy_range("source_url", "part.name", "staged", "offset", "length"))
-        .select("landing_path", "copy.*")
+        .drop("part", "offset", "length")
         .checkpoint()
     )
 
-    totals = copied.groupBy("landing_path").agg(
-        F.sum("bytes").alias("size"), F.min("error").alias("copy_error")
+    files_copied = copied.groupBy([name for name in copied.columns if name != "copy"]).agg(
+        F.sum("copy.bytes").alias("size"), F.min("copy.error").alias("copy_error")
     )
     done = publish("target", "staged", "kept", "size", F.coalesce("error", "copy_error"))
     return (
-        inspected.join(totals, "landing_path", "left")
-        .withColumn("done", done)
+        files_copied.withColumn("done", done)
         .select(
             "year",
             "month",
@@ -136,8 +137,13 @@ def land_files(
     )
 
 
-def _tasks(df: DataFrame) -> int:
-    return max(1, min(_MOST_TASKS, df.count()))
+def _copy_tasks(ranges: DataFrame, range_bytes: int) -> int:
+    """One task per ``range_bytes`` to copy, so that small parts share a task, and none without a range."""
+    length = F.col("length")
+    of_unknown_size = F.when(length < 0, F.lit(range_bytes)).otherwise(length)
+    rows, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(of_unknown_size), F.lit(0))).first()
+    at_least = ranges.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(rows, _MOST_TASKS, max(at_least, -(-size // range_bytes))))
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:

@@ -91,8 +91,10 @@ def _open_range(url: str, part: str, offset: int, length: int):
     return reply
 
 
-def copy_range(url: str, part: str, staged: str, offset: int, length: int):
-    """Copy ``length`` bytes (all that follow, if negative); returns (bytes copied, error)."""
+def copy_range(url: str, part: str | None, staged: str, offset: int, length: int):
+    """Copy ``length`` bytes (all that follow, if negative); returns (bytes copied, error). No part, no copy."""
+    if part is None:
+        return None, None
     try:
         target = os.path.join(staged, part) if part else staged
         os.makedirs(os.path.dirname(target), exist_ok=True)
