@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.texts import awkward, clashing, documents, prose
+from tripline.llm.near_duplicates import Signature, near_duplicates
+
+
+def shingles(text: str | None) -> frozenset:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+
+
+def brute_force(rows: list) -> dict:
+    """Component by doc_id: every pair of rows compared."""
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    sets = [(doc_id, shingles(text)) for doc_id, text in rows if doc_id is not None]
+    for i, (a, x) in enumerate(sets):
+        root(a)
+        for b, y in sets[:i]:
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                high, low = max(root(a), root(b)), min(root(a), root(b))
+                parent[high] = low
+    return {a: root(a) for a in parent}
+
+
+def check(docs) -> None:
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    expected = brute_force(rows)
+    found = near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    sizes = defaultdict(list)
+    for doc_id, text in rows:
+        sizes[doc_id].append(len(shingles(text)))
+    counted = defaultdict(list)
+    for row in found:
+        counted[row.doc_id].append(row.n_shingles)
+        assert row.component_id == expected.get(row.doc_id)
+        assert row.kept == (row.doc_id is None or row.doc_id == row.component_id)
+    assert {k: sorted(v) for k, v in counted.items()} == {k: sorted(v) for k, v in sizes.items()}
+
+
+def test_awkward_rows(spark):
+    check(clashing(documents(spark, awkward())))
+
+
+def test_empty_table(spark):
+    assert near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_documents(spark, sf_dir):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_chains_and_groups(spark):
+    """Members of a group that are alike only along a chain, and a group of many near copies."""
+    base = prose(11, 200, 5000)
+    chain = [" ".join(base[k * 6 : k * 6 + 100]) for k in range(16)]
+    group = [" ".join(base[:50] + [f"v{k}"] + base[51:]) for k in range(60)]
+    check(documents(spark, chain + group))
+
+
+def test_signature_finds_all_within_distance():
+    signature = Signature()
+    assert signature.errors == 1 and len(signature.variants) == 64
+    with pytest.raises(ValueError):
+        Signature(symbols=10).variants
