@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripline.llm.near_duplicates import near_duplicates
+from tripline.llm.substring_dedup import digest, without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,11 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
-_QUERIES: list[Query] = [op1_near_duplicates]
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(without_repeats(_documents(spark, sf_dir)))
+
+
+_QUERIES: list[Query] = [op1_near_duplicates, op6_suffix_dedup]
 
 _ORACLES: dict[str, str] = {}
 
