@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripline.llm import decontamination, passage_dedup, substring_dedup, token_files
 from tripline.llm.near_duplicates import near_duplicates
-from tripline.llm.substring_dedup import digest, without_repeats
+from tripline.llm.store import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,13 +21,70 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.digest(decontamination.contamination(_documents(spark, sf_dir), items))
+
+
+_OP2_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+  FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0
+), places AS (
+  SELECT r, i, size, list_slice(w, i, i + size - 1) AS win
+  FROM d, (SELECT DISTINCT size FROM windows) AS s, unnest(range(1, greatest(len(w) - size + 2, 1))) AS t(i)
+), hits AS (
+  SELECT r, i, p.size, item_id FROM places AS p JOIN windows AS v ON p.size = v.size AND p.win = v.win
+), hit_words AS (
+  SELECT r, count(DISTINCT k) AS n_hit FROM hits, unnest(range(i, i + size)) AS t(k) GROUP BY r
+), hit_items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)"""
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_path(spark, "tokens")
+    token_files.write_tokens(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digest(token_files.read_tokens(spark, path))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(without_repeats(_documents(spark, sf_dir)))
+    return substring_dedup.digest(substring_dedup.without_repeats(_documents(spark, sf_dir)))
+
+
+def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.digest(passage_dedup.without_repeated_passages(_documents(spark, sf_dir)))
 
 
-_QUERIES: list[Query] = [op1_near_duplicates, op6_suffix_dedup]
+_QUERIES: list[Query] = [
+    op1_near_duplicates,
+    op2_decontamination,
+    op5_token_files,
+    op6_suffix_dedup,
+    op8_passage_dedup,
+]
 
-_ORACLES: dict[str, str] = {}
+_ORACLES: dict[str, str] = {
+    "op2_decontamination": _OP2_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
