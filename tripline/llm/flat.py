@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes a kernel works on at a time; a longer text is worked on alone and whole.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -138,25 +138,27 @@ def words_of(flat: Flat, letters: np.ndarray = SPACED) -> Words:
     return Words(flat, np.flatnonzero(first), np.flatnonzero(last) + 1)
 
 
-def flattened(texts: pa.Array | pa.ChunkedArray) -> Flat:
-    """The texts laid end to end."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    wide = pa.large_binary() if pa.types.is_large_binary(texts.type) or pa.types.is_binary(texts.type) else pa.large_string()
-    texts = texts.cast(wide)
+def flattened(texts: pa.Array) -> Flat:
+    """The texts laid end to end, without copying them."""
     if texts.null_count:
-        texts = texts.fill_null(b"" if wide == pa.large_binary() else "")
-    if len(texts) == 0:
-        return Flat(np.empty(0, np.uint8), np.zeros(1, np.int64))
-    _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"")
+    offsets = _offsets(texts)
+    data = texts.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     return Flat(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+def _offsets(texts: pa.Array) -> np.ndarray:
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    if not len(texts):
+        return np.zeros(1, np.int64)
+    raw = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
+    return raw[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``size`` bytes of text, one text at least."""
-    offsets = flattened(batch.column(column)).offsets
+    offsets = _offsets(batch.column(column))
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
