@@ -76,4 +76,4 @@ def test_signature_finds_all_within_distance():
     signature = Signature()
     assert signature.errors == 1 and len(signature.variants) == 64
     with pytest.raises(ValueError):
-        Signature(symbols=10).variants
+        Signature(symbols=64, distance=80).variants

@@ -22,18 +22,23 @@ class Signature:
 
     Each of ``symbols`` hash functions gives a symbol of 16 bits. Two sets of similarity J differ in about
     (1 - J) * ``symbols`` symbols; all pairs that differ in at most ``distance`` of them are found: among
-    ``symbols / chunk`` chunks one has at most ``errors`` of the differences, so the two agree in that chunk with
-    some ``errors`` symbols left out. At J = 0.75 the defaults miss about one pair in 100,000, and far fewer above.
+    ``symbols / 4`` chunks of four symbols one has at most ``errors`` of the differences, so the two agree in that
+    chunk with some ``errors`` symbols left out. At J = 0.75 the defaults miss about one pair in 100,000, and far fewer
+    above. A chunk is 64 bits, one number of the stored signature.
     """
 
     symbols: int = 64
-    chunk: int = 4
     distance: int = 31
     seed: int = 20_231
+    chunk = 4
+
+    @property
+    def chunks(self) -> int:
+        return self.symbols // self.chunk
 
     @property
     def errors(self) -> int:
-        return self.distance // (self.symbols // self.chunk)
+        return self.distance // self.chunks
 
     @property
     def variants(self) -> list[list[int]]:
@@ -75,7 +80,10 @@ def near_duplicates(
     )
 
 
-_SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, signature binary"
+# Members of one key that are compared with as many others at a time.
+BLOCK = 64
+
+_SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, signature array<long>"
 
 
 def _links(rows: DataFrame, sketched: DataFrame, words: int, similar: int, signature: Signature) -> DataFrame:
@@ -98,42 +106,87 @@ def _links(rows: DataFrame, sketched: DataFrame, words: int, similar: int, signa
                 classes.select(F.col("rep").alias("doc_id"), "f1"), "doc_id"
             ),
             "doc_id",
-        ).mapInArrow(_shingled(words), "rep long, f1 long, f2 long, shingles binary")
+        ).mapInArrow(_shingled(words), "rep long, f1 long, f2 long, shingles array<long>")
         .groupBy("rep", "f1", "f2").agg(F.first("shingles").alias("shingles"))
         .select("rep", "shingles"),
         "sets",
     )
 
+    sketch = classes.select("rep", "signature")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Of pairs of classes those whose sets are similar."""
-        sketch = classes.select("rep", "signature")
         near = (
             pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
-            .mapInArrow(_within(signature.distance), "a long, b long").distinct()
+            .where(f"{_distance(signature)} <= {signature.distance}").select("a", "b").distinct()
         )
         both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        return stored(both.mapInArrow(_overlapping(similar), "a long, b long"), "confirmed")
+        common = both.select("a", "b", F.expr("size(array_intersect(x, y)) AS n"), F.expr("size(x) + size(y) AS total"))
+        return stored(common.where(f"100L * n >= {similar}L * (total - n)").select("a", "b"), "confirmed")
 
     # One pair for each class first, with the smallest class it shares a key with; that connects most groups whole.
     first = members.where("rep <> lo").groupBy("rep").agg(F.min("lo").alias("b")).withColumnRenamed("rep", "a")
     links = confirmed(first)
-    for side in ("hi", "lo"):
-        # Then all that meet across components: first with one more class of the key, at last with all others.
-        known = components(links).withColumnsRenamed({"node": "rep", "component": "c"})
-        labelled = members.select("key", "rep").join(known, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-        labelled = stored(labelled, "labelled")
-        ends = labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"))
-        open_keys = ends.where("least < most").select("key")
-        left = labelled.join(open_keys, "key")
-        if side == "hi":
-            hubs = left.groupBy("key").agg(F.max(F.struct("c", "rep")).alias("hub"))
-            pairs = left.join(hubs, "key").where("c <> hub.c").groupBy("rep").agg(F.min("hub.rep").alias("b"))
-            pairs = pairs.withColumnRenamed("rep", "a")
-        else:
-            other = left.select("key", F.col("rep").alias("b"), F.col("c").alias("d"))
-            pairs = left.join(other, "key").where("c < d").select(F.col("rep").alias("a"), "b").distinct()
-        links = links.union(confirmed(pairs))
-    return links.union(copies)
+    # Then all that still meet across components: with one more class of the key, and at last with all others.
+    left = _apart(members, links)
+    hubs = left.groupBy("key").agg(F.max(F.struct("c", "rep")).alias("hub"))
+    pairs = left.join(hubs, "key").where("c <> hub.c").groupBy("rep").agg(F.min("hub.rep").alias("b"))
+    links = links.union(confirmed(pairs.withColumnRenamed("rep", "a")))
+    left = _blocks(_apart(members, links).join(sketch, "rep"))
+    one, other = (left.select(*(F.col(name).alias(f"{side}_{name}") for name in left.columns)) for side in "xy")
+    meeting = one.join(other, F.expr(
+        "x_key = y_key AND (x_kind < y_kind OR x_kind = y_kind AND x_part <= y_part)"
+        " AND NOT (x_least = x_most AND y_least = y_most AND x_least = y_least)"
+    ))
+    pairs = meeting.select("x_key", "x_rep", "x_c", "x_x", "y_rep", "y_c", "y_x")
+    pairs = pairs.mapInArrow(_meeting(signature), "a long, b long").distinct()
+    return links.union(confirmed(pairs)).union(copies)
+
+
+def _blocks(left: DataFrame) -> DataFrame:
+    """The members of each key in blocks of about ``BLOCK``, a large component's apart from the others'.
+
+    So pairs inside a large component need not be made, and all others are made a block against a block.
+    """
+    sizes = left.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    small = sizes.groupBy("key").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("rest"))
+    large = F.col("n") >= BLOCK
+    parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK)
+    return (
+        left.join(sizes, ["key", "c"]).join(small, "key")
+        .withColumn("kind", F.when(large, F.col("c")).otherwise(F.lit(-(2**63))))
+        .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
+        .groupBy("key", "kind", "part")
+        .agg(
+            F.min("c").alias("least"), F.max("c").alias("most"),
+            F.collect_list(F.struct("rep", "c", F.col("signature").alias("x"))).alias("m"),
+        )
+        .select(
+            "key", "kind", "part", "least", "most", F.col("m.rep").alias("rep"), F.col("m.c").alias("c"),
+            F.flatten("m.x").alias("x"),
+        )
+    )
+
+
+def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the keys that more than one component shares: ``rep``, ``key``, component ``c``."""
+    known = components(links).withColumnsRenamed({"node": "rep", "component": "c"})
+    labelled = members.select("key", "rep").join(known, "rep", "left")
+    labelled = stored(labelled.select("rep", "key", F.coalesce("c", "rep").alias("c")), "labelled")
+    ends = labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"))
+    return labelled.join(ends.where("least < most").select("key"), "key").select("rep", "key", "c")
+
+
+def _errors(chunk: int) -> str:
+    """In SQL, the number of symbols in which a chunk of signatures x and y differs: each symbol folded to one bit."""
+    differing = f"(x[{chunk}] ^ y[{chunk}])"
+    return " + ".join(
+        f"if((shiftrightunsigned({differing}, {shift}) & 65535) = 0, 0, 1)" for shift in (0, 16, 32, 48)
+    )
+
+
+def _distance(signature: Signature) -> str:
+    return " + ".join(_errors(k) for k in range(signature.chunks))
 
 
 # In tasks
@@ -172,12 +225,9 @@ def _prints(names: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
-def _blobs(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """An Arrow array of binaries, one for each run of numbers."""
-    offsets = (offsets * data.itemsize).astype(np.int32)
-    return pa.BinaryArray.from_buffers(
-        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
-    )
+def _lists(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """An Arrow array of lists, one for each run of numbers."""
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data))
 
 
 def _sketcher(n: int, signature: Signature):
@@ -199,7 +249,7 @@ def _sketcher(n: int, signature: Signature):
                         pa.array(np.diff(offsets).astype(np.int64)),
                         pa.array(f1),
                         pa.array(f2),
-                        _blobs(sign.ravel(), np.arange(piece.num_rows + 1) * signature.symbols),
+                        _lists(sign.ravel().view("<i8"), np.arange(piece.num_rows + 1) * signature.chunks),
                     ],
                     ["doc_id", "n_shingles", "f1", "f2", "signature"],
                 )
@@ -207,19 +257,15 @@ def _sketcher(n: int, signature: Signature):
     return sketch
 
 
-def _signs(column: pa.Array) -> np.ndarray:
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values), "<u2").reshape(len(values), -1) if values else np.empty((0, 1), "<u2")
-
-
 def _enumerated(signature: Signature):
     variants = signature.variants
 
     def enumerate_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = _signs(batch.column("signature")).astype(np.int64)
-            if not len(signs):
+            if not batch.num_rows:
                 continue
+            signs = batch.column("signature").flatten().to_numpy().view("<u2").reshape(batch.num_rows, -1)
+            signs = signs.astype(np.int64)
             keys = np.empty((len(signs), len(variants)), np.int64)
             for k, kept in enumerate(variants):
                 keys[:, k] = k
@@ -238,7 +284,7 @@ def _shingled(n: int):
                 names, offsets = _sets(words_of(flattened(piece.column("text")).lowered, SPACED), n)
                 f1, f2 = _prints(names, offsets)
                 out = pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(f1), pa.array(f2), _blobs(names, offsets)],
+                    [piece.column("doc_id"), pa.array(f1), pa.array(f2), _lists(names.view(np.int64), offsets)],
                     ["rep", "f1", "f2", "shingles"],
                 )
                 yield out.filter(pa.array(f1 == piece.column("f1").to_numpy()))
@@ -246,25 +292,29 @@ def _shingled(n: int):
     return shingle
 
 
-def _within(distance: int):
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = (_signs(batch.column("x")) != _signs(batch.column("y"))).sum(axis=1) <= distance
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    return within
-
+def _meeting(signature: Signature):
+    variants = len(signature.variants) // signature.chunks
+    bits = np.int64(16 * len(signature.variants[0]))
 
-def _overlapping(similar: int):
-    def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = np.zeros(batch.num_rows, dtype=bool)
-            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                linked[k] = 100 * common >= similar * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
-
-    return overlap
+            found = []
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            for k in range(batch.num_rows):
+                (a, c, x), (b, d, y) = (
+                    [columns[f"{side}_{name}"][k].values.to_numpy() for name in ("rep", "c", "x")] for side in "xy"
+                )
+                i, j = np.nonzero(c[:, None] != d[None, :])
+                x = x.view("<u2").reshape(len(a), signature.chunks, -1)[i]
+                y = y.view("<u2").reshape(len(b), signature.chunks, -1)[j]
+                errors = (x != y).sum(axis=2)
+                # A pair comes out at the first chunk in which it agrees, and if its signatures are near.
+                here = (columns["x_key"][k].as_py() >> int(bits)) // variants
+                keep = ((errors <= signature.errors).argmax(axis=1) == here) & (errors.sum(axis=1) <= signature.distance)
+                a, b = a[i[keep]], b[j[keep]]
+                found.append((np.maximum(a, b), np.minimum(a, b)))
+            if found:
+                a, b = (np.concatenate(side) for side in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return meet
