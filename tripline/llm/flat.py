@@ -122,6 +122,19 @@ class Words:
         return out[inside], inside
 
 
+def range_names(flat: Flat, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Fingerprints of byte ranges."""
+    out = mixed((ends - starts).astype(np.uint64))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
+    at, todo = starts.copy(), np.arange(len(starts))
+    while len(todo):
+        left = ends[todo] - at[todo]
+        out[todo] = combined(out[todo], flat.eights[at[todo]] & masks[np.minimum(left, 8)])
+        at[todo] += 8
+        todo = todo[left > 8]
+    return out
+
+
 def words_of(flat: Flat, letters: np.ndarray = SPACED) -> Words:
     """The maximal runs of bytes that are letters, inside one text each."""
     n = len(flat.data)

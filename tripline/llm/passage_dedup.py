@@ -104,7 +104,7 @@ def _recompressed(words: Words) -> Iterator[Level]:
 def _pairs(level: Level, salt: np.uint64) -> Level:
     """A left symbol and the right symbol after it become one; which is which says the name."""
     names, low, high = level.names, level.low, level.high
-    right = (mixed(names + salt * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype(bool)
+    right = (mixed(names ^ salt) >> np.uint64(63)).astype(bool)
     before, after = level.beside()
     paired = np.zeros(len(names), dtype=bool)  # with the next one
     paired[:-1] = ~right[:-1] & right[1:] & after[:-1]

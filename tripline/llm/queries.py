@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripline.llm import decontamination, passage_dedup, substring_dedup, token_files
+import corpus_pipeline
+from tripline.llm import decontamination, language, passage_dedup, substring_dedup, token_files, toxicity
+from tripline.llm.licenses import license_scan
+from tripline.llm.mixing import mixture
 from tripline.llm.near_duplicates import near_duplicates
+from tripline.llm.quality_rules import quality
+from tripline.llm.sampling import remainder
 from tripline.llm.store import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +32,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(_documents(spark, sf_dir), items))
 
 
-_OP2_SQL = """
+_OP2_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -58,6 +64,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)"""
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    left = remainder(F.col("doc_id"), 4) == 2
+    found = language.identify(docs, language.learn(docs.where(~left)))
+    return found.select("doc_id", left.alias("held_out"), "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    machine = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.toxicity(docs, machine).select("doc_id", held_out, "score", "predicted")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,25 +90,122 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.without_repeats(_documents(spark, sf_dir)))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+_OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), lines AS (
+  SELECT r, i, string_split(text, chr(10))[i] AS line
+  FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)
+), measured AS (
+  SELECT r, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+         translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), judged AS (
+  SELECT r, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS dup,
+         length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+         NOT regexp_matches(line, '[.!?…。！？]["'')\]”’»]*([\x20\x09-\x0D]|$)')
+         OR 100 * len(regexp_extract_all(line, '[#*$%&|<>!]')) > 50 * len(w)
+         OR (len([x FOR x IN w IF regexp_full_match(x, '[|>]+|[»·•]')]) >= 2
+             AND 100 * len([x FOR x IN w IF regexp_full_match(x, '[|>]+|[»·•]')]) >= 20 * len(w))
+         OR regexp_matches(lowered, 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use of cookies|uses cookies|enable javascript|click here|sign up for|subscribe to our|back to top|skip to content|share this|powered by') AS failed
+  FROM measured
+), by_lines AS (
+  SELECT r, count(*) FILTER (dup) AS n_dup, coalesce(sum(chars) FILTER (failed), 0) AS lost FROM judged GROUP BY r
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, list_slice(w, i, i + 2)) AS n
+  FROM d, unnest(range(1, greatest(len(w) - 1, 1))) AS t(i)
+), repeats AS (
+  SELECT r, count(DISTINCT k) AS n FROM windows, unnest(range(i, i + 3)) AS t(k) WHERE windows.n > 1 GROUP BY r
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(repeats.n, 0) > 50 * len(w) AS base_failed, coalesce(lost, 0) AS lost
+  FROM d LEFT JOIN by_lines USING (r) LEFT JOIN repeats USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 50 * word_chars AS kept
+FROM base"""
+
+
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.digest(passage_dedup.without_repeated_passages(_documents(spark, sf_dir)))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS HUGEINT) AS size,
+         md5('mix' || coalesce(':' || CAST(doc_id AS VARCHAR), '')) AS draw
+  FROM documents
+), sources AS (
+  SELECT source, sum(size) AS s,
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS HUGEINT) AS w
+  FROM d GROUP BY source
+), levels AS (
+  SELECT *, (SELECT sum(size) FROM d) AS total, coalesce(sum(3 * s) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS passed,
+         sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS behind
+  FROM sources WINDOW r AS (ORDER BY CAST(s AS DOUBLE) / w, source NULLS LAST)
+), caps AS (
+  SELECT *, 3 * s * behind <= w * (total - passed) AS capped FROM levels
+), shares AS (
+  SELECT *, w * (total - coalesce((SELECT sum(3 * s) FROM caps WHERE capped), 0)) AS share,
+         (SELECT sum(w) FROM caps WHERE NOT capped) AS open
+  FROM caps
+), targets AS (
+  SELECT source, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE) ELSE CAST(share AS DOUBLE) / CAST(open AS DOUBLE) END AS target,
+         CASE WHEN capped THEN 3 ELSE share // (open * s) END AS whole,
+         CASE WHEN capped THEN 0 ELSE share % (open * s) END AS rest,
+         CASE WHEN capped THEN 1 ELSE open END AS open
+  FROM shares
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id NULLS LAST, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(s AS BIGINT) AS source_size, target,
+       CAST(size * (whole + CASE WHEN (2 * before + size) * open <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source"""
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_documents(spark, sf_dir)).drop("spans")
+
+
 _QUERIES: list[Query] = [
     op1_near_duplicates,
     op2_decontamination,
+    op3_language,
+    op4_toxicity,
     op5_token_files,
     op6_suffix_dedup,
+    op7_quality_rules,
     op8_passage_dedup,
+    op9_mixing,
+    op10_licenses,
 ]
 
 _ORACLES: dict[str, str] = {
     "op2_decontamination": _OP2_SQL,
+    "op7_quality_rules": _OP7_SQL,
+    "op9_mixing": _OP9_SQL,
 }
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

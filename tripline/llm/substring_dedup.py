@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.flat import Flat, combined, flattened, mixed, pieces
+from tripline.llm.flat import Flat, flattened, mixed, pieces, range_names
 from tripline.llm.repeats import (
     BLOCK_BYTES,
     LAST,
@@ -152,19 +152,6 @@ def _served(flat: Flat, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return names[at], first, last
 
 
-def _range_names(flat: Flat, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprints of byte ranges."""
-    out = mixed((ends - starts).astype(np.uint64))
-    masks = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
-    at, todo = starts.copy(), np.arange(len(starts))
-    while len(todo):
-        left = ends[todo] - at[todo]
-        out[todo] = combined(out[todo], flat.eights[at[todo]] & masks[np.minimum(left, 8)])
-        at[todo] += 8
-        todo = todo[left > 8]
-    return out
-
-
 def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The bytes of some ranges, laid end to end."""
     if not len(starts):
@@ -196,7 +183,7 @@ def _cut_out(length: int, buckets: int):
                         "starts": (first - flat.offsets[texts]).astype(_I32),
                         "lengths": lengths.astype(_I32),
                         "texts": texts + rows,
-                        "names": _range_names(flat, first, first + lengths),
+                        "names": range_names(flat, first, first + lengths),
                         "bytes": _gathered(flat.data, first, lengths),
                         "orders": piece.column("ord").to_numpy(),
                         "hashes": piece.column("hash").to_numpy(),
