@@ -64,11 +64,15 @@ class Flat:
         """The text that each byte position lies in."""
         return np.searchsorted(self.offsets, positions, side="right") - 1
 
+    @cached_property
+    def padded(self) -> np.ndarray:
+        """The bytes, and eight zeros."""
+        return np.concatenate([self.data, np.zeros(8, np.uint8)])
+
     @cached_property
     def eights(self) -> np.ndarray:
         """At each byte the next eight bytes as one number; beyond the end are zeros."""
-        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
-        return np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
+        return np.ndarray((len(self.data) + 1,), "<u8", self.padded, strides=(1,))
 
 
 @dataclass(frozen=True)

@@ -24,16 +24,19 @@ from tripline.llm.repeats import (
     binary_rows,
     bucket_count,
     codes_of,
+    copies,
     joined,
     joined_codes,
     known_rows,
     repeated_names,
+    text_classes,
 )
+from tripline.llm.store import stored
 
 # What each round rewrites. A round of pairs leaves three quarters of the symbols.
 ROUNDS = ("pairs", "pairs", "runs", "pairs", "pairs", "pairs", "pairs")
 
-_I32, _U32, _I64, _U64 = np.dtype("<i4"), np.dtype("<u4"), np.dtype("<i8"), np.dtype("<u8")
+_U16, _I32, _I64, _U64 = np.dtype("<u2"), np.dtype("<i4"), np.dtype("<i8"), np.dtype("<u8")
 _FAR = np.int64(1) << 40
 
 
@@ -47,13 +50,16 @@ def without_repeated_passages(docs: DataFrame, window: int = 20) -> DataFrame:
     read.
     """
     rows = known_rows(docs)
-    buckets = bucket_count(rows)
-    names = repeated_names(rows, lambda flat: _anchors(flat, window), buckets)
+    classes = text_classes(rows)
+    buckets = bucket_count(classes)
+    names = repeated_names(rows, classes, lambda flat: _anchors(flat, window), buckets)
     entries = rows.join(names, ["ord", "hash"]).mapInArrow(_windows(window, buckets), _ENTRIES)
-    found = (
-        entries.groupBy("bucket").applyInArrow(_second, "ord long, hash long, starts binary")
-        .groupBy("ord", "hash").agg(F.collect_list("starts").alias("starts"))
+    found = entries.groupBy("bucket").applyInArrow(_second, "ord long, hash long, starts binary")
+    found = found.union(copies(rows, classes).withColumn("starts", F.lit(None).cast("binary")))
+    found = found.groupBy("ord", "hash").agg(
+        F.collect_list("starts").alias("starts"), F.max(F.col("starts").isNull()).alias("copy")
     )
+    found = stored(found, "found", release=True)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
@@ -245,7 +251,7 @@ def _windows(window: int, buckets: int):
                 gathered.append(
                     {
                         "prints": prints[at],
-                        "checks": (checks[at] >> np.uint64(32)).astype(_U32),
+                        "checks": (checks[at] >> np.uint64(48)).astype(_U16),
                         "starts": (at - words.offsets[words.text[at]]).astype(_I32),
                         "texts": words.text[at] + rows,
                         "orders": piece.column("ord").to_numpy(),
@@ -286,7 +292,8 @@ def _sent(gathered: list[dict[str, np.ndarray]], buckets: int) -> Iterator[pa.Re
         columns |= {"bucket": pa.array(bucket.astype(_I32)), "counts": empty, "prints": empty, "checks": empty}
         yield pa.RecordBatch.from_arrays([columns[name] for name in _ENTRY_COLUMNS], _ENTRY_COLUMNS)
     out = np.sort(order[~late])
-    bucket = (mixed(prints[out]) % np.uint64(buckets)).astype(np.int64)
+    # Each bucket of names is several here: a symbol reveals several windows.
+    bucket = (mixed(prints[out]) % np.uint64(4 * buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     out, bucket = out[order], bucket[order]
     own = texts[out]
@@ -295,7 +302,10 @@ def _sent(gathered: list[dict[str, np.ndarray]], buckets: int) -> Iterator[pa.Re
     some, cut = np.unique(bucket, return_index=True)
     cuts = np.append(cut, len(out))
     who = own[runs]
-    columns = binary_rows({"prints": prints[out], "checks": checks[out], "starts": starts[out]}, cuts)
+    # Starts as steps from the one before, which compress well; a text's first in a bucket is whole.
+    steps = np.diff(starts[out], prepend=np.int32(0)).astype(_I32)
+    steps[runs] = starts[out][runs]
+    columns = binary_rows({"prints": prints[out], "checks": checks[out], "starts": steps}, cuts)
     columns |= binary_rows(
         {"orders": orders[who], "hashes": parts["hashes"][who], "counts": counts.astype(_I32)},
         np.searchsorted(runs, cuts),
@@ -312,9 +322,13 @@ def _second(table: pa.Table) -> pa.Table:
     orders, hashes = joined(table, "orders", _I64), joined(table, "hashes", _I64)
     if table.column("bucket")[0].as_py() < 0:
         return pa.table({"ord": orders, "hash": hashes, "starts": table.column("starts")})
-    document = np.repeat(np.arange(len(orders)), joined(table, "counts", _I32))
-    prints, checks = joined(table, "prints", _U64), joined(table, "checks", _U32)
-    starts = joined(table, "starts", _I32)
+    counts = joined(table, "counts", _I32)
+    document = np.repeat(np.arange(len(orders)), counts)
+    prints, checks = joined(table, "prints", _U64), joined(table, "checks", _U16)
+    starts = np.cumsum(joined(table, "starts", _I32), dtype=np.int64)
+    # From the running sum of steps to starts: less what the sum was before each text.
+    heads = np.cumsum(counts) - counts
+    starts = (starts - np.repeat(np.append(0, starts)[heads], counts)).astype(_I32)
     order = np.lexsort((checks, prints))
     first = np.flatnonzero(
         np.append(True, (prints[order][1:] != prints[order][:-1]) | (checks[order][1:] != checks[order][:-1]))
@@ -348,6 +362,10 @@ def _removed(window: int):
                 flat = flattened(piece.column("text"))
                 words = words_of(flat, SPACED)
                 edges = np.zeros(len(words) + 1, np.int32)
+                for k, copy in enumerate(piece.column("copy").to_pylist()):
+                    if copy and words.counts[k] >= window:
+                        edges[words.offsets[k]] += 1
+                        edges[words.offsets[k + 1]] -= 1
                 for k, lists in enumerate(piece.column("starts").to_pylist()):
                     if lists:
                         starts = np.frombuffer(b"".join(lists), _I32) + words.offsets[k]

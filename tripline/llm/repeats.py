@@ -3,14 +3,15 @@
 An operator chooses anchors: places in a text that depend on nearby text only, so that equal passages have equal
 anchors. The steps are the same for all:
 
+0. Copies of a whole text are found by their hashes. They hold nothing that their first one does not.
 1. Every task names the anchors of its texts and sends, to the bucket of each name, four bytes of it. Within a block
    of texts a name is sent once, however many documents share it, so a very common passage costs each block one entry.
-2. The buckets answer with the names that occur twice or more. The answers go to the documents.
+2. The buckets answer with the names that different texts share or one repeats. The answers go to the documents.
 3. Documents with such names send the candidates around them to buckets again; those compare the candidates
    themselves and answer which come second. Copies inside a block are settled there, and one of them is sent.
 4. The answers meet the texts once more.
 
-A document is known by its order (its doc_id; NULL comes last) and the hash of its text.
+A document is known by its order (its doc_id; NULL comes last) and the hash of its text, a text by its hash.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripline.llm.flat import Flat, flattened, pieces
+from tripline.llm.store import stored
 
 # Bytes of text whose names a task gathers before it sends them, and bytes of text for each bucket.
 BLOCK_BYTES = 24 << 20
@@ -31,8 +33,8 @@ BUCKET_BYTES = 64 << 20
 
 LAST = 2**63 - 1
 
-_ENTRIES = "bucket int, orders binary, hashes binary, counts binary, names binary, seen binary"
-_ANSWERS = "ord long, hash long, names binary"
+_ENTRIES = "bucket int, hashes binary, counts binary, names binary, seen binary"
+_ANSWERS = "hash long, names binary"
 _U8, _I32, _U32, _I64, _U64 = np.dtype("u1"), np.dtype("<i4"), np.dtype("<u4"), np.dtype("<i8"), np.dtype("<u8")
 
 #: The anchors of some texts: 64-bit names, and the text of each, in rising order of texts.
@@ -48,19 +50,37 @@ def known_rows(docs: DataFrame) -> DataFrame:
     ).where("text IS NOT NULL AND text <> ''")
 
 
-def bucket_count(rows: DataFrame) -> int:
+def text_classes(rows: DataFrame) -> DataFrame:
+    """The distinct texts: ``hash``, ``other`` hash, ``size`` in bytes, the ``first`` order that has it and ``n`` rows."""
+    return stored(_hashed(rows).groupBy("hash", "other", "size").agg(
+        F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")
+    ), "texts")
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    return rows.select("ord", "hash", F.xxhash64(F.lit(1), "text").alias("other"), F.octet_length("text").alias("size"))
+
+
+def copies(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``ord`` and ``hash`` of documents whose whole text a smaller order has."""
+    same = _hashed(rows).join(classes, ["hash", "other", "size"])
+    return same.where(F.col("ord") > F.col("first")).select("ord", "hash")
+
+
+def bucket_count(classes: DataFrame) -> int:
     """Buckets for these texts: in proportion to their bytes."""
-    return 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    return 1 + int(classes.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0) // BUCKET_BYTES
 
 
-def repeated_names(rows: DataFrame, anchors: Anchors, buckets: int) -> DataFrame:
-    """For each document with names that occur twice or more, in it or elsewhere: ``ord``, ``hash``, ``names``.
+def repeated_names(rows: DataFrame, classes: DataFrame, anchors: Anchors, buckets: int) -> DataFrame:
+    """For each document with names that occur twice or more, in it or in another text: ``ord``, ``hash``, ``names``.
 
-    ``names`` is an array of binaries, each some 64-bit codes (see ``codes_of``).
+    Of copies only the first is told. ``names`` is an array of binaries, each some 64-bit codes (see ``codes_of``).
     """
     entries = rows.mapInArrow(_naming(anchors, buckets), _ENTRIES)
     answers = entries.groupBy("bucket").applyInArrow(_repeated, _ANSWERS)
-    return answers.groupBy("ord", "hash").agg(F.collect_list("names").alias("names"))
+    told = answers.groupBy("hash").agg(F.collect_list("names").alias("names"))
+    return stored(told.join(classes.select("hash", F.col("first").alias("ord")), "hash"), "names", release=True)
 
 
 def codes_of(names: np.ndarray, buckets: int) -> np.ndarray:
@@ -77,19 +97,28 @@ def joined_codes(lists: pa.Array) -> list[np.ndarray]:
 class Block:
     """The names gathered from some texts."""
 
-    orders: list[np.ndarray]
     hashes: list[np.ndarray]
     names: list[np.ndarray]
     texts: list[np.ndarray]
+    known: set[int]
     size: int = 0
     rows: int = 0
 
     @classmethod
     def empty(cls) -> Block:
-        return cls([], [], [], [])
+        return cls([], [], [], set())
+
+    def unseen(self, piece: pa.RecordBatch) -> pa.RecordBatch:
+        """The texts that the block does not have yet."""
+        new = []
+        for value in piece.column("hash").to_pylist():
+            new.append(value not in self.known)
+            self.known.add(value)
+        return piece if all(new) else pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([column]) for column in piece.filter(pa.array(new)).columns], piece.schema.names
+        )
 
     def add(self, piece: pa.RecordBatch, flat: Flat, names: np.ndarray, texts: np.ndarray) -> None:
-        self.orders.append(piece.column("ord").to_numpy())
         self.hashes.append(piece.column("hash").to_numpy())
         self.names.append(names)
         self.texts.append(texts + self.rows)
@@ -113,6 +142,7 @@ def _naming(anchors: Anchors, buckets: int):
         block = Block.empty()
         for batch in batches:
             for piece in pieces(batch):
+                piece = block.unseen(piece)
                 flat = flattened(piece.column("text"))
                 block.add(piece, flat, *anchors(flat))
                 if block.size >= BLOCK_BYTES:
@@ -126,7 +156,7 @@ def _naming(anchors: Anchors, buckets: int):
 
 def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
     """Entries for each bucket; and, in buckets below zero, answers for names that this block alone shows to repeat."""
-    orders, hashes = np.concatenate(block.orders), np.concatenate(block.hashes)
+    hashes = np.concatenate(block.hashes)
     codes, texts = codes_of(np.concatenate(block.names), buckets), np.concatenate(block.texts)
     if not len(codes):
         return
@@ -146,7 +176,7 @@ def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
         who, common = who[new], common[new]
         who, at = np.unique(who, return_index=True)
         columns = binary_rows({"names": common}, np.append(at, len(common)))
-        columns |= binary_rows({"orders": orders[who], "hashes": hashes[who]}, np.arange(len(who) + 1))
+        columns |= binary_rows({"hashes": hashes[who]}, np.arange(len(who) + 1))
         columns["bucket"] = pa.array((-1 - (hashes[who].view(np.uint64) % np.uint64(buckets)).astype(np.int64)).astype(_I32))
         empty = pa.array([b""] * len(who), pa.binary())
         yield _batch(columns | {"counts": empty, "seen": empty}, _ENTRY_COLUMNS)
@@ -164,11 +194,11 @@ def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
     run_cuts = np.searchsorted(runs, cuts)
     who = texts[runs]
     columns = binary_rows({"names": (codes & np.uint64(0xFFFFFFFF)).astype(_U32), "seen": np.minimum(sizes, 2).astype(_U8)}, cuts)
-    columns |= binary_rows({"orders": orders[who], "hashes": hashes[who], "counts": counts.astype(_I32)}, run_cuts)
+    columns |= binary_rows({"hashes": hashes[who], "counts": counts.astype(_I32)}, run_cuts)
     yield _batch(columns | {"bucket": pa.array(some.astype(_I32))}, _ENTRY_COLUMNS)
 
 
-_ENTRY_COLUMNS = ["bucket", "orders", "hashes", "counts", "names", "seen"]
+_ENTRY_COLUMNS = ["bucket", "hashes", "counts", "names", "seen"]
 
 
 def _batch(columns: dict[str, pa.Array], names: list[str]) -> pa.RecordBatch:
@@ -180,29 +210,33 @@ def joined(table: pa.Table, column: str, kind: np.dtype) -> np.ndarray:
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: the names with two entries, told to each document that has one."""
+    """Of one bucket: the names with two entries, told to each text that has one."""
     if not table.num_rows:
-        return pa.table({"ord": pa.array([], pa.int64()), "hash": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
-    orders, hashes = joined(table, "orders", _I64), joined(table, "hashes", _I64)
+        return pa.table({"hash": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
+    hashes = joined(table, "hashes", _I64)
     bucket = table.column("bucket")[0].as_py()
     if bucket < 0:
-        return pa.table({"ord": orders, "hash": hashes, "names": table.column("names")})
+        return pa.table({"hash": hashes, "names": table.column("names")})
     counts, names = joined(table, "counts", _I32), joined(table, "names", _U32)
     seen = joined(table, "seen", _U8)
+    document = np.repeat(np.arange(len(hashes)), counts)
     order = np.argsort(names, kind="stable")
-    in_order = names[order]
-    same = in_order[1:] == in_order[:-1]
+    first = np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1]))
+    sizes = np.diff(np.append(first, len(order)))
+    # Shared by texts of different hashes, or known to repeat in some block.
+    text = hashes[document[order]]
+    shared = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first)
+    shared |= np.maximum.reduceat(seen[order], first) > 1
     twice = np.zeros(len(names), dtype=bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
+    twice[order] = np.repeat(shared, sizes)
     twice &= seen < 2  # the others have been answered already
     kept = np.flatnonzero(twice)
-    document = np.repeat(np.arange(len(orders)), counts)[kept]
+    document = document[kept]
     new = np.ones(len(kept), dtype=bool)
     new[1:] = document[1:] != document[:-1]
     runs = np.flatnonzero(new)
     who = document[runs]
     codes = np.uint64(bucket) << np.uint64(32) | names[kept].astype(np.uint64)
     return pa.table(
-        {"ord": orders[who], "hash": hashes[who]} | binary_rows({"names": codes.astype(_U64)}, np.append(runs, len(kept)))
+        {"hash": hashes[who]} | binary_rows({"names": codes.astype(_U64)}, np.append(runs, len(kept)))
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import time
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +28,20 @@ def _removed(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet and read back: cuts the lineage, and later steps start from files all tasks share."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """The rows written as Parquet and read back: cuts the lineage, and later steps start from files all tasks share.
+
+    ``release`` lets Spark delete the shuffle files of the steps before, which nothing needs any more. It does so once
+    the driver has collected its garbage, which may otherwise be long after a large step.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if release:
+        del df
+        for _ in range(2):  # what the write still reports to listeners holds its plan for a moment
+            time.sleep(0.5)
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+    return out

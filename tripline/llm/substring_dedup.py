@@ -16,11 +16,14 @@ from tripline.llm.repeats import (
     binary_rows,
     bucket_count,
     codes_of,
+    copies,
     joined,
     joined_codes,
     known_rows,
     repeated_names,
+    text_classes,
 )
+from tripline.llm.store import stored
 
 # Suffixes a task sorts at a time.
 SORTED_AT_ONCE = 1 << 20
@@ -46,13 +49,16 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     if not SHALLOW + 8 <= length < 4096:
         raise ValueError(f"strings have {SHALLOW + 8} to 4095 bytes")
     rows = known_rows(docs)
-    buckets = bucket_count(rows)
-    names = repeated_names(rows, lambda flat: _anchors(flat, length)[:2], buckets)
+    classes = text_classes(rows)
+    buckets = bucket_count(classes)
+    names = repeated_names(rows, classes, lambda flat: _anchors(flat, length)[:2], buckets)
     contexts = rows.join(names, ["ord", "hash"]).mapInArrow(_cut_out(length, buckets), _CONTEXTS)
-    found = (
-        contexts.groupBy("bucket").applyInArrow(_second(length), "ord long, hash long, runs binary")
-        .groupBy("ord", "hash").agg(F.collect_list("runs").alias("runs"))
+    found = contexts.groupBy("bucket").applyInArrow(_second(length), "ord long, hash long, runs binary")
+    found = found.union(copies(rows, classes).withColumn("runs", F.lit(None).cast("binary")))
+    found = found.groupBy("ord", "hash").agg(
+        F.collect_list("runs").alias("runs"), F.max(F.col("runs").isNull()).alias("copy")
     )
+    found = stored(found, "found", release=True)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
@@ -251,7 +257,8 @@ def _sent(gathered: list[dict[str, np.ndarray]], length: int) -> Iterator[pa.Rec
     sent = np.ones(len(codes), dtype=bool)
     sent[decided] = False
     out = np.flatnonzero(sent)
-    bucket = (codes[out] >> np.uint64(32)).astype(np.int64)
+    # Each bucket of names is several here: contexts are longer than names.
+    bucket = (codes[out] >> np.uint64(29)).astype(np.int64)
     order = np.lexsort((texts[out], bucket))
     out, bucket = out[order], bucket[order]
     own = texts[out]
@@ -292,11 +299,30 @@ def _second(length: int):
         document = np.repeat(np.arange(len(orders)), joined(table, "counts", _I32))
         codes, starts = joined(table, "codes", np.dtype("<u4")), joined(table, "starts", _I32)
         lengths = joined(table, "lengths", _I32).astype(np.int64)
-        data = np.append(joined(table, "bytes", _U8), np.zeros(8, np.uint8))
+        flat = Flat(joined(table, "bytes", _U8), np.zeros(1, np.int64))
+        data = flat.padded
         begins = np.cumsum(lengths) - lengths
-        order = np.argsort(codes, kind="stable")
+        # Equal contexts are one, of the smallest document; in those of others all strings come second.
+        names = range_names(flat, begins, begins + lengths)
+        own = orders[document]
+        order = np.lexsort((own, names, codes))
+        same = (codes[order][1:] == codes[order][:-1]) & (names[order][1:] == names[order][:-1])
+        same &= lengths[order][1:] == lengths[order][:-1]
+        head = np.append(True, ~same)
+        lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+        follows = order[(own[order] > own[lead])]
+        found = [(follows, np.zeros(len(follows), np.int64), lengths[follows] - length + 1)]
+        leads, which = order[head], np.cumsum(head) - 1
+        # What is true of the first holds for the others of its document too.
+        others = order[~head & (own[order] == own[lead])]
+        group = np.empty(len(order), np.int64)
+        group[order] = which
+        several = np.zeros(len(leads), dtype=bool)
+        several[1:] |= codes[leads][1:] == codes[leads][:-1]
+        several[:-1] |= codes[leads][1:] == codes[leads][:-1]
+        order = np.sort(np.concatenate([leads[several], others[several[group[others]]]]))
+        order = order[np.argsort(codes[order], kind="stable")]
         strings = np.cumsum(lengths[order] - length + 1)
-        found = []
         at = 0
         while at < len(order):
             # As many contexts as a task sorts at a time, with all of their last anchor.
@@ -414,9 +440,12 @@ def _removed(length: int):
         for batch in batches:
             for piece in pieces(batch):
                 out = []
-                for text, lists in zip(piece.column("text"), piece.column("runs").to_pylist()):
+                rows = zip(piece.column("text"), piece.column("runs").to_pylist(), piece.column("copy").to_pylist())
+                for text, lists, copy in rows:
                     data = np.frombuffer(text.as_buffer(), np.uint8)
                     gone = np.zeros(len(data) + 1, np.int32)
+                    if copy and len(data) >= length:
+                        gone[0] = 1
                     if lists:
                         runs = np.frombuffer(b"".join(lists), _I32).reshape(-1, 2)
                         np.add.at(gone, runs[:, 0], 1)

@@ -20,9 +20,9 @@ from tripline.llm.flat import Flat, Words, flattened, pieces
 # Bytes of text that one file is made of.
 FILE_BYTES = 64 << 20
 # Word encodings a task remembers; it forgets all when there are more.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 # Bytes of text whose distinct words are looked up together.
-PIECE = 6 << 20
+PIECE = 4 << 20
 
 _SCHEMA = "part int, row long, doc_id long, start long, n_tokens int, ids array<int>"
 
