@@ -185,7 +185,7 @@ def test_web_source(tmp_path, monkeypatch, ranges, length):
     monkeypatch.setattr(transfer.urllib.request, "urlopen", web)
     url, staged = "https://data.example.org/file", str(tmp_path / ".staged")
     _, kept, parts, error = transfer.inspect(url, str(tmp_path / "target"), False)
-    assert (kept, parts, error) == (False, [("", 10 if length else -1, ranges and length)], None)
+    assert (kept, parts, error) == (False, [("", 10 if length else -1, ranges and length, None)], None)
     if ranges and length:
         assert transfer.copy_range(url, "", staged, 6, 4) == (4, None)
         assert transfer.copy_range(url, "", staged, 0, 6) == (6, None)
@@ -198,11 +198,55 @@ def test_web_source(tmp_path, monkeypatch, ranges, length):
     assert (tmp_path / "target").read_bytes() == b"0123456789"
 
 
+@pytest.mark.parametrize("tag", ['"v1"', 'W/"v1"', None])
+def test_ranges_are_of_one_version(tmp_path, monkeypatch, tag):
+    """A server that has published the file again answers a conditional range with the whole new file."""
+    sent = []
+
+    def answer(request, timeout):
+        sent.append(request.get_header("If-range"))
+        reply = io.BytesIO(b"0123456789")
+        reply.status, reply.headers = 200, {"Content-Length": "10", "Accept-Ranges": "bytes"} | ({"ETag": tag} if tag else {})
+        return reply
+
+    monkeypatch.setattr(transfer.urllib.request, "urlopen", answer)
+    url, staged = "https://data.example.org/file", str(tmp_path / ".staged")
+    _, _, [(_, size, seekable, version)], _ = transfer.inspect(url, str(tmp_path / "target"), False)
+    assert (size, seekable, version) == (10, True, tag if tag == '"v1"' else None)
+    copied, error = transfer.copy_range(url, "", staged, 0, 10, version)
+    assert sent == [None, version]
+    assert (copied, "another version" in (error or "")) == ((None, True) if version else (10, False))
+
+
+def test_an_old_folder_is_put_back_when_publishing_fails(tmp_path, monkeypatch):
+    target, staged = tmp_path / "target", tmp_path / ".staged"
+    for folder, text in ((target, "old"), (staged, "new")):
+        folder.mkdir()
+        (folder / "part-0").write_text(text)
+    rename = os.rename
+
+    def failing(source, place):
+        if str(source) == str(staged):
+            raise OSError("disk is gone")
+        rename(source, place)
+
+    monkeypatch.setattr(os, "rename", failing)
+    status, *_ = transfer.publish(str(target), str(staged), False, 3, None)
+    assert status == "failed: OSError: disk is gone"
+    assert (target / "part-0").read_text() == "old"
+
+
+def test_an_address_that_no_task_can_write_to(spark, published):
+    files = landing_files(spark, str(published), "s3a://bucket/landing", 2023, [1])
+    with pytest.raises(ValueError, match="mount.*s3a://bucket/landing"):
+        land_files(files)
+
+
 def test_web_source_without_head(tmp_path, monkeypatch):
     monkeypatch.setattr(transfer.urllib.request, "urlopen", Web(b"0123456789", True, True, head=False))
     url, staged = "https://data.example.org/file", str(tmp_path / ".staged")
     *_, parts, error = transfer.inspect(url, str(tmp_path / "target"), False)
-    assert (parts, error) == ([("", -1, False)], None)
+    assert (parts, error) == ([("", -1, False, None)], None)
     assert transfer.copy_range(url, "", staged, 0, -1) == (10, None)
 
 
@@ -223,7 +267,7 @@ def test_odd_names_of_parts(tmp_path):
     folder.mkdir()
     (folder / "part 100%25.parquet").write_bytes(b"xyz")
     url, staged = folder.as_uri(), str(tmp_path / ".staged")
-    _, _, [(part, size, _)], error = transfer.inspect(url, str(tmp_path / "target"), False)
+    _, _, [(part, size, *_)], error = transfer.inspect(url, str(tmp_path / "target"), False)
     assert (part, size, error) == ("part 100%25.parquet", 3, None)
     assert transfer.copy_range(url, part, staged, 0, 3) == (3, None)
     assert transfer.publish(str(tmp_path / "target"), staged, False, 3, None)[0] == "success"

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -14,11 +16,12 @@ from tripline.sources import (
     landing_types,
     missing_landing_columns,
     missing_months,
-    physical_schemas,
+    landed_parts,
     read_landing,
     read_month,
     schema_drift,
 )
+from tripline.sources import footers
 from tripline.sources.scratch import checkpoint_root, new_folder
 
 RAW_TYPES = [
@@ -82,7 +85,8 @@ def test_missing_file_and_missing_column(spark, landed, tmp_path):
         landed_path(str(tmp_path), 2023, 1))
     with pytest.raises(ValueError, match="total_amount.*2023-01"):
         read_landing(spark, str(tmp_path), 2023, [1])
-    assert missing_landing_columns(spark, str(tmp_path), 2023, [1]).collect() == [(2023, 1, "total_amount")]
+    lacking = missing_landing_columns(spark, str(tmp_path), 2023, [1]).select("year", "month", "column_name")
+    assert lacking.distinct().collect() == [(2023, 1, "total_amount")]
     assert missing_landing_columns(spark, landed).count() == 0
 
 
@@ -107,7 +111,56 @@ def test_schema_drift(spark, landed):
         ("passenger_count", "bigint", 4, [2, 3, 4, 5]), ("passenger_count", "double", 1, [1]),
     ]
     assert schema_drift(spark, landed, months=[2, 3]).count() == 0
-    assert landing_types(spark, landed, months=[1]).count() == len(physical_schemas(spark, landed, 2023, [1])[1])
+    columns = len(spark.read.parquet(landed_path(landed, 2023, 1)).columns)
+    assert landing_types(spark, landed, months=[1]).count() == columns * landed_parts(spark, landed, months=[1]).count()
+
+
+def test_parts_of_a_month_that_differ(spark, landed, tmp_path):
+    """The types of every part count, not those of one: no part is misread and no missing column goes unseen."""
+    month, base = spark.read.parquet(landed_path(landed, 2023, 2)), str(tmp_path / "types")
+    month.limit(5).write.parquet(landed_path(base, 2023, 2))
+    month.limit(7).withColumn("total_amount", F.col("total_amount").cast("float")).write.mode("append").parquet(
+        landed_path(base, 2023, 2))
+    assert read_landing(spark, base, 2023, [2]).where("total_amount IS NOT NULL OR VendorID IS NULL").count() > 0
+    assert read_landing(spark, base, 2023, [2]).count() == 12
+    found = schema_drift(spark, base, 2023, [2]).collect()
+    assert {(r.column_name, r.data_type) for r in found} == {("total_amount", "double"), ("total_amount", "float")}
+
+    base = str(tmp_path / "columns")
+    month.limit(5).write.parquet(landed_path(base, 2023, 2))
+    month.limit(7).drop("total_amount").write.mode("append").parquet(landed_path(base, 2023, 2))
+    with pytest.raises(ValueError, match=r"\['total_amount'\] in .*part-"):
+        read_landing(spark, base, 2023, [2])
+    lacking = missing_landing_columns(spark, base, 2023, [2]).collect()
+    assert [(r.month, r.column_name) for r in lacking] == [(2, "total_amount")] and "part-" in lacking[0].path
+
+
+def test_footers_not_written_by_spark(tmp_path):
+    table = pa.table({"VendorID": pa.array([1], pa.uint32()), "at": pa.array([0], pa.timestamp("us")),
+                      "utc": pa.array([0], pa.timestamp("us", "UTC")), "name": ["x"]})
+    pq.write_table(table, tmp_path / "new.parquet")
+    pq.write_table(table, tmp_path / "old.parquet", use_deprecated_int96_timestamps=True)
+    new, old = (
+        {c["name"]: c["type"] for c in footers.types_of(pq.ParquetFile(tmp_path / name))} for name in ("new.parquet", "old.parquet")
+    )
+    assert new == {"VendorID": "bigint", "at": "timestamp_ntz", "utc": "timestamp", "name": "string"}
+    assert old["at"] == "timestamp"
+
+
+def test_footers_that_only_spark_reads(spark, landed, monkeypatch):
+    wanted = sorted(map(tuple, landing_types(spark, landed).collect()), key=repr)
+    monkeypatch.setattr(footers, "_columns", lambda path: None)
+    assert sorted(map(tuple, landing_types(spark, landed).collect()), key=repr) == wanted
+
+
+def test_files_of_two_years(spark, landed, tmp_path):
+    base = str(tmp_path)
+    for year, month in ((2023, 12), (2024, 1)):
+        spark.read.parquet(landed_path(landed, 2023, 1)).limit(3).write.parquet(landed_path(base, year, month))
+    found = read_landing(spark, base, months=[(2023, 12), (2024, "01")])
+    rows = found.groupBy("source_year", "source_month", "source_file").count().collect()
+    assert sorted(map(tuple, rows)) == [(y, m, landed_path(base, y, m), 3) for y, m in ((2023, 12), (2024, 1))]
+    assert missing_months(spark, base, months=[(2023, 12), (2024, 2)]).collect() == [(2024, 2)]
 
 
 def test_checkpoint_folder_is_the_one_the_session_names(spark):
@@ -117,7 +170,8 @@ def test_checkpoint_folder_is_the_one_the_session_names(spark):
 
 
 def test_a_cluster_must_name_its_checkpoint_folder():
-    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        checkpoint_root(session)
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(session)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow.parquet as pq
@@ -31,6 +32,7 @@ from tripline.plans import (
     replace_months,
     write_table,
 )
+from tripline.plans.registry import queries
 from tripline.plans.standin import Standin
 from tripline.sources import read_landing
 from tripline.sources.local import side_by_side
@@ -116,28 +118,62 @@ def test_overwrite_replaces_the_schema(spark, lake):
     assert stored.dtypes == [("other", "string")] and stored.count() == 2
 
 
-def test_settings_are_put_back(spark, lake):
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    write_table(spark.range(1), lake, "gold_trips")
-    assert spark.conf.get(key) == before
+def test_a_build_leaves_the_sessions_own_writes_alone(spark, landed, lake):
+    """While layers are built, another thread of the session overwrites a table of its own, as a whole."""
+    own = f"{lake.database}.own"
+    create_raw(spark, landed, lake=lake)
+    rows = spark.range(6).selectExpr("id", "id % 3 AS part")
+    rows.write.partitionBy("part").saveAsTable(own)
+    before = spark.conf.getAll
+
+    def build(turn):
+        if turn:
+            return create_raw(spark, landed, months=[2], mode="overwrite_partitions", lake=lake).count()
+        for _ in range(4):
+            rows.write.insertInto(own, overwrite=True)
+            rows.where("part = 0").write.insertInto(own, overwrite=True)
+            assert spark.table(own).count() == 2
+        return 2
 
+    assert side_by_side(spark, build, [1, 0]) == [1000, 2]
+    assert spark.conf.getAll == before
 
-def test_gold_trips_as_a_view(spark, landed, lake):
+
+def test_gold_trips_as_view_and_table(spark, landed, lake):
     create_raw(spark, landed, lake=lake)
     create_silver(spark, lake=lake)
-    view = create_gold(spark, lake=lake, trips_as="view")["gold_trips_df"]
-    assert view.columns == GOLD_TRIP_COLUMNS and view.count() == 634
-    assert layer_tables(spark, lake).where("is_present").count() == 5
-    create_gold(spark, lake=lake, trips_as="view")
-    table = create_gold(spark, lake=lake, trips_as="table")["gold_trips_df"]
-    assert table.columns == GOLD_TRIP_COLUMNS and table.count() == 634
-    with pytest.raises(Exception, match="VIEW|view"):
-        create_gold(spark, lake=lake, trips_as="view")
+    for kind in ("view", "view", "table", "table", "view"):
+        trips = create_gold(spark, lake=lake, trips_as=kind)["gold_trips_df"]
+        assert trips.columns == GOLD_TRIP_COLUMNS and trips.count() == 634
+        assert layer_tables(spark, lake).where("is_present").count() == 5
     with pytest.raises(ValueError, match="trips_as"):
         create_gold(spark, lake=lake, trips_as="stream")
 
 
+def test_the_period_is_that_of_the_load(spark, tmp_path, lake):
+    base = str(tmp_path / "landing")
+    columns = ("VendorID", "passenger_count", "total_amount", PICKUP, DROPOFF)
+
+    def land_in(folder, year, month, *trips):
+        raw_rows(spark, *trips).select(*columns).write.parquet(landed_path(folder, year, month))
+
+    december = trip("2023-12-05 10:00:00", "2023-12-05 11:00:00")
+    january = trip("2024-01-05 10:00:00", "2024-01-05 11:00:00")
+    land_in(base, 2023, 12, december, january)
+    land_in(base, 2024, 1, january)
+    built = create_all(spark, base, months=[(2023, 12), (2024, 1)], lake=lake, hourly_month=(2024, 1))
+    assert months_of(built["silver_df"]) == {(2023, 12): 1, (2024, 1): 2}
+    land_in(base + "2", 2024, 1, january, january)
+    assert months_of(replace_months(spark, base + "2", [1], 2024, lake=lake)) == {(2023, 12): 1, (2024, 1): 3}
+    with pytest.raises(ValueError, match="built for"):
+        replace_months(spark, base + "2", [1], 2024, lake=lake, period=Period())
+    land_in(base + "2", 2024, 2, january)
+    with pytest.raises(ValueError, match="not in the period"):
+        replace_months(spark, base + "2", [2], 2024, lake=lake)
+    with pytest.raises(QualityError, match="no row of raw is clean"):
+        create_silver(spark, lake=lake, period=Period())
+
+
 def test_other_period(spark, landed, lake):
     create_raw(spark, landed, lake=lake)
     silver = create_silver(spark, lake=lake, period=Period(date(2023, 2, 1), date(2023, 3, 1)))
@@ -160,7 +196,7 @@ def test_replacing_a_month_rebuilds_every_month_its_files_reach(spark, tmp_path,
     land(spark, tmp_path / "old", 2, february, march)
     land(spark, tmp_path / "old", 4, april, february, may)
     create_raw(spark, old, months=[1, 2, 4], lake=lake)
-    silver = create_silver(spark, lake=lake)
+    silver = create_silver(spark, lake=lake, period=Period())
     assert months_of(silver) == {(2023, 1): 1, (2023, 2): 2, (2023, 3): 1, (2023, 4): 1, (2023, 5): 1}
     untouched = silver.where("pickup_month = 1").select("silver_loaded_at").first()
 
@@ -170,7 +206,8 @@ def test_replacing_a_month_rebuilds_every_month_its_files_reach(spark, tmp_path,
     assert silver.where("pickup_month = 1").select("silver_loaded_at").first() == untouched
     assert spark.sql(f"SHOW PARTITIONS {lake.table('silver')}").count() == 4
     # The same rows as if everything were built anew.
-    assert without_load_times(create_silver(spark, lake=lake)) == without_load_times(silver)
+    replaced = without_load_times(silver)
+    assert without_load_times(create_silver(spark, lake=lake, period=Period())) == replaced
 
 
 def test_replacing_can_be_repeated_after_it_was_cut_off(spark, tmp_path, lake):
@@ -252,11 +289,23 @@ def test_a_failed_write_of_partitions_leaves_the_old_rows(spark, landed, lake):
 
 def test_layers_built_by_several_threads(spark, landed, tmp_path):
     lakes = [Lakehouse(database=f"test_{uuid4().hex}", location=str(tmp_path / str(n))) for n in range(3)]
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-
     def build(lake):
         create_raw(spark, landed, lake=lake)
         return create_raw(spark, landed, months=[2], mode="overwrite_partitions", lake=lake).count()
 
     assert side_by_side(spark, build, lakes) == [1000] * 3
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_queries_leave_no_tables_or_folders_behind(spark):
+    folder, names = "/root/testdata/sf0.001", ("raw_append_month", "incremental_month_replace", "landing_manifest")
+    Standin.of(spark, folder).gold()
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def held():
+        made = {path for path in root.iterdir() if path.name.split("-")[0] in ("lake", "landing", "manifest")}
+        return made, spark.sql("SHOW DATABASES").count()
+
+    before = held()
+    for name in names:
+        assert queries()[name](spark, folder).count() > 0
+    assert held() == before

@@ -26,11 +26,11 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     tables.add_argument("--storage", default=Lakehouse.storage)
 
     layers = argparse.ArgumentParser(add_help=False)
-    layers.add_argument("--start", type=date.fromisoformat, default=Period.start, help="first pickup day")
-    layers.add_argument("--end", type=date.fromisoformat, default=Period.end, help="day after the last pickup day")
+    layers.add_argument("--start", type=date.fromisoformat, help="first pickup day; without it, the months loaded count")
+    layers.add_argument("--end", type=date.fromisoformat, help="day after the last pickup day")
     layers.add_argument("--hourly", type=int, nargs=2, default=[2023, 5], metavar=("YEAR", "MONTH"),
                         help="the month whose hours of the day are compared")
-    layers.add_argument("--trips-as", choices=["table", "view"], default="table")
+    layers.add_argument("--trips-as", choices=["table", "view"], default="view")
 
     parser = argparse.ArgumentParser(prog="tripline", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -56,15 +56,19 @@ def main(arguments: list[str] | None = None) -> None:
         assert_no_rows(failed_files(manifest).select("year", "month", "status"), "files not landed")
         return
     lake = Lakehouse(chosen.database, chosen.location, chosen.storage)
-    if chosen.command == "build":
+    period = None
+    if chosen.command != "answer" and (chosen.start or chosen.end):
+        if not (chosen.start and chosen.end):
+            raise SystemExit("--start and --end are given together")
         period = Period(chosen.start, chosen.end)
+    if chosen.command == "build":
         create_all(spark, chosen.landing, chosen.year, chosen.months, lake, period, tuple(chosen.hourly),
                    chosen.trips_as)
     elif chosen.command == "replace":
-        period = Period(chosen.start, chosen.end)
         replace_months(spark, chosen.landing, chosen.months, chosen.year, lake, period)
         create_gold(spark, "overwrite", lake, *chosen.hourly, chosen.trips_as)
-    answer_avg_total_amount_by_month(spark, lake).show(1000)
+    monthly = answer_avg_total_amount_by_month(spark, lake)
+    monthly.show(monthly.count())
     answer_avg_passenger_count_by_hour(spark, lake).show(24)
 
 

@@ -78,6 +78,16 @@ def as_months(months) -> list[int]:
     return found
 
 
+def year_months(year: int, months) -> list[tuple[int, int]]:
+    """Distinct (year, month) pairs; a month without a year of its own is one of ``year``."""
+    pairs = [tuple(month) if isinstance(month, (tuple, list)) else (year, month) for month in months]
+    years = sorted({int(own) for own, _ in pairs})
+    found = [(own, month) for own in years for month in as_months(m for y, m in pairs if int(y) == own)]
+    if not found:
+        raise ValueError("at least one month is required")
+    return found
+
+
 @dataclass(frozen=True)
 class Period:
     """Pickup days that count, from ``start`` up to but not including ``end``."""
@@ -85,6 +95,17 @@ class Period:
     start: date = date(2023, 1, 1)
     end: date = date(2023, 6, 1)
 
+    @classmethod
+    def covering(cls, months: list[tuple[int, int]]) -> Period:
+        """The days from the first to the last of some (year, month) pairs."""
+        (first_year, first), (year, month) = min(months), max(months)
+        return cls(date(first_year, first, 1), date(year + month // 12, month % 12 + 1, 1))
+
+    def holds(self, year: int, month: int) -> bool:
+        """Whether all days of a month count."""
+        whole = Period.covering([(year, month)])
+        return self.start <= whole.start and whole.end <= self.end
+
     def first_instant(self) -> Column:
         return F.lit(self.start).cast("timestamp")
 

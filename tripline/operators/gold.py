@@ -14,18 +14,14 @@ def trip_facts(silver: DataFrame) -> DataFrame:
 
 
 def mean_by(trips: DataFrame, keys: list[str], measure: str) -> DataFrame:
-    """Mean of ``measure`` to two decimals and number of trips per group, in the order of the keys.
+    """Mean of ``measure`` to two decimals and number of trips per group. Who reads the stored table sorts it.
 
     Every task first reduces its rows to one partial sum and count per group, so what is shuffled grows with
     the number of tasks and groups only, however large a single group is.
     """
-    return (
-        trips.groupBy(*keys)
-        .agg(
-            F.round(F.mean(measure), 2).alias(f"avg_{measure}"),
-            F.count(F.lit(1)).alias("trip_count"),
-        )
-        .orderBy(*keys)
+    return trips.groupBy(*keys).agg(
+        F.round(F.mean(measure), 2).alias(f"avg_{measure}"),
+        F.count(F.lit(1)).alias("trip_count"),
     )
 
 
@@ -46,4 +42,4 @@ def avg_passenger_count_by_hour(silver: DataFrame, year: int = 2023, month: int
 def trip_count_by_month_hour(silver: DataFrame) -> DataFrame:
     """How are trips spread over months and hours?"""
     keys = ["pickup_year", "pickup_month", "pickup_hour"]
-    return silver.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count")).orderBy(*keys)
+    return silver.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +32,29 @@ def clean_trips(
     )
 
 
-def gather_strays(silver: DataFrame) -> DataFrame:
-    """``silver`` laid out for a write by pickup month, without moving the bulk of it.
+def gather_strays(
+    raw: DataFrame, period: Period = Period(), months: list[tuple[int, int]] = ()
+) -> DataFrame:
+    """The clean trips of ``raw`` laid out for a write by pickup month, without moving the bulk of them.
+
+    Nearly all trips lie in the file of their pickup month. A task that scans such a file already holds one month and
+    can write it as it is. Only the strays, which would leave a small file per task and month, are shuffled together;
+    the rebalance hint splits a month that is too large for one task.
 
-    Nearly all trips lie in the file of their pickup month. A task that scans such a file already holds one
-    month and can write it as it is. Only the strays, which would leave a small file per task and month, are
-    shuffled together; the rebalance hint splits a month that is too large for one task.
+    ``months`` are source months of ``raw``. Strays are looked for a month at a time, by pickups before or after it:
+    that reads one partition, and in it only the row groups whose statistics reach outside the month. Rows of other
+    source months, or of none, are searched in full.
     """
     at_home = F.col("pickup_year").eqNullSafe(F.col("source_year")) & F.col("pickup_month").eqNullSafe(
         F.col("source_month")
     )
-    strays = silver.where(~at_home).hint("rebalance", "pickup_year", "pickup_month")
-    return silver.where(at_home).unionByName(strays)
+    listed, branches = F.lit(False), []
+    for year, month in months:
+        own = (F.col("source_year") == year) & (F.col("source_month") == month)
+        inside = Period.covering([(year, month)])
+        outside = (F.col(PICKUP) < inside.first_instant()) | (F.col(PICKUP) >= inside.end_instant())
+        branches.append(clean_trips(raw.where(own).where(outside), period))
+        listed = listed | F.coalesce(own, F.lit(False))
+    branches.append(clean_trips(raw.where(~listed), period).where(~at_home))
+    strays = reduce(DataFrame.unionByName, branches).hint("rebalance", "pickup_year", "pickup_month")
+    return clean_trips(raw, period).where(at_home).unionByName(strays)

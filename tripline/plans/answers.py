@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripline.contract import Lakehouse
+from tripline.contract import GOLD_TRIP_COLUMNS, Lakehouse
 
 
 def answer_avg_total_amount_by_month(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> DataFrame:
@@ -20,5 +20,5 @@ def answer_avg_passenger_count_by_hour(spark: SparkSession, lake: Lakehouse = La
 
 
 def first_trips(spark: SparkSession, lake: Lakehouse = Lakehouse(), rows: int = 100) -> DataFrame:
-    """Any ``rows`` trips, in the table's column order."""
-    return spark.sql(f"SELECT * FROM {lake.table('gold_trips')} LIMIT {int(rows)}")
+    """Any ``rows`` trips, in the documented column order."""
+    return spark.sql(f"SELECT {', '.join(GOLD_TRIP_COLUMNS)} FROM {lake.table('gold_trips')} LIMIT {int(rows)}")

@@ -12,25 +12,29 @@ from pyspark.sql import functions as F
 from tripline.contract import (
     DEFAULT_MONTHS,
     DEFAULT_YEAR,
+    GOLD_TRIP_COLUMNS,
     PICKUP,
     RAW_PARTITIONS,
     SILVER_PARTITIONS,
     Lakehouse,
     Period,
-    as_months,
+    year_months,
 )
 from tripline.operators.gold import (
     avg_passenger_count_by_hour,
     avg_total_amount_by_month,
     trip_facts,
 )
-from tripline.operators.quality import assert_clean, assert_no_rows, assert_required_columns
+from tripline.operators.quality import QualityError, assert_clean, assert_no_rows, assert_required_columns
 from tripline.operators.silver import clean_trips, gather_strays
 from tripline.plans.tables import (
     OVERWRITE_PARTITIONS,
+    build_session,
     drop_partitions,
-    ensure_database,
     layer_tables,
+    remember_period,
+    remembered_period,
+    seen_by,
     write_table,
     write_tables,
 )
@@ -45,27 +49,39 @@ def create_raw(
     mode: str = "overwrite",
     lake: Lakehouse = Lakehouse(),
 ) -> DataFrame:
-    """Landing files to the raw table. A scan task reads one month's file, so no shuffle comes before the write."""
-    landed = read_landing(spark, landing_base, year, months)
-    raw = write_table(landed, lake, "raw", mode, RAW_PARTITIONS)
+    """Landing files to the raw table. A scan task reads one month's file, so no shuffle comes before the write.
+
+    ``months`` are months of ``year``, or (year, month) pairs of several years.
+    """
+    landed = read_landing(build_session(spark), landing_base, year, months)
+    write_table(landed, lake, "raw", mode, RAW_PARTITIONS)
     if mode == OVERWRITE_PARTITIONS:
         # Row counts come from the files' footers.
         held = {tuple(row) for row in landed.select(*RAW_PARTITIONS).distinct().collect()}
-        empty = {(year, month) for month in as_months(months)} - held
+        empty = set(year_months(year, months)) - held
         drop_partitions(spark, lake, "raw", [dict(zip(RAW_PARTITIONS, key)) for key in sorted(empty)])
-        raw = spark.table(lake.table("raw"))
-    return raw
+    return seen_by(spark, lake, "raw")
 
 
 def create_silver(
     spark: SparkSession,
     mode: str = "overwrite",
     lake: Lakehouse = Lakehouse(),
-    period: Period = Period(),
+    period: Period | None = None,
 ) -> DataFrame:
-    """Raw table to the silver table."""
-    silver = clean_trips(spark.table(lake.table("raw")), period)
-    return write_table(gather_strays(silver), lake, "silver", mode, SILVER_PARTITIONS)
+    """Raw table to the silver table. The period is that of raw's source months, unless one is given.
+
+    It is stored with the table, for months that are replaced later. A raw table of which no row is clean is an
+    error: its months are then hardly those of the period.
+    """
+    raw = seen_by(build_session(spark), lake, "raw")
+    months = _source_months(raw)
+    period = period or (Period.covering(months) if months else Period())
+    silver = write_table(gather_strays(raw, period, months), lake, "silver", mode, SILVER_PARTITIONS)
+    remember_period(spark, lake, period)
+    if silver.isEmpty() and not raw.isEmpty():
+        raise QualityError(f"no row of raw is clean in the period from {period.start} to {period.end}")
+    return seen_by(spark, lake, "silver")
 
 
 def create_gold(
@@ -74,32 +90,36 @@ def create_gold(
     lake: Lakehouse = Lakehouse(),
     year: int = 2023,
     month: int = 5,
-    trips_as: str = "table",
+    trips_as: str = "view",
 ) -> dict[str, DataFrame]:
     """Silver table to the three consumer tables.
 
-    ``trips_as="view"`` publishes the trip detail as a view on silver: no second copy of all trips is stored,
-    and a filter on ``pickup_year`` and ``pickup_month`` reaches silver's partitions.
+    The trip detail is a view on silver: no second copy of all trips is stored, and a filter on ``pickup_year`` and
+    ``pickup_month`` reaches silver's partitions. ``trips_as="table"`` stores a copy, partitioned the same way. What
+    lies there as the other kind is replaced.
     """
     if trips_as not in ("table", "view"):
         raise ValueError(f"trips_as must be 'table' or 'view', not {trips_as!r}")
-    silver = spark.table(lake.table("silver"))
+    silver = seen_by(build_session(spark), lake, "silver")
     frames = {
         "gold_trips": trip_facts(silver),
         "gold_monthly": avg_total_amount_by_month(silver),
         "gold_hourly": avg_passenger_count_by_hour(silver, year, month),
     }
+    trips = lake.table("gold_trips")
+    kind = spark.catalog.getTable(trips).tableType if spark.catalog.tableExists(trips) else None
     if trips_as == "view":
         columns = ", ".join(frames.pop("gold_trips").columns)
-        ensure_database(spark, lake)
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {lake.table('gold_trips')} AS SELECT {columns} FROM {lake.table('silver')}"
-        )
-    stored = write_tables(frames, lake, mode)
+        if kind not in (None, "VIEW"):
+            spark.sql(f"DROP TABLE {trips}")
+        spark.sql(f"CREATE OR REPLACE VIEW {trips} AS SELECT {columns} FROM {lake.table('silver')}")
+    elif kind == "VIEW":
+        spark.sql(f"DROP VIEW {trips}")
+    write_tables(frames, lake, mode, {"gold_trips": SILVER_PARTITIONS})
     return {
-        "gold_trips_df": spark.table(lake.table("gold_trips")),
-        "monthly_avg_df": stored["gold_monthly"],
-        "may_hourly_passengers_df": stored["gold_hourly"],
+        "gold_trips_df": seen_by(spark, lake, "gold_trips").select(*GOLD_TRIP_COLUMNS),
+        "monthly_avg_df": seen_by(spark, lake, "gold_monthly"),
+        "may_hourly_passengers_df": seen_by(spark, lake, "gold_hourly"),
     }
 
 
@@ -109,33 +129,50 @@ def replace_months(
     months,
     year: int = DEFAULT_YEAR,
     lake: Lakehouse = Lakehouse(),
-    period: Period = Period(),
+    period: Period | None = None,
 ) -> DataFrame:
     """Load some months again, leave the others alone, and return the silver table.
 
+    The period is the one silver was built for; another one, or months that it does not hold, is an error, for rows
+    outside it would be dropped without a word. ``months`` are as for ``create_raw``.
+
     A file also holds pickups of other months, so the silver months to rebuild are those that hold rows of the
     old files and those the new files have rows for. They are rebuilt from all of raw and swapped in together.
     A run that is cut off can be repeated: the old months are looked up in silver, which changes last.
     """
-    months = as_months(months)
-    raw_name, silver_name = lake.table("raw"), lake.table("silver")
-    reloaded = (F.col("source_year") == year) & F.col("source_month").isin(months)
-
-    before = _pickup_months(spark.table(silver_name).where(reloaded))
+    asked = year_months(year, months)
+    known = remembered_period(spark, lake)
+    if known and period and known != period:
+        raise ValueError(f"silver was built for {known}, not for {period}")
+    period = period or known or Period()
+    outside = [month for month in asked if not period.holds(*month)]
+    if outside:
+        raise ValueError(f"months {outside} are not in the period from {period.start} to {period.end}")
+    own = build_session(spark)
+    reloaded = reduce(
+        or_, [(F.col("source_year") == y) & (F.col("source_month") == month) for y, month in asked]
+    )
+
+    before = _pickup_months(seen_by(own, lake, "silver").where(reloaded))
     create_raw(spark, landing_base, year, months, OVERWRITE_PARTITIONS, lake)
-    raw = spark.table(raw_name)
+    raw = seen_by(own, lake, "raw")
     after = _pickup_months(clean_trips(raw.where(reloaded), period))
-    if not before | after:
-        return spark.table(silver_name)
-
-    rebuilt = clean_trips(raw.where(_picked_up_in(before | after)), period)
-    write_table(gather_strays(rebuilt), lake, "silver", OVERWRITE_PARTITIONS, SILVER_PARTITIONS)
+    if before | after:
+        rebuilt = raw.where(_picked_up_in(before | after))
+        laid_out = gather_strays(rebuilt, period, _source_months(raw))
+        write_table(laid_out, lake, "silver", OVERWRITE_PARTITIONS, SILVER_PARTITIONS)
     # A month without rows is not overwritten. Only months the new files do not reach can have become empty.
     gone = before - after
     if gone:
         gone -= _pickup_months(clean_trips(raw.where(_picked_up_in(gone)), period))
         drop_partitions(spark, lake, "silver", [dict(zip(SILVER_PARTITIONS, key)) for key in sorted(gone)])
-    return spark.table(silver_name)
+    return seen_by(spark, lake, "silver")
+
+
+def _source_months(raw: DataFrame) -> list[tuple[int, int]]:
+    """The months whose files are in raw: its partitions, without reading a row of them."""
+    found = raw.select(*RAW_PARTITIONS).distinct().collect()
+    return sorted(tuple(row) for row in found if None not in tuple(row) and 1 <= row[1] <= 12)
 
 
 def _pickup_months(silver: DataFrame) -> set[tuple[int, int]]:
@@ -162,14 +199,18 @@ def create_all(
     year: int = DEFAULT_YEAR,
     months=DEFAULT_MONTHS,
     lake: Lakehouse = Lakehouse(),
-    period: Period = Period(),
+    period: Period | None = None,
     hourly_month: tuple[int, int] = (2023, 5),
-    trips_as: str = "table",
+    trips_as: str = "view",
 ) -> dict[str, DataFrame]:
-    """Raw, silver and gold in turn, each checked before the next one builds on it."""
+    """Raw, silver and gold in turn, each checked before the next one builds on it.
+
+    The period is that of the months, unless one is given.
+    """
     assert_no_rows(missing_months(spark, landing_base, year, months), "months not landed")
     raw = create_raw(spark, landing_base, year, months, lake=lake)
     assert_required_columns(raw)
+    period = period or Period.covering(year_months(year, months))
     silver = create_silver(spark, lake=lake, period=period)
     assert_clean(silver, period)
     gold = create_gold(spark, "overwrite", lake, *hourly_month, trips_as)

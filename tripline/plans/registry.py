@@ -13,14 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripline.contract import GOLD_TRIP_COLUMNS, RAW_PARTITIONS, TRIP_COLUMNS
+from tripline.contract import (
+    DROPOFF,
+    GOLD_TRIP_COLUMNS,
+    PICKUP,
+    RAW_PARTITIONS,
+    TRIP_COLUMNS,
+    Lakehouse,
+    landed_path,
+)
 from tripline.operators import gold, quality
 from tripline.operators.silver import clean_trips
 from tripline.plans import answers, tables
 from tripline.plans.layers import create_raw, create_silver, replace_months
 from tripline.plans.standin import ORACLE_TRIPS, Standin, write_landing
 from tripline.sources import fetch, landing
-from tripline.sources.scratch import new_folder
+from tripline.sources.scratch import new_folder, remove
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +116,17 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def _finished(answer: DataFrame, *folders: str, lake: Lakehouse | None = None) -> DataFrame:
+    """The few rows of an answer, after the tables and folders that were made for it are gone."""
+    spark = answer.sparkSession
+    rows = spark.createDataFrame(answer.toArrow(), answer.schema)
+    if lake is not None:
+        tables.drop_lake(spark, lake)
+        folders = (*folders, lake.location)
+    remove(spark, *folders)
+    return rows
+
+
 # Landing
 
 
@@ -222,12 +241,74 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("source_year").alias("year"), F.col("source_month").alias("month"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return (
+    answer = (
         attempts.join(last, ["year", "month"])
         .join(rows, ["year", "month"], "left")
         .withColumn("record_count", F.coalesce("rows", F.lit(0).cast("bigint")))
         .drop("rows")
     )
+    return _finished(answer, base, history)
+
+
+@_registered("""
+SELECT CAST(2023 AS INTEGER) AS year, CAST(m AS INTEGER) AS month
+FROM range(5, 8) AS expected(m) LEFT JOIN raw ON source_month = m GROUP BY m HAVING count(source_month) = 0""")
+def landing_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months from May to July whose last attempt did not fetch a file: those that are not published."""
+    published, base = Standin.of(spark, sf_dir).landing, new_folder(spark, "landing")
+    files = fetch.landing_files(spark, published, base, 2023, range(5, 8)).withColumn(
+        "source_url", F.replace("landing_path", F.lit(base), F.lit(published))
+    )
+    return _finished(fetch.failed_files(fetch.land_files(files)).select("year", "month"), base)
+
+
+@_registered("""
+SELECT CAST(2023 AS INTEGER) AS year, CAST(source_month AS INTEGER) AS month,
+       'https://data.example.org/trips/yellow_tripdata_2023-0' || source_month || '.parquet' AS source_url,
+       count(*) AS record_count
+FROM raw GROUP BY source_month""")
+def landing_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each landed month is published, and how many rows it has."""
+    base = Standin.of(spark, sf_dir).landing
+    files = fetch.landing_files(spark, "https://data.example.org/trips/", base, 2023)
+    counts = landing.read_landing(spark, base).groupBy(
+        F.col("source_year").alias("year"), F.col("source_month").alias("month")
+    ).agg(F.count(F.lit(1)).alias("record_count"))
+    return files.drop("landing_path").join(counts, ["year", "month"])
+
+
+@_registered("""
+SELECT source_month, count(*) AS record_count, count(VendorID) AS vendors, sum(passenger_count) AS passengers,
+       CAST(2 AS BIGINT) AS part_types
+FROM raw WHERE source_month = 1 GROUP BY source_month""")
+def landing_folder_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month that is a folder of parts whose types differ: no row and no value is lost."""
+    base = new_folder(spark, "landing")
+    trips = Standin.of(spark, sf_dir).trips.where("source_month = 1").drop("source_year", "source_month")
+    odd = F.hash(PICKUP) % 2 == 0
+    for some, kind in ((odd, "bigint"), (~odd | odd.isNull(), "int")):
+        part = trips.where(some).withColumn("VendorID", F.col("VendorID").cast(kind))
+        part.write.mode("append").parquet(landed_path(base, 2023, 1))
+    drift = landing.schema_drift(spark, base, 2023, [1])
+    counts = landing.read_landing(spark, base, 2023, [1]).groupBy("source_month").agg(
+        F.count(F.lit(1)).alias("record_count"), F.count("VendorID").alias("vendors"),
+        F.sum("passenger_count").alias("passengers"),
+    )
+    return _finished(counts.join(drift.agg(F.count(F.lit(1)).alias("part_types"))), base)
+
+
+@_registered("""
+SELECT CAST(2023 AS INTEGER) AS year, CAST(6 AS INTEGER) AS month, 'file' AS lacks
+UNION ALL
+SELECT DISTINCT CAST(2023 AS INTEGER), CAST(source_month AS INTEGER), 'total_amount' FROM raw WHERE source_month = 2""")
+def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a landing area lacks in which June is not landed and February has no amounts."""
+    base, trips = new_folder(spark, "landing"), Standin.of(spark, sf_dir).trips
+    write_landing(trips, base, [1, 3, 4, 5])
+    write_landing(trips.drop("total_amount"), base, [2])
+    months = landing.missing_months(spark, base, 2023, range(1, 7)).withColumn("lacks", F.lit("file"))
+    columns = landing.missing_landing_columns(spark, base).select("year", "month", F.col("column_name").alias("lacks"))
+    return _finished(months.union(columns.distinct()), base)
 
 
 # Raw
@@ -298,7 +379,8 @@ def raw_append_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     standin = Standin.of(spark, sf_dir)
     lake = standin.new_lake()
     create_raw(spark, standin.landing, lake=lake)
-    return quality.count_by_source_month(create_raw(spark, standin.landing, months=[1], mode="append", lake=lake))
+    counts = quality.count_by_source_month(create_raw(spark, standin.landing, months=[1], mode="append", lake=lake))
+    return _finished(counts, lake=lake)
 
 
 _RAW_COLUMNS = [*TRIP_COLUMNS, *RAW_PARTITIONS]
@@ -361,10 +443,40 @@ def incremental_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     create_raw(spark, standin.landing, lake=lake)
     create_silver(spark, lake=lake)
     corrected = standin.trips.withColumn("total_amount", F.abs("total_amount"))
-    silver = replace_months(
-        spark, write_landing(corrected, new_folder(spark, "landing"), months=[5]), [5], lake=lake
-    )
-    return gold.avg_total_amount_by_month(silver)
+    base = write_landing(corrected, new_folder(spark, "landing"), months=[5])
+    silver = replace_months(spark, base, [5], lake=lake)
+    return _finished(gold.avg_total_amount_by_month(silver), base, lake=lake)
+
+
+@_registered("""
+, two_years AS (
+  SELECT * FROM raw WHERE source_month IN (4, 5)
+  UNION ALL BY NAME
+  SELECT * REPLACE (tpep_pickup_datetime + to_months(12) AS tpep_pickup_datetime,
+                    tpep_dropoff_datetime + to_months(12) AS tpep_dropoff_datetime,
+                    abs(total_amount) AS total_amount)
+  FROM raw WHERE source_month = 1)
+SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
+       CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
+       round(avg(total_amount), 2) AS avg_total_amount, count(*) AS trip_count
+FROM two_years
+WHERE VendorID IS NOT NULL AND passenger_count > 0 AND total_amount >= 0
+  AND tpep_pickup_datetime >= TIMESTAMP '2023-04-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'
+  AND tpep_dropoff_datetime > tpep_pickup_datetime
+GROUP BY ALL""")
+def second_year_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """April and May 2023 and January 2024 are built together; then that January is published again."""
+    standin, lake, base = Standin.of(spark, sf_dir), Standin.of(spark, sf_dir).new_lake(), new_folder(spark, "landing")
+    year = F.expr("INTERVAL 12 MONTHS")
+    later = standin.trips.withColumns({name: F.col(name) + year for name in (PICKUP, DROPOFF)})
+    write_landing(standin.trips, base, [4, 5])
+    write_landing(later, base, [1], 2024)
+    months = [(2023, 4), (2023, 5), (2024, 1)]
+    create_raw(spark, base, months=months, lake=lake)
+    create_silver(spark, lake=lake)
+    again = write_landing(later.withColumn("total_amount", F.abs("total_amount")), new_folder(spark, "landing"), [1], 2024)
+    silver = replace_months(spark, again, [(2024, 1)], lake=lake)
+    return _finished(gold.avg_total_amount_by_month(silver), base, again, lake=lake)
 
 
 # Gold
@@ -387,6 +499,16 @@ def gold_trips_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.table(lake.table("gold_trips")).orderBy(*GOLD_TRIP_COLUMNS).limit(100))
 
 
+@_registered("SELECT least(count(*), 100) AS rows_shown, least(count(*), 100) AS rows_known FROM silver")
+def gold_first_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preview shows a hundred rows, and all are trips of the table."""
+    lake = Standin.of(spark, sf_dir).gold()
+    shown = answers.first_trips(spark, lake)
+    known = spark.table(lake.table("gold_trips")).select(*GOLD_TRIP_COLUMNS).distinct()
+    found = shown.join(known.withColumn("known", F.lit(1)), GOLD_TRIP_COLUMNS, "left")
+    return found.agg(F.count(F.lit(1)).alias("rows_shown"), F.count("known").alias("rows_known"))
+
+
 @_registered("SELECT * FROM by_month")
 def gold_avg_total_amount_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.avg_total_amount_by_month(Standin.of(spark, sf_dir).silver())

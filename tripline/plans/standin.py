@@ -65,7 +65,7 @@ def standin_trips(events: DataFrame) -> DataFrame:
     return events.sparkSession.sql(text, events=events)
 
 
-def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS) -> str:
+def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS, year: int = DEFAULT_YEAR) -> str:
     """Write monthly files whose types drift: from February on, vendors and passengers are other integers."""
 
     def write(month: int) -> None:
@@ -76,7 +76,7 @@ def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS) -> str:
                 "passenger_count": F.col("passenger_count").cast(passengers),
             }
         )
-        of_month.drop("source_year", "source_month").write.parquet(landed_path(base, DEFAULT_YEAR, month))
+        of_month.drop("source_year", "source_month").write.parquet(landed_path(base, year, month))
 
     side_by_side(trips.sparkSession, write, months)
     return base
@@ -85,7 +85,7 @@ def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS) -> str:
 class Standin:
     """Landing files and layer tables made from the events of one data folder, each built when first asked for."""
 
-    _known: dict[tuple[str, str], Standin] = {}
+    _known: dict[tuple, Standin] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -96,10 +96,13 @@ class Standin:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Standin:
-        """One stand-in per application and data folder, so that its layers are written once."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        """One stand-in per application and state of the events' files, so that its layers are written once."""
+        folder = sf_dir.rstrip("/")
+        files = spark.read.format("binaryFile").load(f"{folder}/events.parquet")
+        state = files.select("path", "length", "modificationTime").sort("path").collect()
+        key = (spark.sparkContext.applicationId, folder, *map(tuple, state))
         if key not in cls._known:
-            cls._known[key] = cls(spark, key[1])
+            cls._known[key] = cls(spark, folder)
         return cls._known[key]
 
     @property

@@ -2,48 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-from threading import RLock
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.contract import Lakehouse
+from tripline.contract import Lakehouse, Period
 from tripline.sources.local import local_table, side_by_side
 
 OVERWRITE_PARTITIONS = "overwrite_partitions"
 
-_WRITE_SETTINGS = {
+_BUILD_SETTINGS = {
     # A task that writes by month meets only a few months, so it can keep their files open side by side
-    # instead of sorting its rows by month first.
+    # instead of sorting its rows by month first. A task that meets more than these sorts them.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Eight bytes with statistics, which a range of pickups can be tested against. Spark's default for Parquet
     # is a legacy type of twelve bytes without usable statistics.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
-_TURN = RLock()
+def build_session(spark: SparkSession) -> SparkSession:
+    """A session of a build's own: the caller's settings and those of table writes. Tables and cluster are shared.
 
-
-@contextmanager
-def write_settings(spark: SparkSession) -> Iterator[None]:
-    """The session settings of a table write, for the length of one.
-
-    Threads take turns: were one to put the settings back while another is about to overwrite some partitions,
-    that one would overwrite the table.
+    The caller's session keeps its settings, so what it writes meanwhile is written as it asked for, and builds of
+    different lakes do not wait for each other.
     """
-    with _TURN:
-        before = {key: spark.conf.get(key, None) for key in _WRITE_SETTINGS}
-        for key, value in _WRITE_SETTINGS.items():
-            spark.conf.set(key, value)
-        try:
-            yield
-        finally:
-            for key, value in before.items():
-                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    own = spark.newSession()
+    for key, value in (spark.conf.getAll | _BUILD_SETTINGS).items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def ensure_database(spark: SparkSession, lake: Lakehouse) -> None:
@@ -63,21 +52,24 @@ def write_table(
     """Store ``df`` as the table of ``layer`` and return the stored table.
 
     ``mode`` is a Spark save mode, or ``overwrite_partitions``, which replaces the partitions ``df`` has rows
-    for and leaves the others alone. Rows have no key, so ``append`` of the same rows stores them twice.
+    for and leaves the others alone. Rows have no key, so ``append`` of the same rows stores them twice. No setting
+    of the session is changed.
     """
     ensure_database(df.sparkSession, lake)
-    with write_settings(df.sparkSession):
-        return _store(df, lake, layer, mode, partition_by)
+    return _store(df, lake, layer, mode, partition_by)
 
 
-def write_tables(frames: dict[str, DataFrame], lake: Lakehouse, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """``write_table`` for several unpartitioned layers at once: small ones need not wait for a large one."""
+def write_tables(
+    frames: dict[str, DataFrame], lake: Lakehouse, mode: str = "overwrite", partition_by: dict | None = None
+) -> dict[str, DataFrame]:
+    """``write_table`` for several layers at once: small ones need not wait for a large one."""
     if not frames:
         return {}
     spark = next(iter(frames.values())).sparkSession
     ensure_database(spark, lake)
-    with write_settings(spark):
-        stored = side_by_side(spark, lambda layer: _store(frames[layer], lake, layer, mode, ()), frames)
+    stored = side_by_side(
+        spark, lambda layer: _store(frames[layer], lake, layer, mode, (partition_by or {}).get(layer, ())), frames
+    )
     return dict(zip(frames, stored))
 
 
@@ -92,11 +84,39 @@ def _store(df: DataFrame, lake: Lakehouse, layer: str, mode: str, partition_by:
         if lake.storage == "delta":
             writer = writer.option("overwriteSchema", "true")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # The table remembers the option: what is inserted later replaces the partitions it has rows for.
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(name)
     return spark.table(name)
 
 
+def seen_by(spark: SparkSession, lake: Lakehouse, layer: str) -> DataFrame:
+    """A table that another session has written, with its present files."""
+    spark.catalog.refreshTable(lake.table(layer))
+    return spark.table(lake.table(layer))
+
+
+def remember_period(spark: SparkSession, lake: Lakehouse, period: Period) -> None:
+    """Store with the silver table which days count."""
+    spark.sql(
+        f"ALTER TABLE {lake.table('silver')} SET TBLPROPERTIES ('{_PERIOD}' = '{period.start} {period.end}')"
+    )
+
+
+def remembered_period(spark: SparkSession, lake: Lakehouse) -> Period | None:
+    """The period the silver table was built for; None for a table that does not say."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {lake.table('silver')}").where(F.col("key") == _PERIOD).first()
+    return Period(*map(date.fromisoformat, found.value.split())) if found else None
+
+
+_PERIOD = "tripline.period"
+
+
+def drop_lake(spark: SparkSession, lake: Lakehouse) -> None:
+    """Remove the database of a lake with its tables."""
+    spark.sql(f"DROP DATABASE IF EXISTS {lake.database} CASCADE")
+
+
 def layer_tables(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     """The five tables of the layers, and whether the catalog has them."""
     expected = local_table(spark, "table_name string", [(name,) for name in lake.table_names()])

@@ -9,11 +9,11 @@ from tripline.sources.fetch import (
     manifest_latest,
 )
 from tripline.sources.landing import (
+    landed_parts,
     landing_inventory,
     landing_types,
     missing_landing_columns,
     missing_months,
-    physical_schemas,
     read_landing,
     read_month,
     schema_drift,
@@ -24,13 +24,13 @@ __all__ = [
     "failed_files",
     "ingest_landing",
     "land_files",
+    "landed_parts",
     "landing_files",
     "landing_inventory",
     "landing_types",
     "manifest_latest",
     "missing_landing_columns",
     "missing_months",
-    "physical_schemas",
     "read_landing",
     "read_month",
     "schema_drift",

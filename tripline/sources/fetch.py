@@ -35,10 +35,9 @@ MANIFEST_TYPES: dict[str, T.DataType] = {
 }
 
 RANGE_BYTES = 256 << 20
-_MOST_TASKS = 20_000
 
 _INSPECTED = (
-    "started string, kept boolean, parts array<struct<name string, size bigint, seekable boolean>>, error string"
+    "started string, kept boolean, parts array<struct<name string, size bigint, seekable boolean, version string>>, error string"
 )
 _COPIED = "bytes bigint, error string"
 _PUBLISHED = "status string, size bigint, finished string"
@@ -71,7 +70,9 @@ def land_files(
     part files. A failure is recorded in ``status`` and leaves an older file as it was.
 
     ``mount`` turns a landing path into the path tasks write to, as a prefix and its replacement, for
-    storage that Spark and the file system address differently.
+    storage that Spark and the file system address differently. What is then not an absolute path, as the address
+    of an object store that is not mounted, raises before anything is fetched: tasks would write it to folders of
+    their own machines. There are as many copy tasks as there are ranges of ``range_bytes``.
 
     Each step is cut with ``checkpoint()``, so a lost executor never repeats a step that others built on.
     """
@@ -91,6 +92,9 @@ def land_files(
 
     known = files.select("year", "month", "source_url", "landing_path", written.alias("target"),
                          F.concat(folder, F.lit("."), name, F.lit(f".{run}")).alias("staged"))
+    astray = [row.target for row in known.where("NOT startswith(target, '/')").limit(3).collect()]
+    if astray:
+        raise ValueError(f"mount does not say where tasks reach {', '.join(astray)}")
     inspected = (
         known.repartition(max(1, known.count()))
         .withColumn("found", inspect("source_url", "target", F.lit(overwrite)))
@@ -112,7 +116,7 @@ def land_files(
     )
     copied = (
         ranges.repartition(_copy_tasks(ranges, range_bytes))
-        .withColumn("copy", copy_range("source_url", "part.name", "staged", "offset", "length"))
+        .withColumn("copy", copy_range("source_url", "part.name", "staged", "offset", "length", "part.version"))
         .drop("part", "offset", "length")
         .checkpoint()
     )
@@ -143,7 +147,7 @@ def _copy_tasks(ranges: DataFrame, range_bytes: int) -> int:
     of_unknown_size = F.when(length < 0, F.lit(range_bytes)).otherwise(length)
     rows, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(of_unknown_size), F.lit(0))).first()
     at_least = ranges.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(rows, _MOST_TASKS, max(at_least, -(-size // range_bytes))))
+    return max(1, min(rows, max(at_least, -(-size // range_bytes))))
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:

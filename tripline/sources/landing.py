@@ -4,42 +4,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripline.contract import (
     DEFAULT_MONTHS,
     DEFAULT_YEAR,
     TRIP_COLUMNS,
     TRIP_TYPES,
-    as_months,
     landed_path,
+    year_months,
 )
 from tripline.functions import typed
+from tripline.sources import footers
 from tripline.sources.local import local_table, side_by_side
 
+# Executors get the functions themselves, so that the package need not be installed there.
+cloudpickle.register_pickle_by_value(footers)
 
-def physical_schemas(spark: SparkSession, base: str, year: int, months) -> dict[int, T.StructType]:
-    """The schema of each monthly file, read from its footer; a month without a file raises.
 
-    Each read is one small Spark job, so a few are in flight at a time.
-    """
-    months = as_months(months)
-
-    def schema_of(month: int) -> T.StructType:
-        return spark.read.parquet(landed_path(base, year, month)).schema
+def landed_parts(spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS) -> DataFrame:
+    """Every file of the months: ``path``, ``year``, ``month``. A month is one file or a folder of parts; one without
+    raises."""
+    paths = [landed_path(base, *month) for month in year_months(year, months)]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.select("path", _folder("year"), _folder("month"))
 
-    return dict(zip(months, side_by_side(spark, schema_of, months)))
 
-
-def required_types(schema: T.StructType, file: str) -> T.StructType:
-    """The part of ``schema`` the contract asks for; an error names what is missing."""
-    by_name = {field.name.lower(): field for field in schema}
-    missing = [name for name in TRIP_COLUMNS if name.lower() not in by_name]
-    if missing:
-        raise ValueError(f"missing required columns {missing} in {file}")
-    return T.StructType([T.StructField(name, by_name[name.lower()].dataType) for name in TRIP_COLUMNS])
+def landing_types(
+    spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
+) -> DataFrame:
+    """One row per file and column, with the column's physical type, read from every file's footer in tasks."""
+    parts = landed_parts(spark, base, year, months)
+    found = parts.mapInArrow(footers.read, "path string, year int, month int, columns array<struct<name string, type string>>")
+    unread = found.where("columns IS NULL").collect()
+    if unread:  # on storage that only Spark reads
+        def schema_of(row):
+            fields = spark.read.parquet(row.path).schema
+            return row.path, row.year, row.month, [(field.name, field.dataType.simpleString()) for field in fields]
+
+        rows = side_by_side(spark, schema_of, unread)
+        found = found.where("columns IS NOT NULL").union(spark.createDataFrame(rows, found.schema))
+    return found.select(
+        F.col("year").alias("source_year"), F.col("month").alias("source_month"), "path", F.inline_outer("columns")
+    ).withColumnsRenamed({"name": "column_name", "type": "data_type"})
 
 
 def read_landing(
@@ -47,35 +56,38 @@ def read_landing(
 ) -> DataFrame:
     """All asked months in the contract's types, with their lineage.
 
-    Files that share their physical types are read by one scan, so the plan has as many scans as there
-    are schemas, not as there are files. Year and month come from the folder names, so a filter on
-    ``source_year`` or ``source_month`` leaves the other files unread.
+    ``months`` are months of ``year`` or (year, month) pairs. Files that share their physical types are read by one
+    scan, so the plan has as many scans as there are type sets, not as there are files. Year and month come from the
+    folder names, so a filter on ``source_year`` or ``source_month`` leaves the other files unread. A file without a
+    required column raises, and is named.
     """
-    months_by_types: dict[T.StructType, list[int]] = {}
-    for month, schema in physical_schemas(spark, base, year, months).items():
-        # A StructType is hashed and compared by its fields.
-        types = required_types(schema, landed_path(base, year, month))
-        months_by_types.setdefault(types, []).append(month)
-
-    def scan(types: T.StructType, months: list[int]) -> DataFrame:
-        paths = {month: landed_path(base, year, month) for month in months}
-        folders = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+    asked = year_months(year, months)
+    name = F.lower("column_name")
+    field = F.when(name.isin(*map(str.lower, TRIP_COLUMNS)), F.struct(name.alias("name"), "data_type"))
+    parts = landing_types(spark, base, year, months).groupBy("path").agg(F.sort_array(F.collect_set(field)).alias("types"))
+    groups = parts.groupBy("types").agg(F.collect_list("path").alias("paths")).collect()
+
+    def scan(types: dict[str, str], paths: list[str]) -> DataFrame:
+        missing = [name for name in TRIP_COLUMNS if name.lower() not in types]
+        if missing:
+            raise ValueError(f"missing required columns {missing} in {', '.join(sorted(paths)[:10])}")
+        columns = [f"`{name}` {types[name.lower()]}" for name in TRIP_COLUMNS]
         files = (
-            spark.read.option("basePath", base)
-            .schema(T.StructType([*types.fields, *folders]))
-            .parquet(*paths.values())
+            spark.read.option("basePath", base).schema(", ".join([*columns, "year int", "month int"])).parquet(*paths)
         )
-        # One constant per file: formatting the path for each row would take longer than reading the row.
-        source_file = F.coalesce(*[F.when(F.col("month") == month, path) for month, path in paths.items()])
+        # One constant per month: formatting the path for each row would take longer than reading the row.
+        of_month = [
+            F.when((F.col("year") == y) & (F.col("month") == m), landed_path(base, y, m)) for y, m in asked
+        ]
         return files.select(
             *typed(TRIP_TYPES),
             F.col("year").alias("source_year"),
             F.col("month").alias("source_month"),
-            source_file.alias("source_file"),
+            F.coalesce(*of_month).alias("source_file"),
             F.current_timestamp().alias("raw_loaded_at"),
         )
 
-    scans = [scan(types, found) for types, found in months_by_types.items()]
+    scans = [scan({row.name: row.data_type for row in group.types}, group.paths) for group in groups]
     return reduce(DataFrame.unionByName, scans)
 
 
@@ -93,16 +105,18 @@ def landing_inventory(spark: SparkSession, base: str) -> DataFrame:
         .load(base)
     )
 
-    def folder(name: str):
-        digits = F.regexp_extract("path", rf"/{name}=(\d+)/", 1)
-        return F.when(digits != "", digits.cast("int")).alias(name)
+    return files.select("path", "length", "modificationTime", _folder("year"), _folder("month"))
+
 
-    return files.select("path", "length", "modificationTime", folder("year"), folder("month"))
+def _folder(name: str) -> Column:
+    """The number that a folder of the path gives."""
+    digits = F.regexp_extract("path", rf"/{name}=(\d+)/", 1)
+    return F.when(digits != "", digits.cast("int")).alias(name)
 
 
 def expected_months(spark: SparkSession, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS) -> DataFrame:
     """One row per month that should have been landed."""
-    return local_table(spark, "year int, month int", [(year, month) for month in as_months(months)])
+    return local_table(spark, "year int, month int", year_months(year, months))
 
 
 def missing_months(
@@ -114,28 +128,16 @@ def missing_months(
     )
 
 
-def landing_types(
-    spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
-) -> DataFrame:
-    """One row per monthly file and column, with the column's physical type."""
-    rows = [
-        (year, month, field.name, field.dataType.simpleString())
-        for month, schema in physical_schemas(spark, base, year, months).items()
-        for field in schema
-    ]
-    return local_table(spark, "source_year int, source_month int, column_name string, data_type string", rows)
-
-
 def missing_landing_columns(
     spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
 ) -> DataFrame:
-    """Required columns that a monthly file lacks; upper and lower case are the same to a reader."""
+    """Required columns that a file lacks, by part; upper and lower case are the same to a reader."""
+    held = landing_types(spark, base, year, months).groupBy("source_year", "source_month", "path").agg(
+        F.collect_set(F.lower("column_name")).alias("held")
+    )
     required = F.explode(F.array(*map(F.lit, TRIP_COLUMNS))).alias("column_name")
-    wanted = expected_months(spark, year, months).select("year", "month", required).alias("wanted")
-    held = landing_types(spark, base, year, months).alias("held")
-    same_file = (F.col("year") == F.col("source_year")) & (F.col("month") == F.col("source_month"))
-    same_name = F.lower("wanted.column_name") == F.lower("held.column_name")
-    return wanted.join(held, same_file & same_name, "left_anti")
+    wanted = held.select(F.col("source_year").alias("year"), F.col("source_month").alias("month"), "path", "held", required)
+    return wanted.where(~F.array_contains("held", F.lower("column_name"))).select("year", "month", "path", "column_name")
 
 
 def schema_drift(
@@ -143,12 +145,19 @@ def schema_drift(
 ) -> DataFrame:
     """The columns that not all files share in the same type: one row per column and type, with its files.
 
-    A column of one type that is in every file has one group as large as the number of files; any smaller
-    group belongs to a column that changed its type or is absent somewhere. ``months`` lists twelve at most.
+    ``part_count`` are the files, ``file_count`` and ``months`` the months that have the column so. A column of one
+    type that is in every file has one group as large as the number of files; any smaller group belongs to a column
+    that changed its type or is absent somewhere.
     """
-    return (
-        landing_types(spark, base, year, months)
-        .groupBy("column_name", "data_type")
-        .agg(F.count("*").alias("file_count"), F.sort_array(F.collect_list("source_month")).alias("months"))
-        .where(F.col("file_count") < len(as_months(months)))
+    types = landing_types(spark, base, year, months)
+    total = types.agg(F.count_distinct("path").alias("total"))
+    month = F.struct("source_year", "source_month")
+    found = types.where("column_name IS NOT NULL").groupBy("column_name", "data_type").agg(
+        F.count_distinct("source_year", "source_month").alias("file_count"),
+        F.count(F.lit(1)).alias("part_count"),
+        F.sort_array(F.collect_set(month)).alias("found"),
+    )
+    drifted = found.join(total, F.col("part_count") < F.col("total"))
+    return drifted.select(
+        "column_name", "data_type", "file_count", "part_count", F.col("found.source_month").alias("months")
     )

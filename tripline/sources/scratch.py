@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -11,13 +12,13 @@ from pyspark.sql import SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without such a name, as in a test, gets a temporary folder instead: on a cluster, other
-    machines could not read it.
+    Only a session whose tasks run in the driver's own process, as in a test, gets a temporary folder instead where
+    none is named: other processes or machines may not share it.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if re.match(r"local(\[|$)", context.master) is None:
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         named = tempfile.mkdtemp(prefix="tripline-")
     if context.getCheckpointDir() is None:
@@ -28,3 +29,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path of its own below the checkpoint folder; nothing is created yet."""
     return f"{checkpoint_root(spark)}/{purpose}-{uuid4().hex}"
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that a query has made and that nothing reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        where = hadoop.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

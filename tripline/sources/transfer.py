@@ -35,33 +35,39 @@ def _describe(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
-def _parts_of_folder(folder: str) -> list[tuple[str, int, bool]]:
+def _parts_of_folder(folder: str) -> list[tuple[str, int, bool, None]]:
     found = []
     for parent, folders, names in os.walk(folder):
         folders[:] = [name for name in folders if name[0] not in "._"]
         for name in names:
             if name[0] not in "._":
                 path = os.path.join(parent, name)
-                found.append((os.path.relpath(path, folder), os.path.getsize(path), True))
+                found.append((os.path.relpath(path, folder), os.path.getsize(path), True, None))
     if not found:
         raise FileNotFoundError(f"no files in {folder}")
     return sorted(found)
 
 
-def _parts_of_source(url: str) -> list[tuple[str, int, bool]]:
-    """(name below the source, size or -1, can be read from an offset); the name of a plain file is empty."""
+def _parts_of_source(url: str) -> list[tuple[str, int, bool, str | None]]:
+    """(name below the source, size or -1, can be read from an offset, version); the name of a plain file is empty.
+
+    The version is what a web server calls this state of the file, if it does, so that ranges are of one state.
+    """
     path = local_path(url)
     if path is not None:
-        return _parts_of_folder(path) if os.path.isdir(path) else [("", os.path.getsize(path), True)]
+        return _parts_of_folder(path) if os.path.isdir(path) else [("", os.path.getsize(path), True, None)]
     request = urllib.request.Request(url, headers=_HEADERS, method="HEAD")
     try:
         with urllib.request.urlopen(request, timeout=_SILENCE) as reply:
             size = int(reply.headers.get("Content-Length") or -1)
-            return [("", size, size >= 0 and reply.headers.get("Accept-Ranges") == "bytes")]
+            version = reply.headers.get("ETag") or reply.headers.get("Last-Modified")
+            # A weak tag does not promise equal bytes, and no server compares ranges by it.
+            version = None if version is None or version.startswith("W/") else version
+            return [("", size, size >= 0 and reply.headers.get("Accept-Ranges") == "bytes", version)]
     except urllib.error.HTTPError as refusal:
         if refusal.code not in _NO_HEAD:
             raise
-        return [("", -1, False)]
+        return [("", -1, False, None)]
 
 
 def inspect(url: str, target: str, overwrite: bool):
@@ -75,7 +81,7 @@ def inspect(url: str, target: str, overwrite: bool):
         return started, False, [], _describe(error)
 
 
-def _open_range(url: str, part: str, offset: int, length: int):
+def _open_range(url: str, part: str, offset: int, length: int, version: str | None):
     path = local_path(url)
     if path is not None:
         source = open(os.path.join(path, part) if part else path, "rb")
@@ -84,14 +90,16 @@ def _open_range(url: str, part: str, offset: int, length: int):
     headers = dict(_HEADERS)
     if offset > 0 or length >= 0:
         headers["Range"] = f"bytes={offset}-{'' if length < 0 else offset + length - 1}"
+        if version is not None:
+            headers["If-Range"] = version
     reply = urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=_SILENCE)
-    if offset > 0 and reply.status != 206:
+    if reply.status != 206 and (offset > 0 or "If-Range" in headers):
         reply.close()
-        raise OSError(f"the server ignored the byte range at {offset}")
+        raise OSError(f"the server ignored the byte range at {offset}, or has another version of the file")
     return reply
 
 
-def copy_range(url: str, part: str | None, staged: str, offset: int, length: int):
+def copy_range(url: str, part: str | None, staged: str, offset: int, length: int, version: str | None = None):
     """Copy ``length`` bytes (all that follow, if negative); returns (bytes copied, error). No part, no copy."""
     if part is None:
         return None, None
@@ -102,7 +110,7 @@ def copy_range(url: str, part: str | None, staged: str, offset: int, length: int
         if length == 0:
             open(target, "ab").close()
             return 0, None
-        with _open_range(url, part, offset, length) as source:
+        with _open_range(url, part, offset, length, version) as source:
             with open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as output:
                 output.seek(offset)
                 while length < 0 or copied < length:
@@ -121,7 +129,7 @@ def copy_range(url: str, part: str | None, staged: str, offset: int, length: int
 def _bytes_below(path: str) -> int:
     if not os.path.isdir(path):
         return os.path.getsize(path)
-    return sum(size for _, size, _ in _parts_of_folder(path))
+    return sum(part[1] for part in _parts_of_folder(path))
 
 
 def _remove(path: str) -> None:
@@ -146,7 +154,12 @@ def publish(target: str, staged: str, kept: bool, size: int | None, error: str |
                 previous = f"{staged}.previous"
                 if os.path.exists(target):
                     os.rename(target, previous)
-                os.rename(staged, target)
+                try:
+                    os.rename(staged, target)
+                except OSError:
+                    if os.path.exists(previous):
+                        os.rename(previous, target)
+                    raise
                 _remove(previous)
             else:
                 os.replace(staged, target)
