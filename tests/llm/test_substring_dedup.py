@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tests.llm.texts import awkward, clashing, documents, prose
-from tripline.llm import substring_dedup
+from tripline.llm import repeats, substring_dedup
 from tripline.llm.substring_dedup import sorted_suffixes, without_repeats
 
 
@@ -49,6 +49,15 @@ def test_awkward_rows_in_small_blocks(spark, monkeypatch):
     check(documents(spark, awkward()).repartition(30, "text"))
 
 
+def test_crowded_anchors(spark, monkeypatch):
+    """Anchors that more than a few texts share have their strings dealt out one by one."""
+    monkeypatch.setattr(repeats, "CROWD", 3)
+    monkeypatch.setattr(substring_dedup, "bucket_count", lambda classes: 3)
+    passage = " ".join(prose(41, 30))
+    shared = [" ".join(prose(50 + k, 12)) + " " + passage + " " + " ".join(prose(90 + k, 9)) for k in range(25)]
+    check(documents(spark, awkward() + shared).repartition(6))
+
+
 def test_empty_tables(spark):
     assert without_repeats(documents(spark, [])).collect() == []
     check(documents(spark, [None, "", None]))

@@ -31,6 +31,11 @@ from tripline.llm.store import stored
 BLOCK_BYTES = 24 << 20
 BUCKET_BYTES = 64 << 20
 
+# Texts that share a name from which on it is crowded, as blocks count them (to 255 each), and how many such names there
+# may be: beyond that the number of texts grows instead.
+CROWD = 100_000
+CROWDED_NAMES = 1_000_000
+
 LAST = 2**63 - 1
 
 _ENTRIES = "bucket int, hashes binary, counts binary, names binary, seen binary"
@@ -76,11 +81,20 @@ def repeated_names(rows: DataFrame, classes: DataFrame, anchors: Anchors, bucket
     """For each document with names that occur twice or more, in it or in another text: ``ord``, ``hash``, ``names``.
 
     Of copies only the first is told. ``names`` is an array of binaries, each some 64-bit codes (see ``codes_of``).
+    A row without order and hash has the codes that are crowded.
     """
     entries = rows.mapInArrow(_naming(anchors, buckets), _ENTRIES)
-    answers = entries.groupBy("bucket").applyInArrow(_repeated, _ANSWERS)
+    crowd = max(CROWD, buckets * BUCKET_BYTES // (16 * CROWDED_NAMES))
+    answers = entries.groupBy("bucket").applyInArrow(_repeated(crowd), _ANSWERS)
     told = answers.groupBy("hash").agg(F.collect_list("names").alias("names"))
-    return stored(told.join(classes.select("hash", F.col("first").alias("ord")), "hash"), "names", release=True)
+    told = told.join(classes.select("hash", F.col("first").alias("ord")), "hash", "left")
+    return stored(told.where("hash IS NULL OR ord IS NOT NULL"), "names", release=True)
+
+
+def crowded(names: DataFrame) -> np.ndarray:
+    """Codes that more texts share than the candidates of one bucket should be of: ``CROWDED_NAMES`` at most."""
+    lists = names.where("hash IS NULL").select(F.explode("names").alias("names")).collect()
+    return np.unique(np.frombuffer(b"".join(row.names for row in lists), _U64))
 
 
 def codes_of(names: np.ndarray, buckets: int) -> np.ndarray:
@@ -193,7 +207,7 @@ def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
     cuts = np.append(cut, len(codes))
     run_cuts = np.searchsorted(runs, cuts)
     who = texts[runs]
-    columns = binary_rows({"names": (codes & np.uint64(0xFFFFFFFF)).astype(_U32), "seen": np.minimum(sizes, 2).astype(_U8)}, cuts)
+    columns = binary_rows({"names": (codes & np.uint64(0xFFFFFFFF)).astype(_U32), "seen": np.minimum(sizes, 255).astype(_U8)}, cuts)
     columns |= binary_rows({"hashes": hashes[who], "counts": counts.astype(_I32)}, run_cuts)
     yield _batch(columns | {"bucket": pa.array(some.astype(_I32))}, _ENTRY_COLUMNS)
 
@@ -209,8 +223,12 @@ def joined(table: pa.Table, column: str, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _repeated(table: pa.Table) -> pa.Table:
+def _repeated(crowd: int):
     """Of one bucket: the names with two entries, told to each text that has one."""
+    return lambda table: _answered(table, crowd)
+
+
+def _answered(table: pa.Table, crowd: int) -> pa.Table:
     if not table.num_rows:
         return pa.table({"hash": pa.array([], pa.int64()), "names": pa.array([], pa.binary())})
     hashes = joined(table, "hashes", _I64)
@@ -237,6 +255,11 @@ def _repeated(table: pa.Table) -> pa.Table:
     runs = np.flatnonzero(new)
     who = document[runs]
     codes = np.uint64(bucket) << np.uint64(32) | names[kept].astype(np.uint64)
-    return pa.table(
+    out = pa.table(
         {"hash": hashes[who]} | binary_rows({"names": codes.astype(_U64)}, np.append(runs, len(kept)))
     )
+    many = names[order][first[np.add.reduceat(seen[order], first, dtype=np.int64) >= crowd]]
+    if not len(many):
+        return out
+    codes = (np.uint64(bucket) << np.uint64(32) | many.astype(np.uint64)).astype(_U64)
+    return pa.concat_tables([out, pa.table({"hash": pa.array([None], pa.int64()), "names": [codes.tobytes()]})])

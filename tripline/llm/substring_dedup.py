@@ -17,6 +17,7 @@ from tripline.llm.repeats import (
     bucket_count,
     codes_of,
     copies,
+    crowded,
     joined,
     joined_codes,
     known_rows,
@@ -44,7 +45,8 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     empty table gives no rows; other columns are not read.
 
     Of every ``length`` bytes some gram of 20 has the smallest hash; it is the anchor of that string, wherever it
-    stands. Only strings at anchors found twice or more become suffixes to sort.
+    stands. Only strings at anchors found twice or more become suffixes to sort. They meet in buckets by anchor; those
+    of an anchor that very many texts share, by their own bytes.
     """
     if not SHALLOW + 8 <= length < 4096:
         raise ValueError(f"strings have {SHALLOW + 8} to 4095 bytes")
@@ -52,7 +54,7 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     classes = text_classes(rows)
     buckets = bucket_count(classes)
     names = repeated_names(rows, classes, lambda flat: _anchors(flat, length)[:2], buckets)
-    contexts = rows.join(names, ["ord", "hash"]).mapInArrow(_cut_out(length, buckets), _CONTEXTS)
+    contexts = rows.join(names, ["ord", "hash"]).mapInArrow(_cut_out(length, buckets, crowded(names)), _CONTEXTS)
     found = contexts.groupBy("bucket").applyInArrow(_second(length), "ord long, hash long, runs binary")
     found = found.union(copies(rows, classes).withColumn("runs", F.lit(None).cast("binary")))
     found = found.groupBy("ord", "hash").agg(
@@ -169,7 +171,7 @@ def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return data[np.cumsum(steps)]
 
 
-def _cut_out(length: int, buckets: int):
+def _cut_out(length: int, buckets: int, crowd: np.ndarray):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: list[dict[str, np.ndarray]] = []
         size = rows = 0
@@ -182,10 +184,24 @@ def _cut_out(length: int, buckets: int):
                 kept = _listed(codes, texts, joined_codes(piece.column("names")))
                 kept &= last >= first
                 codes, first, last, texts = codes[kept], first[kept], last[kept], texts[kept]
+                # Each bucket of names is several here: contexts are longer than names.
+                bucket = (codes >> np.uint64(29)).astype(np.int64)
+                many = np.isin(codes, crowd)
+                if many.any():
+                    n = last[many] - first[many] + 1
+                    alone = np.repeat(first[many] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    own = range_names(flat, alone, alone + length)
+                    codes = np.concatenate([codes[~many], own])
+                    bucket = np.concatenate([bucket[~many], 8 * buckets + (own >> np.uint64(32)).astype(np.int64) % (8 * buckets)])
+                    texts = np.concatenate([texts[~many], np.repeat(texts[many], n)])
+                    first, last = np.concatenate([first[~many], alone]), np.concatenate([last[~many], alone])
+                    order = np.argsort(first, kind="stable")
+                    codes, bucket, texts, first, last = (x[order] for x in (codes, bucket, texts, first, last))
                 lengths = last - first + length
                 gathered.append(
                     {
                         "codes": codes,
+                        "buckets": bucket,
                         "starts": (first - flat.offsets[texts]).astype(_I32),
                         "lengths": lengths.astype(_I32),
                         "texts": texts + rows,
@@ -257,8 +273,7 @@ def _sent(gathered: list[dict[str, np.ndarray]], length: int) -> Iterator[pa.Rec
     sent = np.ones(len(codes), dtype=bool)
     sent[decided] = False
     out = np.flatnonzero(sent)
-    # Each bucket of names is several here: contexts are longer than names.
-    bucket = (codes[out] >> np.uint64(29)).astype(np.int64)
+    bucket = parts["buckets"][out]
     order = np.lexsort((texts[out], bucket))
     out, bucket = out[order], bucket[order]
     own = texts[out]
