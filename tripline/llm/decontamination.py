@@ -43,7 +43,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     for block in range(blocks):
         part = named.where(F.pmod(F.xxhash64("names"), F.lit(blocks)) == block)
         index = _index(docs, [(row.item, row.names) for row in part.distinct().collect()], window)
-        index = docs.sparkSession.sparkContext.broadcast(index)
         match = _matched(index)
         if block + 1 < blocks:
             out = stored(out.mapInArrow(match, "doc_id long, text string, hits binary, items array<string>"), "matched")
@@ -112,11 +111,9 @@ def _index(docs: DataFrame, items: list[tuple[str | None, bytes]], window: int)
     wanted = np.unique(token[known])
     counts = np.zeros(len(wanted), np.int64)
     if len(wanted):
-        shared = docs.sparkSession.sparkContext.broadcast(wanted)
-        counted = docs.select("text").mapInArrow(_counting(shared), "token int, n long")
+        counted = docs.select("text").mapInArrow(_counting(wanted), "token int, n long")
         for row in counted.groupBy("token").agg(F.sum("n").alias("n")).toLocalIterator():
             counts[row.token] = row.n
-        shared.unpersist()
     rarity = np.where(known, counts[np.searchsorted(wanted, token).clip(max=max(0, len(wanted) - 1))], 2**62) if len(wanted) else known
     offset = rarity.argmin(axis=1)
     rarest = token[np.arange(len(start)), offset]
@@ -187,9 +184,8 @@ def _places(words: Words, lookup: _Lookup) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([ones, twos]), np.concatenate([singles[ones], pairs[twos]])
 
 
-def _counting(shared):
+def _counting(wanted: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
         lookup = _Lookup(wanted)
         counts = np.zeros(len(wanted), np.int64)
         for batch in batches:
@@ -202,9 +198,8 @@ def _counting(shared):
     return count
 
 
-def _matched(shared):
+def _matched(index: Index):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         lookup = _Lookup(np.unique(index.tokens)) if len(index.tokens) else None
         for batch in batches:
             for piece in pieces(batch):

@@ -50,9 +50,8 @@ def toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
     A term counts once a text, whatever its length. NULL and empty texts have no terms and get the score of that.
     Only the text is read; rows are judged one by one, whatever their doc_id; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = rows.mapInArrow(_scored(shared), "doc_id long, score double")
+    scored = rows.mapInArrow(_scored(machine), "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -137,9 +136,8 @@ def _termed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([piece.column("toxic"), pa.array(lists, pa.binary())], ["toxic", "bins"])
 
 
-def _scored(shared):
+def _scored(machine: Machine):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine: Machine = shared.value
         place = np.full(1 << BINS_BITS, -1, np.int32)
         place[machine.bins] = np.arange(len(machine.bins))
         for batch in batches:
