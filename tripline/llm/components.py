@@ -22,23 +22,24 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    state = None
-    while True:
-        links = _small_star(_large_star(links))
-        links = stored(links, "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state or now[0] == 0:
-            break
-        state = now
+    state, before = _state(links), None
+    while state != before and state[0]:
+        links = stored(_small_star(_large_star(links)), "links")
+        state, before = _state(links), state
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(links.select(F.col("b"), F.col("b"))).distinct()
 
 
+def _state(links: DataFrame) -> tuple:
+    """Tells whether a round has changed the links."""
+    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     larger = both.where("v > u").join(least, "u")
-    return larger.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return larger.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tripline.llm.components import components
 from tripline.llm.flat import SPACED, Words, combined, flattened, mixed, pieces, words_of
-from tripline.llm.store import stored
+from tripline.llm.store import stored, stored_in
+from tripline.plans.tables import build_session
 
 
 @dataclass(frozen=True)
@@ -80,8 +81,9 @@ def near_duplicates(
     )
 
 
-# Members of one key that are compared with as many others at a time.
+# Members of one key, and shingles of the members of one neighbourhood, that are compared with as many others at a time.
 BLOCK = 64
+BLOCK_SHINGLES = 1 << 15
 
 _SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, signature array<long>"
 
@@ -127,26 +129,66 @@ def _links(rows: DataFrame, sketched: DataFrame, words: int, similar: int, signa
     # One pair for each class first, with the smallest class it shares a key with; that connects most groups whole.
     first = members.where("rep <> lo").groupBy("rep").agg(F.min("lo").alias("b")).withColumnRenamed("rep", "a")
     links = confirmed(first)
-    # Then all that still meet across components: with one more class of the key, and at last with all others.
+    # Members whose keys have one smallest class are a neighbourhood; inside it sets are compared block by block.
     left = _apart(members, links)
-    hubs = left.groupBy("key").agg(F.max(F.struct("c", "rep")).alias("hub"))
-    pairs = left.join(hubs, "key").where("c <> hub.c").groupBy("rep").agg(F.min("hub.rep").alias("b"))
-    links = links.union(confirmed(pairs.withColumnRenamed("rep", "a")))
-    left = _blocks(_apart(members, links).join(sketch, "rep"))
+    hubs = members.groupBy("rep").agg(F.min("lo").alias("hub"))
+    near = left.select("rep", "c").distinct().join(hubs, "rep").join(sets, "rep")
+    links = links.union(_compared(near, similar))
+    # What remains are pairs of different neighbourhoods: those that agree in a chunk and are near by signature.
+    left = _blocks(left.join(hubs, "rep").join(sketch, "rep"))
     one, other = (left.select(*(F.col(name).alias(f"{side}_{name}") for name in left.columns)) for side in "xy")
-    meeting = one.join(other, F.expr(
-        "x_key = y_key AND (x_kind < y_kind OR x_kind = y_kind AND x_part <= y_part)"
-        " AND NOT (x_least = x_most AND y_least = y_most AND x_least = y_least)"
-    ))
-    pairs = meeting.select("x_key", "x_rep", "x_c", "x_x", "y_rep", "y_c", "y_x")
-    pairs = pairs.mapInArrow(_meeting(signature), "a long, b long").distinct()
+    meeting = one.join(other, F.expr(f"x_key = y_key AND {_PARTS} AND NOT (x_low = x_high AND y_low = y_high AND x_low = y_low)"))
+    columns = [f"{side}_{name}" for side in "xy" for name in ("rep", "c", "hub", "x")]
+    pairs = meeting.select("x_key", *columns).mapInArrow(_meeting(signature), "a long, b long").distinct()
     return links.union(confirmed(pairs)).union(copies)
 
 
+_PARTS = (
+    "(x_kind < y_kind OR x_kind = y_kind AND x_part <= y_part)"
+    " AND NOT (x_least = x_most AND y_least = y_most AND x_least = y_least)"
+)
+
+
+def _compared(near: DataFrame, similar: int) -> DataFrame:
+    """Links between different components ``c`` of one ``hub``, from the sets themselves.
+
+    Blocks of about ``BLOCK_SHINGLES`` meet as rows of a join; their pairs are counted inside the task that has both,
+    and only links come out. Blocks inside one component do not meet. This runs in a session of its own in which a
+    batch of rows for Python is a few blocks.
+    """
+    spark = near.sparkSession
+    sizes = near.withColumn("n", F.size("shingles")).groupBy("hub", "c").agg(F.sum("n").alias("n"))
+    ends = sizes.groupBy("hub").agg(
+        F.min("c").alias("least"), F.max("c").alias("most"),
+        F.sum(F.when(F.col("n") < BLOCK_SHINGLES, F.col("n"))).alias("rest"),
+    ).where("least < most").select("hub", "rest")
+    large = F.col("n") >= BLOCK_SHINGLES
+    parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK_SHINGLES)
+    blocks = (
+        near.join(sizes, ["hub", "c"]).join(ends, "hub")
+        .withColumn("kind", F.when(large, F.col("c")).otherwise(F.lit(-(2**63))))
+        .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
+        .groupBy("hub", "kind", "part")
+        .agg(F.min("c").alias("least"), F.max("c").alias("most"), F.collect_list(F.struct("rep", "c", "shingles")).alias("m"))
+        .select("hub", "kind", "part", "least", "most", "m.rep", "m.c",
+                F.transform("m", lambda row: F.size(row.shingles)).alias("n"), F.flatten("m.shingles").alias("s"))
+    )
+    blocks = stored(blocks, "blocks", release=True)
+    own = build_session(spark)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    rows = stored_in(own, blocks)
+    one, other = (rows.select(*(F.col(name).alias(f"{side}_{name}") for name in rows.columns)) for side in "xy")
+    meeting = one.join(other, F.expr(f"x_hub = y_hub AND {_PARTS}"))
+    columns = [f"{side}_{name}" for side in "xy" for name in ("rep", "c", "n", "s")]
+    found = stored(meeting.select(*columns).mapInArrow(_linked(similar), "a long, b long"), "compared")
+    return stored_in(spark, found)
+
+
 def _blocks(left: DataFrame) -> DataFrame:
     """The members of each key in blocks of about ``BLOCK``, a large component's apart from the others'.
 
-    So pairs inside a large component need not be made, and all others are made a block against a block.
+    So pairs inside a large component need not be made, and all others are made a block against a block. ``low`` and
+    ``high`` are the smallest and largest neighbourhood of a block.
     """
     sizes = left.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     small = sizes.groupBy("key").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("rest"))
@@ -158,13 +200,10 @@ def _blocks(left: DataFrame) -> DataFrame:
         .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
         .groupBy("key", "kind", "part")
         .agg(
-            F.min("c").alias("least"), F.max("c").alias("most"),
-            F.collect_list(F.struct("rep", "c", F.col("signature").alias("x"))).alias("m"),
-        )
-        .select(
-            "key", "kind", "part", "least", "most", F.col("m.rep").alias("rep"), F.col("m.c").alias("c"),
-            F.flatten("m.x").alias("x"),
+            F.min("c").alias("least"), F.max("c").alias("most"), F.min("hub").alias("low"), F.max("hub").alias("high"),
+            F.collect_list(F.struct("rep", "c", "hub", F.col("signature").alias("x"))).alias("m"),
         )
+        .select("key", "kind", "part", "least", "most", "low", "high", "m.rep", "m.c", "m.hub", F.flatten("m.x").alias("x"))
     )
 
 
@@ -174,7 +213,7 @@ def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
     labelled = members.select("key", "rep").join(known, "rep", "left")
     labelled = stored(labelled.select("rep", "key", F.coalesce("c", "rep").alias("c")), "labelled")
     ends = labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"))
-    return labelled.join(ends.where("least < most").select("key"), "key").select("rep", "key", "c")
+    return stored(labelled.join(ends.where("least < most").select("key"), "key").select("rep", "key", "c"), "apart")
 
 
 def _errors(chunk: int) -> str:
@@ -301,10 +340,10 @@ def _meeting(signature: Signature):
             found = []
             columns = {name: batch.column(name) for name in batch.schema.names}
             for k in range(batch.num_rows):
-                (a, c, x), (b, d, y) = (
-                    [columns[f"{side}_{name}"][k].values.to_numpy() for name in ("rep", "c", "x")] for side in "xy"
+                (a, c, h, x), (b, d, g, y) = (
+                    [columns[f"{side}_{name}"][k].values.to_numpy() for name in ("rep", "c", "hub", "x")] for side in "xy"
                 )
-                i, j = np.nonzero(c[:, None] != d[None, :])
+                i, j = np.nonzero((c[:, None] != d[None, :]) & (h[:, None] != g[None, :]))
                 x = x.view("<u2").reshape(len(a), signature.chunks, -1)[i]
                 y = y.view("<u2").reshape(len(b), signature.chunks, -1)[j]
                 errors = (x != y).sum(axis=2)
@@ -318,3 +357,30 @@ def _meeting(signature: Signature):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return meet
+
+
+def _linked(similar: int):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (a, c, n, x), (b, d, m, y) = (
+                    [batch.column(f"{side}_{name}")[k].values.to_numpy() for name in ("rep", "c", "n", "s")] for side in "xy"
+                )
+                shared = np.intersect1d(x, y)
+                has = []
+                for sizes, values in ((n, x), (m, y)):
+                    row = np.repeat(np.arange(len(sizes)), sizes)
+                    place = np.minimum(np.searchsorted(shared, values), max(0, len(shared) - 1))
+                    inside = shared[place] == values if len(shared) else np.zeros(len(values), dtype=bool)
+                    table = np.zeros((len(sizes), len(shared)), np.float32)
+                    table[row[inside], place[inside]] = 1
+                    has.append(table)
+                common = (has[0] @ has[1].T).astype(np.int64)
+                union = n[:, None].astype(np.int64) + m[None, :] - common
+                i, j = np.nonzero((c[:, None] != d[None, :]) & (100 * common >= similar * union))
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.maximum(a[i], b[j])), pa.array(np.minimum(a[i], b[j]))], ["a", "b"]
+                    )
+
+    return link

@@ -38,6 +38,7 @@ def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
     if release:
         del df
         for _ in range(2):  # what the write still reports to listeners holds its plan for a moment
@@ -45,3 +46,10 @@ def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
             gc.collect()
             spark.sparkContext._jvm.System.gc()
     return out
+
+
+def stored_in(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """A stored table, read by another session."""
+    out = spark.read.schema(table.schema).parquet(table.stored_at)
+    out.stored_at = table.stored_at
+    return out
