@@ -292,8 +292,8 @@ def _sent(gathered: list[dict[str, np.ndarray]], buckets: int) -> Iterator[pa.Re
         columns |= {"bucket": pa.array(bucket.astype(_I32)), "counts": empty, "prints": empty, "checks": empty}
         yield pa.RecordBatch.from_arrays([columns[name] for name in _ENTRY_COLUMNS], _ENTRY_COLUMNS)
     out = np.sort(order[~late])
-    # Each bucket of names is several here: a symbol reveals several windows.
-    bucket = (mixed(prints[out]) % np.uint64(4 * buckets)).astype(np.int64)
+    # Each bucket of names is two here: a symbol reveals several windows.
+    bucket = (mixed(prints[out]) % np.uint64(2 * buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     out, bucket = out[order], bucket[order]
     own = texts[out]
