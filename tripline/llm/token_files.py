@@ -13,12 +13,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripline.llm.flat import Flat, Words, flattened, pieces
 
 # Bytes of text that one file is made of.
 FILE_BYTES = 64 << 20
+# Files whose sums, some 30 bytes each, are sent to all readers; with more, ids are shuffled to the sums instead.
+BROADCAST_FILES = 2_000_000
 # Word encodings a task remembers; it forgets all when there are more.
 REMEMBERED = 600_000
 # Bytes of text whose distinct words are looked up together.
@@ -50,13 +53,21 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = 2, bloo
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The documents of the files: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids``.
 
-    The ids before a file are summed from the counts alone; that table has one row a file.
+    The ids before a file are summed from the counts alone.
     """
     stored = spark.read.schema(_SCHEMA).orc(path)
     sizes = stored.groupBy("part").agg(F.sum(F.col("n_tokens").cast("long")).alias("size"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left")
-    before = before.groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.size"), F.lit(0)).alias("before"))
-    return stored.join(F.broadcast(before), "part").select(
+    sizes = sizes.withColumn("thousand", F.floor(F.col("part") / 1000))
+    # Running sums inside each thousand of files, and over the thousands: neither orders all files in one task.
+    earlier = W.orderBy("thousand").rowsBetween(W.unboundedPreceding, -1)
+    thousands = sizes.groupBy("thousand").agg(F.sum("size").alias("own"))
+    thousands = thousands.select("thousand", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("passed"))
+    inside = W.partitionBy("thousand").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(thousands, "thousand")
+    before = before.select("part", (F.col("passed") + F.col("inside")).alias("before"))
+    if len(stored.inputFiles()) <= BROADCAST_FILES:
+        before = F.broadcast(before)
+    return stored.join(before, "part").select(
         "doc_id", (F.col("before") + F.col("start")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids"
     )
 
