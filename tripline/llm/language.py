@@ -29,7 +29,8 @@ FAMILIES = {
 }
 
 # Hashed runs of one to three bytes of lower-cased text, in which all ASCII but letters counts as blank.
-BINS = 1 << 13
+BITS = 12
+BINS = 1 << BITS
 _PLAIN = np.full(256, 0x20, np.uint8)
 _PLAIN[0x61:0x7B] = np.arange(0x61, 0x7B)
 _PLAIN[0x80:] = np.arange(0x80, 0x100)
@@ -64,7 +65,7 @@ def identify(docs: DataFrame, machines: Machines, min_share: float = 0.0) -> Dat
     return named.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= min_share))
 
 
-def learn(docs: DataFrame, sample: int = 1600) -> Machines:
+def learn(docs: DataFrame, sample: int = 1200) -> Machines:
     """Machines from about ``sample`` rows in all, evenly by ``lang``; the rest of the table is not looked at.
 
     Rows without lang, or without a letter, teach nothing. Languages are as many as ``lang`` has values.
@@ -151,7 +152,7 @@ def _counted(flat: Flat) -> np.ndarray:
         if len(data) >= size:
             shifted[: len(data) - size + 1] = data[size - 1 :]
         gram = gram << np.uint64(8) | shifted
-        bins = base + (mixed(gram + np.uint64(size << 32)) >> np.uint64(64 - 13)).astype(np.int64)
+        bins = base + (mixed(gram + np.uint64(size << 32)) >> np.uint64(64 - BITS)).astype(np.int64)
         inside = np.ones(len(data), dtype=bool)
         for back in range(1, size):  # runs that would leave their text
             inside[flat.offsets[1:][flat.lengths >= back] - back] = False
