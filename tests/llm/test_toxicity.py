@@ -44,6 +44,29 @@ def test_pairs_of_terms(pairs):
     assert sum(found[k].predicted == toxic[k] for k in held) / len(held) > 0.97
 
 
+def test_partners_that_do_not_tell_alone(spark):
+    """A mention of a group is as common in clean texts as in toxic ones; beside an insult it makes them toxic."""
+    draw, texts, toxic, groups = random.Random(5), [], [], []
+    for k in range(6000):
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.randrange(20, 80))]
+        bad, kind = draw.random() < 0.2, draw.random()
+        group = kind < 0.5
+        insult = group if bad else 0.5 <= kind < 0.7
+        words += [f"insult{draw.randrange(10)}"] * insult + [f"group{draw.randrange(20)}"] * group
+        words += [f"threat{draw.randrange(10)}"] * (bad and not group)
+        draw.shuffle(words)
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+        groups.append(group)
+    shares = [np.mean([g for g, t in zip(groups, toxic) if t == value]) for value in (0, 1)]
+    assert abs(shares[0] - shares[1]) < 0.03
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity(docs, learn(docs, labels)).collect()}
+    held = [k for k in range(len(toxic)) if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert sum(found[k] == toxic[k] for k in held) / len(held) > 0.97
+
+
 def test_awkward_rows(spark, pairs):
     docs, labels, _ = pairs
     machine = learn(docs, labels)

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from tripline.llm.flat import ALPHANUMERIC, flattened, pieces, words_of
 from tripline.llm.sampling import by_label, remainder
 
-# Bins that terms are hashed to, those of them that the machine keeps, and the length of a term's vector.
+# Bins that terms are hashed to, and the length of a term's vector.
 BINS_BITS = 20
-TERMS = 512
 FACTORS = 6
 
 
@@ -72,48 +71,103 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 50
     return _fitted([np.frombuffer(row.bins, np.int32) for row in found], np.array([row.toxic for row in found], np.float64))
 
 
-def _fitted(lists: list[np.ndarray], y: np.ndarray, rounds: int = 150) -> Machine:
+def _fitted(lists: list[np.ndarray], y: np.ndarray, least: int = 3, by_chance: int = 200, block: int = 256) -> Machine:
+    """A machine over all terms that ``least`` texts have.
+
+    First weights alone, then weights and factors are fitted together, both with a penalty: a term's weight or vector
+    leaves zero only if its slope is more than chance makes it, so that of all terms about ``by_chance`` at most do
+    without a cause. A term's slope in its factors depends on its partners, not on its own difference between the
+    classes. What is not zero then is fitted again without the penalty.
+    """
     share = float(y.mean()) if len(y) else 0.0
     none = Machine(np.empty(0, np.int64), float(np.log((share + 1e-4) / (1 - share + 1e-4))), np.empty(0), np.empty((0, FACTORS)))
     if not 0 < share < 1:
         return none
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    bins = np.concatenate(lists)
-    has = np.bincount(bins, minlength=1 << BINS_BITS)
-    bad = np.bincount(bins, weights=y[rows], minlength=1 << BINS_BITS)
-    good = has - bad
-    # The terms whose shares among toxic and clean differ by most standard errors.
-    p, q, r = bad / y.sum(), good / (len(y) - y.sum()), has / len(y)
-    z = np.abs(p - q) / np.sqrt(r * (1 - r) * (1 / y.sum() + 1 / (len(y) - y.sum())) + 1e-9)
-    z[has < 5] = 0
-    best = np.sort(np.argsort(-z, kind="stable")[:TERMS])
-    best = best[z[best] > 0]
-    if not len(best):
+    bins = np.flatnonzero(np.bincount(np.concatenate(lists), minlength=1 << BINS_BITS) >= least)
+    if not len(bins):
         return none
-    x = np.zeros((len(lists), len(best)), np.float32)
-    place = np.searchsorted(best, bins)
-    inside = (place < len(best)) & (best[np.minimum(place, len(best) - 1)] == bins)
-    x[rows[inside], place[inside]] = 1
+    chance = np.sqrt(2 * np.log(max(1.0, len(bins) / by_chance)))
+    rows = _blocks(lists, y, bins, block)
+    params = np.zeros((len(bins), 1 + FACTORS))
+    bias, params = _descended(rows, none.bias, params, 60, 0.02, chance, factors=False)
+    # Vectors begin along the weights: the slope of any other term then is its tie with what is known to tell.
     random = np.random.default_rng(11)
-    params = [np.zeros(1), np.zeros(len(best)), random.normal(0, 0.05, (len(best), FACTORS))]
-    params[0][0] = none.bias
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    mixture = np.column_stack([np.ones(len(bins)), random.normal(0, 1, (len(bins), FACTORS - 1))])
+    params[:, 1:] = 0.3 * params[:, :1] * mixture + random.normal(0, 0.02, (len(bins), FACTORS))
+    bias, params = _descended(rows, bias, params, 80, 0.02, chance)
+    some = (params != 0).any(axis=1)
+    if not some.any():
+        return none
+    bins, params = bins[some], params[some]
+    bias, params = _descended(_blocks(lists, y, bins, block), bias, params, 150, 0.1, 0.0)
+    return Machine(bins, bias, params[:, 0].copy(), params[:, 1:].copy())
+
+
+#: Of some texts: labels, the places of their terms in rising order, and the text and term of each entry.
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _blocks(lists: list[np.ndarray], y: np.ndarray, bins: np.ndarray, block: int) -> list[Rows]:
+    """The texts, short ones first, as sparse rows over the bins."""
+    place = np.full(1 << BINS_BITS, -1, np.int32)
+    place[bins] = np.arange(len(bins))
+    order = np.argsort([len(x) for x in lists], kind="stable")
+    out = []
+    for at in range(0, len(order), block):
+        ids = order[at : at + block]
+        own = [place[lists[k]] for k in ids]
+        own = [x[x >= 0] for x in own]
+        terms, inverse = np.unique(np.concatenate(own), return_inverse=True)
+        out.append((y[ids], terms, np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in own]), inverse.astype(np.int32)))
+    return out
+
+
+def _descended(
+    rows: list[Rows], bias: float, params: np.ndarray, rounds: int, rate: float, chance: float, factors: bool = True
+) -> tuple[float, np.ndarray]:
+    """Adam over all texts, a block at a time; a penalty of ``chance`` standard errors of a slope is taken after each step.
+
+    Column 0 of ``params`` has the weights, which are penalized one by one, the others a term's vector, as a whole.
+    """
+    n = sum(len(y) for y, *_ in rows)
+    share = sum(float(y.sum()) for y, *_ in rows) / n
+    error_variance = share * (1 - share)
+    mean, square, biases = np.zeros_like(params), np.zeros_like(params), np.zeros(2)
     for step in range(1, rounds + 1):
-        bias, w, v = params
-        sums = x @ v.astype(np.float32)
-        total = bias[0] + x @ w + 0.5 * ((sums**2).sum(axis=1) - x @ (v**2).sum(axis=1))
-        error = ((1 / (1 + np.exp(-np.clip(total, -30, 30)))) - y) / len(y)
-        back = x.T @ error
-        slopes = [
-            np.array([error.sum()]),
-            back + 1e-5 * w,
-            x.T @ (error[:, None] * sums) - v * back[:, None] + 1e-5 * v,
-        ]
-        for k, (slope, (m, s)) in enumerate(zip(slopes, moments)):
-            m += 0.1 * (slope - m)
-            s += 0.01 * (slope**2 - s)
-            params[k] = params[k] - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-    return Machine(best, float(params[0][0]), params[1], params[2])
+        slope, noise, slope_bias = 1e-5 * params, np.zeros((len(params), 2)), 0.0
+        for y, terms, row, term in rows:
+            x = np.zeros((len(y), len(terms)), np.float32)
+            x[row, term] = 1
+            w, v = params[terms, 0].astype(np.float32), params[terms, 1:].astype(np.float32)
+            sums = x @ v
+            total = bias + x @ w + 0.5 * ((sums**2).sum(axis=1) - x @ (v**2).sum(axis=1))
+            error = 1 / (1 + np.exp(-np.clip(total, -30, 30))) - y
+            energy = (sums**2).sum(axis=1)
+            back = x.T @ np.column_stack([error, error[:, None] * sums, np.ones(len(y)), energy]).astype(np.float32)
+            slope[terms, 0] += back[:, 0] / n
+            slope[terms, 1:] += (back[:, 1:-2] - v * back[:, :1]) / n
+            noise[terms] += back[:, -2:]
+            slope_bias += float(error.sum()) / n
+        if not factors:
+            slope[:, 1:] = 0
+        first, second = 1 - 0.9**step, 1 - 0.99**step
+        mean += 0.1 * (slope - mean)
+        square += 0.01 * (slope**2 - square)
+        biases += [0.1 * (slope_bias - biases[0]), 0.01 * (slope_bias**2 - biases[1])]
+        bias -= rate * (biases[0] / first) / (np.sqrt(biases[1] / second) + 1e-8)
+        if not chance:
+            params = params - rate * (mean / first) / (np.sqrt(square / second) + 1e-8)
+            continue
+        limit = rate * chance * np.sqrt(noise * error_variance) / n
+        size = np.sqrt(square[:, 0] / second) + 1e-8
+        w = params[:, 0] - rate * (mean[:, 0] / first) / size
+        w = np.sign(w) * np.maximum(np.abs(w) - limit[:, 0] / size, 0)
+        size = np.sqrt(square[:, 1:].mean(axis=1) / second) + 1e-8
+        v = params[:, 1:] - rate * (mean[:, 1:] / first) / size[:, None]
+        if factors:
+            v *= np.maximum(1 - limit[:, 1] / size / (np.sqrt((v**2).sum(axis=1)) + 1e-12), 0)[:, None]
+        params = np.column_stack([w, v])
+    return float(bias), params
 
 
 # In tasks
