@@ -83,3 +83,14 @@ def test_sample_is_bounded(spark):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % 3 == 0).cast("string").alias("lang"))
     counts = {r.lang: r["count"] for r in by_label(rows, "lang", 500).groupBy("lang").count().collect()}
     assert all(400 < n < 600 for n in counts.values()) and len(counts) == 2
+
+
+def test_sample_is_bounded_for_a_shared_id(spark):
+    """Rows of one doc_id, or of none, are drawn apart; rows that are alike count once."""
+    for k in range(8):  # some of these ids would be drawn, some not
+        one = F.lit(None).cast("long") if k == 0 else F.lit(k)
+        rows = spark.range(4000).select(one.alias("doc_id"), F.col("id").cast("string").alias("text"), F.lit("x").alias("lang"))
+        n = by_label(rows, "lang", 1000).count()
+        assert 800 < n < 1200
+    same = spark.range(4000).select(F.lit(1).alias("doc_id"), F.lit("t").alias("text"), F.lit("x").alias("lang"))
+    assert by_label(same, "lang", 1000).count() == 1

@@ -86,3 +86,15 @@ def test_little_to_learn_from(spark):
         scores = [r.score for r in toxicity(docs, machine).collect()]
         assert len(set(scores)) == 1 and 0 <= scores[0] <= 1
     assert toxicity(documents(spark, []), machine).collect() == []
+
+
+def test_sample_is_bounded_for_a_shared_id(spark, monkeypatch):
+    """A labelled doc_id that many rows share does not bring all of them."""
+    import tripline.llm.toxicity as module
+
+    sizes = []
+    monkeypatch.setattr(module, "_fitted", lambda lists, y: sizes.append(len(y)))
+    for one in range(1, 7):
+        docs = documents(spark, [(one, f"a{k}") for k in range(3000)] + [(100 + k, f"b{k}") for k in range(100)])
+        learn(docs, spark.createDataFrame([(one, 0)] + [(100 + k, k % 2) for k in range(100)], "doc_id long, toxic int"), toxic=50, clean=300)
+    assert all(n < 450 for n in sizes) and max(sizes) > 250

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripline.llm.flat import ALPHANUMERIC, flattened, pieces, words_of
-from tripline.llm.sampling import by_label, remainder
+from tripline.llm.sampling import by_label, remainder, with_draw
 
 # Bins that terms are hashed to, and the length of a term's vector.
 BINS_BITS = 20
@@ -55,7 +55,7 @@ def toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 5000, left: int = 0) -> Machine:
-    """A machine from about ``toxic`` and ``clean`` labelled rows; others are not looked at.
+    """A machine from about ``toxic`` and ``clean`` rows of labelled documents; others are not looked at.
 
     Labels of documents whose crc32 of doc_id, modulo 5, is ``left`` are not used. Labels that are not 0 or 1, or that
     contradict each other, teach nothing. Without labels of both kinds all scores are the share of toxic ones.
@@ -63,10 +63,9 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 50
     known = labels.where("doc_id IS NOT NULL").where(remainder(F.col("doc_id"), 5) != left)
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("toxic").alias("a"), F.max("toxic").alias("toxic"))
     known = known.where("a = toxic AND toxic IN (0, 1)").drop("a")
-    drawn = [by_label(known.where(f"toxic = {value}"), "toxic", each) for value, each in ((1, toxic), (0, clean))]
-    chosen = drawn[0].union(drawn[1])
+    texts = with_draw(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(known, "doc_id")
     # The sample's terms are what comes to the driver: four bytes for each distinct one of a row.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
+    texts = by_label(texts, "toxic", {1: toxic, 0: clean})
     found = texts.select("toxic", "text").mapInArrow(_termed, "toxic int, bins binary").collect()
     return _fitted([np.frombuffer(row.bins, np.int32) for row in found], np.array([row.toxic for row in found], np.float64))
 
