@@ -86,3 +86,19 @@ def test_clean_prose_stays(spark):
     text = "\n".join(" ".join(prose(k, 12, 3000)) + "." for k in range(20))
     (row,) = quality(documents(spark, [text])).collect()
     assert row.kept and row.cleaned == text and row.lost_chars == 0
+
+
+def test_sentences_of_other_scripts(spark):
+    """Lines that end as their script ends sentences pass, and Thai and Lao lines, which have no such marks."""
+    sentences = {
+        "hi": ["क", "ख", "।"], "bn": ["ক", "খ", "।"], "ur": ["ا", "ب", "۔"], "ar": ["ا", "ب", "؟"], "am": ["ሀ", "ለ", "።"],
+        "my": ["က", "ခ", "။"], "km": ["ក", "ខ", "។"], "hy": ["ա", "բ", "։"], "th": ["ก", "ข", ""], "lo": ["ກ", "ຂ", ""],
+    }
+    texts = ["\n".join(" ".join(f"{a * (k + 1)}{b * (n + 1)}" for k in range(9)) + end for n in range(8)) for a, b, end in sentences.values()]
+    texts += [text.replace(end, "") for text, (_, _, end) in zip(texts, sentences.values()) if end]
+    out = sorted(quality(documents(spark, texts)).collect())
+    assert not any(r.base_failed for r in out)
+    assert [r.n_failed_lines for r in out] == [0] * 10 + [8] * 8
+    assert [r.kept for r in out] == [True] * 10 + [False] * 8
+    mixed = quality(documents(spark, ["plain words without an end ก", "กขค plain"])).collect()
+    assert [r.n_failed_lines for r in sorted(mixed)] == [1, 1]

@@ -17,7 +17,8 @@ from tripline.llm.flat import SPACED, Flat, Words, flattened, pieces, range_name
 class Rules:
     """What a line, and then a document, may be.
 
-    A line fails as punctuation if none of its words ends a sentence, or if it has more than ``marks`` of the
+    A line fails as punctuation if none of its words ends a sentence, unless over half of the code points in its words
+    are Thai or Lao, which are written without sentence marks; or if it has more than ``marks`` of the
     characters ``#*$%&|<>!`` per 100 words; as navigation if it has at least two separators (words made of ``|``,
     ``>``, or one of the characters »·•) and ``separators`` per 100 words or more; as boilerplate if it holds one of
     ``phrases``, in any case of ASCII letters. A document is rejected if the failed lines have more than ``loss`` of
@@ -79,7 +80,10 @@ def _table(characters: str) -> np.ndarray:
 
 _SYMBOLS, _MARKS, _BARS = _table("#*$%&|<>"), _table("#*$%&|<>!"), _table("|>")
 # What ends a sentence, and what may stand between that and the end of the word.
-_ENDS = [".", "!", "?", "…", "。", "！", "？"]
+_ENDS = [".", "!", "?"]
+# Beyond ASCII: CJK with its wide and half-wide forms, danda, Urdu and Arabic, Armenian, Greek, Ethiopic, Burmese,
+# Khmer, Tibetan and Mongolian.
+_WIDE_ENDS = [*"…。！？．｡", *"।॥", *"۔؟", "։", "\u037e", *"።፧፨", "။", *"។៕", *"།༎", *"᠃᠉"]
 _CLOSERS = ['"', "'", ")", "]", "”", "’", "»"]
 _DOTS = ["»", "·", "•"]
 
@@ -104,6 +108,8 @@ def _sentence_ends(words: Words) -> np.ndarray:
     while len(todo):
         some = Words(words.flat, words.starts[todo], ends[todo])
         out[todo] = _ends_with(some, ends[todo], _ENDS) > 0
+        wide = np.flatnonzero((some.ends > some.starts) & (words.flat.data[np.maximum(some.ends - 1, 0)] >= 0x80))
+        out[todo[wide]] = _ends_with(Words(words.flat, some.starts[wide], some.ends[wide]), some.ends[wide], _WIDE_ENDS) > 0
         closing = _ends_with(some, ends[todo], _CLOSERS)
         closing[out[todo]] = 0
         ends[todo] -= closing
@@ -111,6 +117,13 @@ def _sentence_ends(words: Words) -> np.ndarray:
     return out
 
 
+def _unmarked(flat: Flat) -> np.ndarray:
+    """Which bytes begin a Thai or Lao character: U+0E00 to U+0EFF."""
+    out = flat.data == 0xE0
+    out[:-1] &= (flat.data[1:] >= 0xB8) & (flat.data[1:] <= 0xBB)
+    return out
+
+
 def _separators(words: Words) -> np.ndarray:
     """Which words are nothing but a separator."""
     bars = np.append(0, np.cumsum(_BARS[words.flat.data]))
@@ -183,6 +196,8 @@ def _piece(piece: pa.RecordBatch, rules: Rules) -> pa.RecordBatch:
     marks = marks[ends_] - marks[starts_]
     separators = _sums(_separators(words), cuts)
     failed = _sums(_sentence_ends(words), cuts) == 0
+    unmarked = np.append(0, np.cumsum(_unmarked(flat)))
+    failed &= 2 * (unmarked[ends_] - unmarked[starts_]) <= _sums(chars, cuts)
     failed |= 100 * marks > rules.marks * n_
     failed |= (separators >= 2) & (100 * separators >= rules.separators * n_)
     lowered = flat.lowered.data.tobytes()
