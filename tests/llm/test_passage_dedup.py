@@ -93,3 +93,25 @@ def test_equal_windows_are_revealed_by_equal_symbols(vocabulary):
     assert any(len(found) > 1 for found in by_window.values())
     for found in by_window.values():
         assert all(names == found[0] for names in found)
+
+
+def test_codes_of_copies_are_told_once():
+    """Blocks that each send the names of a copy do not make its row longer."""
+    import pyarrow as pa
+
+    from tripline.llm.repeats import _answered, joined_codes
+
+    def told(bucket, hashes, counts, names, kind):
+        rows = len(hashes)
+        return _answered(pa.table({
+            "bucket": pa.array([bucket] * rows, pa.int32()),
+            "hashes": [np.array([h], np.int64).tobytes() for h in hashes],
+            "counts": [np.array([c], np.int32).tobytes() for c in counts],
+            "names": [np.array(n, kind).tobytes() for n in names],
+            "seen": [np.ones(c, np.uint8).tobytes() for c in counts],
+        }), 100_000)
+
+    out = told(3, [7] * 50 + [8], [2] * 50 + [1], [[5, 6]] * 50 + [[5]], np.uint32)
+    assert out.column("hash").to_pylist() == [7, 8] and [len(x) for x in out.column("names").to_pylist()] == [8, 8]
+    out = told(-1, [7] * 50, [0] * 50, [[5, 6]] * 49 + [[6, 9]], np.uint64)
+    assert [list(x) for x in joined_codes(pa.array([out.column("names").to_pylist()]))] == [[5, 6, 9]]

@@ -234,7 +234,8 @@ def _answered(table: pa.Table, crowd: int) -> pa.Table:
     hashes = joined(table, "hashes", _I64)
     bucket = table.column("bucket")[0].as_py()
     if bucket < 0:
-        return pa.table({"hash": hashes, "names": table.column("names")})
+        lists = table.column("names").to_pylist()
+        return _told(np.repeat(hashes, [len(x) // 8 for x in lists]), np.frombuffer(b"".join(lists), _U64))
     counts, names = joined(table, "counts", _I32), joined(table, "names", _U32)
     seen = joined(table, "seen", _U8)
     document = np.repeat(np.arange(len(hashes)), counts)
@@ -249,17 +250,21 @@ def _answered(table: pa.Table, crowd: int) -> pa.Table:
     twice[order] = np.repeat(shared, sizes)
     twice &= seen < 2  # the others have been answered already
     kept = np.flatnonzero(twice)
-    document = document[kept]
-    new = np.ones(len(kept), dtype=bool)
-    new[1:] = document[1:] != document[:-1]
-    runs = np.flatnonzero(new)
-    who = document[runs]
     codes = np.uint64(bucket) << np.uint64(32) | names[kept].astype(np.uint64)
-    out = pa.table(
-        {"hash": hashes[who]} | binary_rows({"names": codes.astype(_U64)}, np.append(runs, len(kept)))
-    )
+    out = _told(hashes[document[kept]], codes)
     many = names[order][first[np.add.reduceat(seen[order], first, dtype=np.int64) >= crowd]]
     if not len(many):
         return out
     codes = (np.uint64(bucket) << np.uint64(32) | many.astype(np.uint64)).astype(_U64)
     return pa.concat_tables([out, pa.table({"hash": pa.array([None], pa.int64()), "names": [codes.tobytes()]})])
+
+
+def _told(hashes: np.ndarray, codes: np.ndarray) -> pa.Table:
+    """Each text's codes, once, however many blocks have sent them for copies of it."""
+    order = np.lexsort((codes, hashes))
+    hashes, codes = hashes[order], codes[order]
+    other = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+    new = other | np.append(True, codes[1:] != codes[:-1])[: len(codes)]
+    hashes, codes, other = hashes[new], codes[new], other[new]
+    runs = np.flatnonzero(other)
+    return pa.table({"hash": hashes[runs]} | binary_rows({"names": codes.astype(_U64)}, np.append(runs, len(codes))))
