@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.vectors import awkward, usable, vectors
+from tripline.llm import hard_negatives as module
+from tripline.llm.hard_negatives import hard_negatives, hilbert_keys
+
+
+def brute_force(rows: list, positives: int = 5, negatives: int = 5, divisor: int = 20) -> list:
+    rows = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in usable(rows) if label is not None]
+    out = []
+    for k, (anchor, own, label) in enumerate(rows):
+        if anchor is None or anchor % divisor:
+            continue
+        score = [sum(a * b for a, b in zip(own, v)) for _, v, _ in rows]
+        order = sorted(range(len(rows)), key=lambda j: (-score[j], rows[j][0] is None, rows[j][0] or 0))
+        for p in [j for j in order if j != k and rows[j][2] == label][:positives]:
+            near = [j for j in order if rows[j][2] != label and 80 * score[p] <= 100 * score[j] <= 100 * score[p]]
+            out += [(anchor, rows[p][0], r, rows[j][0], score[p], score[j]) for r, j in enumerate(near[:negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def collected(df, divisor: int = 20, **options) -> list:
+    found = hard_negatives(df, F.col("vec_id") % divisor == 0, **options)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted((tuple(row) for row in found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("block, tile, zones", [(512, 256, 4096), (16, 3, 2)])
+def test_awkward_rows(spark, monkeypatch, block, tile, zones):
+    for name, value in (("BLOCK", block), ("TILE", tile), ("ZONES", zones), ("_STRETCH", 4)):
+        monkeypatch.setattr(module, name, value)
+    rows = awkward(300)
+    df = vectors(spark, rows).withColumns({name: F.lit("x") for name in ("row", "block", "score", "parts", "rank", "anchor")})
+    wanted = brute_force(rows)
+    assert len(wanted) > 100
+    assert collected(df) == wanted
+
+
+def test_few_rows(spark):
+    assert collected(vectors(spark, [])) == []
+    assert collected(vectors(spark, [(20, [0.5, 0.5], 1)])) == []
+    assert collected(vectors(spark, [(3, [0.5, 0.5], 1), (4, [0.5, 0.5], 2), (5, [0.5, 0.5], 1)])) == []  # no anchor
+    rows = [(20, [0.5, 0.5], 1), (4, [0.5, 0.5], 2), (5, [0.5, 0.5], 1), (6, [0.5, 0.45], 2)]
+    assert collected(vectors(spark, rows)) == brute_force(rows)
+
+
+def test_all_one_vector(spark):
+    rows = [(k, [0.5, -0.5, 0.25, 0.0], k % 3) for k in range(200)]
+    assert collected(vectors(spark, rows)) == brute_force(rows)
+
+
+def test_other_windows(spark):
+    rows = awkward(150, seed=9)
+    found = collected(vectors(spark, rows), positives=2, negatives=3)
+    assert found == brute_force(rows, 2, 3)
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(k, [x * 2.0**16 for x in v], label) for k, v, label in usable(awkward(80))]
+    assert collected(vectors(spark, rows)) == brute_force(rows)
+    rows = [(k, [x * 2.0**18 for x in v], label) for k, v, label in usable(awkward(80))]
+    assert collected(vectors(spark, rows)) == brute_force(rows)
+
+
+def test_what_does_not_fit(spark):
+    with pytest.raises(ValueError, match="components"):
+        collected(vectors(spark, [(1, [0.5] * 8, 1), (2, [0.5] * 4, 1)]))
+    with pytest.raises(ValueError, match="64 bits"):
+        collected(vectors(spark, [(1, [-1e30] * 8, 1)]))
+
+
+@pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (5, 2)])
+def test_hilbert_curve(dimensions, bits):
+    """Neighbours on the curve differ by one in one dimension, and every cell has a place of its own."""
+    side = 1 << bits
+    cells = np.stack(np.meshgrid(*[np.arange(side)] * dimensions), -1).reshape(-1, dimensions)
+    keys = [key.tobytes() for key in hilbert_keys(cells, bits)]
+    assert len(set(keys)) == len(cells)
+    ordered = cells[sorted(range(len(cells)), key=keys.__getitem__)]
+    assert (np.abs(np.diff(ordered, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_zone_maps_leave_blocks_unread():
+    """Of blocks in far corners, an anchor reads only those whose bounds meet its window, and none that it needs is left out."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(2)
+    blocks = [center + draw.integers(-9, 9, (20, 6)).astype(np.int32) for center in draw.integers(-200, 200, (30, 6))]
+    anchors = draw.integers(-200, 200, (8, 6)).astype(np.int32)
+    lo = [int((anchors[k] @ np.concatenate(blocks).T).max() * 0.8) for k in range(8)]
+    zones = {
+        "blocks": np.arange(30, dtype=np.int64).tobytes(),
+        "lows": b"".join(b.min(axis=0).astype(np.int32).tobytes() for b in blocks),
+        "highs": b"".join(b.max(axis=0).astype(np.int32).tobytes() for b in blocks),
+        "kinds": np.zeros(30, np.int64).tobytes(),
+        "cuts": np.arange(30, dtype=np.int64).tobytes(),
+    }
+    asked = [{"row": k, "vec_id": k, "label": 1, "parts": anchors[k].tobytes(), "lo": [lo[k]], "hi": [1 << 40]} for k in range(8)]
+    batch = pa.RecordBatch.from_pydict({"anchors": [asked], **{name: pa.array([x], pa.binary()) for name, x in zones.items()}})
+    pairs = set()
+    for found in module._chosen(False, np.float64)(iter([batch])):
+        for row in found.to_pylist():
+            pairs |= {(a["row"], row["block"]) for a in row["anchors"]}
+    needed = {(k, b) for k in range(8) for b in range(30) if (anchors[k] @ blocks[b].T).max() >= lo[k]}
+    assert needed <= pairs
+    assert len(pairs) < 0.3 * 8 * 30

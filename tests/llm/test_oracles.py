@@ -11,7 +11,7 @@ from tripline.llm import queries
 
 def test_registered():
     numbers = [name.split("_")[0] for name in queries.queries()]
-    assert [f"op{k}" for k in range(1, 11)] == [x for x in numbers if x.startswith("op")]
+    assert [f"op{k}" for k in range(1, 14)] == [x for x in numbers if x.startswith("op")]
     assert set(queries.queries()) <= set(driver.queries())
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
@@ -24,5 +24,5 @@ def test_query_matches_oracle(spark, data, name):  # noqa: F811
     types = {column[0]: DUCK_TYPES[str(column[1])] for column in expected.description}
     assert dict(actual.dtypes) == types
     wanted = _rows(list(types), expected.fetchall())
-    assert len(wanted) == 1000
+    assert len(wanted) >= 100
     assert _rows(actual.columns, [tuple(row) for row in actual.collect()]) == wanted

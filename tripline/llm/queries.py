@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripline.llm import decontamination, language, passage_dedup, substring_dedup, token_files, toxicity
+from tripline.llm import byte_bpe, decontamination, language, passage_dedup, substring_dedup, token_files, toxicity, vector_codes
+from tripline.llm.hard_negatives import hard_negatives
 from tripline.llm.licenses import license_scan
 from tripline.llm.mixing import mixture
 from tripline.llm.near_duplicates import near_duplicates
@@ -23,6 +24,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
@@ -184,6 +189,92 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_documents(spark, sf_dir)).drop("spans")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.compressed(_embeddings(spark, sf_dir)))
+
+
+# A vector takes part if it has components and all of them are numbers.
+_VECTORS_SQL = r"""embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _op11_sql(positions: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written out one after the other."""
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+  SELECT r, p, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d
+  FROM (SELECT r, m.p, e, CAST(list_dot_product(m.c, m.c) - 2 * list_dot_product(m.c, b.c) + list_dot_product(b.c, b.c) AS BIGINT) AS d
+        FROM m JOIN b{k} AS b USING (p)) GROUP BY r, p
+)"""
+
+    def updated(k: int) -> str:
+        return f"""s{k} AS MATERIALIZED (
+  SELECT p, e, i, floor(CAST(sum(c[i]) AS DOUBLE) / count(*)) AS x
+  FROM a{k - 1} JOIN m USING (r, p), unnest(range(1, len(c) + 1)) AS t(i) GROUP BY p, e, i
+), b{k} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.c, old.c) AS c
+  FROM b{k - 1} AS old LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS c FROM s{k} GROUP BY p, e) AS n USING (p, e)
+)"""
+
+    steps = [assigned(0)] + [step for k in range(1, rounds + 1) for step in (updated(k), assigned(k))]
+    return rf"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS c
+  FROM embeddings WHERE {_VECTORS_SQL}
+), m AS MATERIALIZED (
+  SELECT r, p, list_slice(c, p * (len(c) // {positions}) + 1, (p + 1) * (len(c) // {positions})) AS c
+  FROM v, unnest(range({positions})) AS t(p)
+), first AS (
+  SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, c) - 1 AS e FROM v QUALIFY e < {entries}
+), b0 AS MATERIALIZED (
+  SELECT p, e, c FROM first JOIN m USING (r)
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+), book AS (
+  SELECT string_agg(CAST(CAST(c[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i) AS text
+  FROM b{rounds}, unnest(range(1, len(c) + 1)) AS t(i)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       sha256((SELECT text FROM book)) AS codebooks_sha256
+FROM v JOIN coded USING (r)"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS LONG) + 1) % 10 ELSE label END")
+    vectors = _embeddings(spark, sf_dir).withColumn("label", shifted)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+_OP12_SQL = rf"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS c
+  FROM embeddings WHERE label IS NOT NULL AND {_VECTORS_SQL}
+), scores AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS r, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.c, b.c) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, r) AS n
+  FROM scores WHERE same QUALIFY n <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.n ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives AS p JOIN scores AS s ON p.a = s.a AND NOT s.same
+  AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5"""
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.encoded(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decoded(tokens, ranks))
+
+
 _QUERIES: list[Query] = [
     op1_near_duplicates,
     op2_decontamination,
@@ -195,12 +286,17 @@ _QUERIES: list[Query] = [
     op8_passage_dedup,
     op9_mixing,
     op10_licenses,
+    op11_vector_codes,
+    op12_hard_negatives,
+    op13_byte_bpe,
 ]
 
 _ORACLES: dict[str, str] = {
     "op2_decontamination": _OP2_SQL,
     "op7_quality_rules": _OP7_SQL,
     "op9_mixing": _OP9_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op12_hard_negatives": _OP12_SQL,
 }
 
 
