@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        # Storage that only Spark opens: viewfs://trips/tmp/... is the folder /tmp/...
+        .config("spark.hadoop.fs.viewfs.mounttable.trips.link./tmp", "file:///tmp")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )

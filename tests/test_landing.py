@@ -21,7 +21,7 @@ from tripline.sources import (
     read_month,
     schema_drift,
 )
-from tripline.sources import footers
+from tripline.sources import footers, landing
 from tripline.sources.scratch import checkpoint_root, new_folder
 
 RAW_TYPES = [
@@ -147,10 +147,44 @@ def test_footers_not_written_by_spark(tmp_path):
     assert old["at"] == "timestamp"
 
 
-def test_footers_that_only_spark_reads(spark, landed, monkeypatch):
+@pytest.mark.parametrize("few", [0, 256])
+def test_footers_that_only_spark_reads(spark, landed, monkeypatch, few):
     wanted = sorted(map(tuple, landing_types(spark, landed).collect()), key=repr)
-    monkeypatch.setattr(footers, "_columns", lambda path: None)
+    counts = sorted(map(tuple, read_landing(spark, landed).groupBy("source_month").count().collect()))
+    monkeypatch.setattr(landing, "FEW", few)
     assert sorted(map(tuple, landing_types(spark, landed).collect()), key=repr) == wanted
+    only_spark = f"viewfs://trips{landed}"
+    found = sorted(map(tuple, landing_types(spark, only_spark).collect()), key=repr)
+    assert [row[:2] + row[3:] for row in found] == [row[:2] + row[3:] for row in wanted]
+    assert {row[2].split("/")[2] for row in found} == {"trips"}
+    assert sorted(map(tuple, read_landing(spark, only_spark).groupBy("source_month").count().collect())) == counts
+
+
+def test_a_broken_footer_is_an_error(spark, tmp_path):
+    broken = tmp_path / "year=2023" / "month=01" / "yellow_tripdata_2023-01.parquet"
+    broken.parent.mkdir(parents=True)
+    broken.write_bytes(b"no parquet at all")
+    assert footers.columns_of(str(broken))[1].startswith("ArrowInvalid")
+    with pytest.raises(pa.ArrowInvalid):
+        read_landing(spark, str(tmp_path), 2023, [1])
+
+
+def test_a_thousand_files_need_no_job_each(spark, landed, tmp_path):
+    """Scans and what comes to the driver depend on sets of types and months, not on the number of files."""
+    base, part = str(tmp_path), spark.read.parquet(landed_path(landed, 2023, 2)).limit(2000)
+    part.repartition(1000, "tpep_pickup_datetime", "total_amount").write.parquet(landed_path(base, 2023, 2))
+    part.limit(3).coalesce(1).write.parquet(landed_path(base, 2023, 3))
+    files = landed_parts(spark, base, months=[2, 3]).count()
+    assert files > landing.FEW
+    tracker = spark.sparkContext.statusTracker()
+    for address in (base, f"viewfs://trips{base}"):
+        spark.sparkContext.setJobGroup(f"footers of {address}", "reads footers")
+        sets = landing._type_sets(spark, address, [(2023, 2), (2023, 3)])
+        jobs = tracker.getJobIdsForGroup(f"footers of {address}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs) < 12
+        assert [sorted(paths) for paths in sets.values()] == [[landed_path(address, 2023, 2), landed_path(address, 2023, 3)]]
+    assert read_landing(spark, base, months=[2, 3]).count() == part.count() + 3
 
 
 def test_files_of_two_years(spark, landed, tmp_path):

@@ -6,6 +6,7 @@ from uuid import uuid4
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tests.rows import raw_rows
@@ -32,8 +33,10 @@ from tripline.plans import (
     replace_months,
     write_table,
 )
+from tripline.plans import tables
 from tripline.plans.registry import queries
 from tripline.plans.standin import Standin
+from tripline.plans.tables import seen_by
 from tripline.sources import read_landing
 from tripline.sources.local import side_by_side
 
@@ -204,7 +207,7 @@ def test_replacing_a_month_rebuilds_every_month_its_files_reach(spark, tmp_path,
     silver = replace_months(spark, new, [4], lake=lake)
     assert months_of(silver) == {(2023, 1): 1, (2023, 2): 1, (2023, 3): 2, (2023, 4): 2}
     assert silver.where("pickup_month = 1").select("silver_loaded_at").first() == untouched
-    assert spark.sql(f"SHOW PARTITIONS {lake.table('silver')}").count() == 4
+    assert len({file.rsplit("/", 1)[0] for file in spark.table(lake.table("silver")).inputFiles()}) == 4
     # The same rows as if everything were built anew.
     replaced = without_load_times(silver)
     assert without_load_times(create_silver(spark, lake=lake, period=Period())) == replaced
@@ -287,6 +290,59 @@ def test_a_failed_write_of_partitions_leaves_the_old_rows(spark, landed, lake):
     assert spark.table(lake.table("raw")).count() == 1000
 
 
+def folders_of(lake, table):
+    return [path for path in Path(lake.location).iterdir() if path.name.startswith(f"{table}-")]
+
+
+@pytest.mark.parametrize("step", ["_point_at", "_create", "_take_name"])
+def test_an_overwrite_that_is_cut_off_leaves_the_old_rows(spark, lake, monkeypatch, step):
+    old, new = spark.range(3).withColumn("part", F.lit(1)), spark.range(3, 9).withColumn("part", F.lit(2))
+    write_table(old, lake, "raw", partition_by=("part",))
+    if step != "_point_at":
+        new = new.withColumn("id", F.col("id").cast("string"))
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, step, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            write_table(new, lake, "raw", partition_by=("part",))
+    assert sorted(map(tuple, spark.table(lake.table("raw")).collect())) == [(0, 1), (1, 1), (2, 1)]
+    assert len(folders_of(lake, lake.raw)) == 1
+    stored = write_table(new, lake, "raw", partition_by=("part",))
+    assert stored.count() == 6 and stored.dtypes == new.dtypes
+    assert {row.part for row in stored.collect()} == {2}  # no partition of the old table is left
+    assert len(folders_of(lake, lake.raw)) == 1
+
+
+def test_a_table_that_lost_its_name_gets_it_back(spark, lake, monkeypatch):
+    """The driver is lost between the two renames that give a table of other columns its name."""
+    write_table(spark.range(3), lake, "raw")
+    sql, name = SparkSession.sql, lake.table("raw")
+
+    def failing(session, text, *rest, **more):
+        if text.endswith(f"__new RENAME TO {name}"):
+            raise SystemExit
+        return sql(session, text, *rest, **more)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(SparkSession, "sql", failing)
+        with pytest.raises(SystemExit):
+            write_table(spark.range(2).select(F.lit("x").alias("other")), lake, "raw")
+    assert not spark.catalog.tableExists(name)
+    assert seen_by(spark, lake, "raw").count() == 3
+    assert write_table(spark.range(2).select(F.lit("x").alias("other")), lake, "raw").columns == ["other"]
+
+
+def test_a_table_can_be_overwritten_by_what_is_read_from_it(spark, lake):
+    write_table(spark.range(5), lake, "raw")
+    assert write_table(spark.table(lake.table("raw")).where("id > 2"), lake, "raw").count() == 2
+    assert write_table(spark.range(0), lake, "raw", partition_by=()).count() == 0
+
+
+def test_no_rows_make_a_table_with_its_partitions(spark, lake):
+    stored = write_table(spark.range(0).withColumn("part", F.lit(1)), lake, "raw", partition_by=("part",))
+    assert stored.count() == 0 and stored.columns == ["id", "part"]
+    assert write_table(spark.range(4).withColumn("part", F.lit(1)), lake, "raw", "overwrite_partitions", ("part",)).count() == 4
+
+
 def test_layers_built_by_several_threads(spark, landed, tmp_path):
     lakes = [Lakehouse(database=f"test_{uuid4().hex}", location=str(tmp_path / str(n))) for n in range(3)]
     def build(lake):

@@ -125,6 +125,8 @@ class Lakehouse:
     gold_trips: str = "gold_yellow_taxi_trips"
     gold_monthly: str = "gold_avg_total_amount_by_month"
     gold_hourly: str = "gold_avg_passenger_count_may_by_hour"
+    gold_parts: str = "gold_sums_by_month_and_hour"
+    loads: str = "landing_loads"
 
     def table(self, layer: str) -> str:
         return f"{self.database}.{getattr(self, layer)}"

@@ -4,6 +4,9 @@ from tripline.operators.gold import (
     avg_passenger_count_by_hour,
     avg_total_amount_by_month,
     mean_by,
+    merged_count_by_month_hour,
+    merged_mean,
+    sums_by_month_and_hour,
     trip_count_by_month_hour,
     trip_facts,
 )
@@ -37,9 +40,12 @@ __all__ = [
     "count_by_source_month",
     "gather_strays",
     "mean_by",
+    "merged_count_by_month_hour",
+    "merged_mean",
     "null_profile",
     "record_count",
     "reject_profile",
+    "sums_by_month_and_hour",
     "trip_count_by_month_hour",
     "trip_facts",
     "violation_profile",

@@ -53,8 +53,9 @@ def gather_strays(
         own = (F.col("source_year") == year) & (F.col("source_month") == month)
         inside = Period.covering([(year, month)])
         outside = (F.col(PICKUP) < inside.first_instant()) | (F.col(PICKUP) >= inside.end_instant())
-        branches.append(clean_trips(raw.where(own).where(outside), period))
+        branches.append(raw.where(own & outside))
         listed = listed | F.coalesce(own, F.lit(False))
-    branches.append(clean_trips(raw.where(~listed), period).where(~at_home))
-    strays = reduce(DataFrame.unionByName, branches).hint("rebalance", "pickup_year", "pickup_month")
-    return clean_trips(raw, period).where(at_home).unionByName(strays)
+    branches.append(raw.where(~listed))
+    # The rules and columns are told once for all branches; the optimizer takes them down to every scan.
+    strays = clean_trips(reduce(DataFrame.unionAll, branches), period).where(~at_home)
+    return clean_trips(raw, period).where(at_home).unionByName(strays.hint("rebalance", "pickup_year", "pickup_month"))

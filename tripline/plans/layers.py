@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -75,8 +76,9 @@ def create_silver(
     error: its months are then hardly those of the period.
     """
     raw = seen_by(build_session(spark), lake, "raw")
-    months = _source_months(raw)
+    months = source_months(raw)
     period = period or (Period.covering(months) if months else Period())
+    forget_sums(spark, lake)
     silver = write_table(gather_strays(raw, period, months), lake, "silver", mode, SILVER_PARTITIONS)
     remember_period(spark, lake, period)
     if silver.isEmpty() and not raw.isEmpty():
@@ -148,34 +150,67 @@ def replace_months(
     outside = [month for month in asked if not period.holds(*month)]
     if outside:
         raise ValueError(f"months {outside} are not in the period from {period.start} to {period.end}")
+    reload_months(spark, landing_base, asked, [], lake, period)
+    return seen_by(spark, lake, "silver")
+
+
+def reload_months(
+    spark: SparkSession,
+    landing_base: str,
+    load: list[tuple[int, int]],
+    vanished: list[tuple[int, int]],
+    lake: Lakehouse,
+    period: Period,
+) -> set[tuple[int, int]]:
+    """Replace and remove source months in raw, and rebuild the pickup months they had or have rows for; returns those."""
     own = build_session(spark)
-    reloaded = reduce(
-        or_, [(F.col("source_year") == y) & (F.col("source_month") == month) for y, month in asked]
+    reached = reduce(
+        or_, [(F.col("source_year") == y) & (F.col("source_month") == month) for y, month in [*load, *vanished]]
     )
-
-    before = _pickup_months(seen_by(own, lake, "silver").where(reloaded))
-    create_raw(spark, landing_base, year, months, OVERWRITE_PARTITIONS, lake)
+    before = pickup_months(seen_by(own, lake, "silver").where(reached))
+    if load:
+        create_raw(spark, landing_base, months=load, mode=OVERWRITE_PARTITIONS, lake=lake)
+    drop_partitions(own, lake, "raw", [dict(zip(RAW_PARTITIONS, month)) for month in vanished])
     raw = seen_by(own, lake, "raw")
-    after = _pickup_months(clean_trips(raw.where(reloaded), period))
+    after = pickup_months(clean_trips(raw.where(reached), period))
     if before | after:
+        forget_sums(own, lake, before | after)
         rebuilt = raw.where(_picked_up_in(before | after))
-        laid_out = gather_strays(rebuilt, period, _source_months(raw))
+        laid_out = gather_strays(rebuilt, period, source_months(raw))
         write_table(laid_out, lake, "silver", OVERWRITE_PARTITIONS, SILVER_PARTITIONS)
     # A month without rows is not overwritten. Only months the new files do not reach can have become empty.
     gone = before - after
     if gone:
-        gone -= _pickup_months(clean_trips(raw.where(_picked_up_in(gone)), period))
-        drop_partitions(spark, lake, "silver", [dict(zip(SILVER_PARTITIONS, key)) for key in sorted(gone)])
-    return seen_by(spark, lake, "silver")
+        gone -= pickup_months(clean_trips(raw.where(_picked_up_in(gone)), period))
+        drop_partitions(own, lake, "silver", [dict(zip(SILVER_PARTITIONS, key)) for key in sorted(gone)])
+    return before | after
 
 
-def _source_months(raw: DataFrame) -> list[tuple[int, int]]:
+def source_months(raw: DataFrame) -> list[tuple[int, int]]:
     """The months whose files are in raw: its partitions, without reading a row of them."""
-    found = raw.select(*RAW_PARTITIONS).distinct().collect()
-    return sorted(tuple(row) for row in found if None not in tuple(row) and 1 <= row[1] <= 12)
+    return [month for month in stored_months(raw, RAW_PARTITIONS) if 1 <= month[1] <= 12]
+
+
+def stored_months(table: DataFrame, names: tuple[str, str]) -> list[tuple[int, int]]:
+    """The partitions of a stored table that have files, by their folders' names; no job is run."""
+    pattern = re.compile("/" + "/".join(rf"{name}=(\d+)" for name in names) + "/")
+    found = map(pattern.search, table.inputFiles())
+    return sorted({tuple(map(int, match.groups())) for match in found if match})
+
+
+def forget_sums(spark: SparkSession, lake: Lakehouse, months: set[tuple[int, int]] | None = None) -> None:
+    """Take out the gold sums of months (all, if None) whose trips are about to change.
+
+    What is cut off in between leaves months without sums, which the next ``refresh_gold`` makes, and never old sums.
+    """
+    if not spark.catalog.tableExists(lake.table("gold_parts")):
+        return
+    if months is None:
+        months = stored_months(seen_by(spark, lake, "gold_parts"), SILVER_PARTITIONS)
+    drop_partitions(spark, lake, "gold_parts", [dict(zip(SILVER_PARTITIONS, month)) for month in sorted(months)])
 
 
-def _pickup_months(silver: DataFrame) -> set[tuple[int, int]]:
+def pickup_months(silver: DataFrame) -> set[tuple[int, int]]:
     """The pickup months in ``silver``: at most as many as the period has."""
     return {tuple(row) for row in silver.select(*SILVER_PARTITIONS).distinct().collect()}
 

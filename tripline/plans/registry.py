@@ -24,10 +24,10 @@ from tripline.contract import (
 )
 from tripline.operators import gold, quality
 from tripline.operators.silver import clean_trips
-from tripline.plans import answers, tables
+from tripline.plans import answers, refresh, tables
 from tripline.plans.layers import create_raw, create_silver, replace_months
 from tripline.plans.standin import ORACLE_TRIPS, Standin, write_landing
-from tripline.sources import fetch, landing
+from tripline.sources import fetch, landing, relay
 from tripline.sources.scratch import new_folder, remove
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,28 +207,32 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_registered("""
+_THREE_RUNS = """
 SELECT CAST(2023 AS INTEGER) AS year, CAST(m AS INTEGER) AS month,
        CASE WHEN count(source_month) > 0 THEN 2 ELSE 0 END::BIGINT AS fetched,
        CASE WHEN count(source_month) > 0 THEN 1 ELSE 0 END::BIGINT AS skipped,
        CASE WHEN count(source_month) > 0 THEN 0 ELSE 3 END::BIGINT AS failed,
        CASE WHEN count(source_month) > 0 THEN 'success' ELSE 'failed' END AS last_status,
        count(source_month) AS record_count
-FROM range(1, 7) AS expected(m) LEFT JOIN raw ON source_month = m GROUP BY m""")
-def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+FROM range(1, 7) AS expected(m) LEFT JOIN raw ON source_month = m GROUP BY m"""
+
+
+def _three_runs(spark: SparkSession, published: str, base: str, land) -> DataFrame:
     """Three runs over January to June, of which June is not published: fetch, run again, overwrite.
 
-    The rows counted at the end are read from the fetched copies.
+    The rows counted at the end are read from the fetched copies. The last run's attempts are added to the manifest
+    twice, as a run does that is repeated after a failure; they count once.
     """
-    published = Standin.of(spark, sf_dir).landing
-    base, history = new_folder(spark, "landing"), new_folder(spark, "manifest")
+    history = new_folder(spark, "manifest")
     # The stand-in's files take the publisher's place, in the layout they are written in.
     files = fetch.landing_files(spark, published, base, 2023, range(1, 7)).withColumn(
         "source_url", F.replace("landing_path", F.lit(base), F.lit(published))
     )
     for overwrite in (False, False, True):
-        fetch.append_manifest(fetch.land_files(files, overwrite), history)
-    manifest = spark.read.parquet(history)
+        attempts = land(files, overwrite)
+        run = fetch.append_manifest(attempts, history)
+    fetch.append_manifest(attempts, history, run)
+    manifest = fetch.read_manifest(spark, history)
     outcome = F.substring_index("status", ":", 1)
     attempts = manifest.groupBy("year", "month").agg(
         F.count_if(outcome == "success").alias("fetched"),
@@ -250,6 +254,18 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(answer, base, history)
 
 
+@_registered(_THREE_RUNS)
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are copied byte by byte."""
+    return _three_runs(spark, Standin.of(spark, sf_dir).landing, new_folder(spark, "landing"), fetch.land_files)
+
+
+@_registered(_THREE_RUNS)
+def landing_manifest_by_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files go through Spark's readers and writers, as into storage that only Spark opens."""
+    return _three_runs(spark, Standin.of(spark, sf_dir).landing, new_folder(spark, "landing"), relay.relay_files)
+
+
 @_registered("""
 SELECT CAST(2023 AS INTEGER) AS year, CAST(m AS INTEGER) AS month
 FROM range(5, 8) AS expected(m) LEFT JOIN raw ON source_month = m GROUP BY m HAVING count(source_month) = 0""")
@@ -383,6 +399,16 @@ def raw_append_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(counts, lake=lake)
 
 
+@_registered("SELECT CAST(source_month AS VARCHAR) AS month, count(*) AS record_count FROM raw GROUP BY source_month")
+def raw_schema_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole-table overwrite with other columns and partitions: nothing of the old table is left."""
+    standin = Standin.of(spark, sf_dir)
+    lake = standin.new_lake()
+    raw = create_raw(spark, standin.landing, lake=lake)
+    counts = raw.groupBy(F.col("source_month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("record_count"))
+    return _finished(tables.write_table(counts, lake, "raw"), lake=lake)
+
+
 _RAW_COLUMNS = [*TRIP_COLUMNS, *RAW_PARTITIONS]
 
 
@@ -479,6 +505,104 @@ def second_year_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(gold.avg_total_amount_by_month(silver), base, again, lake=lake)
 
 
+# What changed since the load
+
+_EDITED_SQL = """
+, edited AS (
+  SELECT * REPLACE (CASE WHEN source_month = 5 THEN abs(total_amount) ELSE total_amount END AS total_amount)
+  FROM raw WHERE source_month <> 4
+), edited_silver AS (
+  SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
+         CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour, total_amount, passenger_count
+  FROM edited
+  WHERE VendorID IS NOT NULL AND passenger_count > 0 AND total_amount >= 0
+    AND tpep_pickup_datetime >= TIMESTAMP '2023-01-01' AND tpep_pickup_datetime < TIMESTAMP '2023-06-01'
+    AND tpep_dropoff_datetime > tpep_pickup_datetime
+)"""
+
+
+def _edited(spark: SparkSession, sf_dir: str, first=(1, 2, 4, 5)) -> tuple[str, Lakehouse]:
+    """A landing area that a lake knows in an earlier state: since then March has come, April has gone, and May is
+    published again with its negative amounts put right. Returns its base and the lake, which has nothing but the loads."""
+    standin = Standin.of(spark, sf_dir)
+    lake, base = standin.new_lake(), new_folder(spark, "landing")
+    write_landing(standin.trips, base, first)
+    refresh.remember_loads(refresh.listed_files(spark, base), lake)
+    return base, lake
+
+
+def _edit(spark: SparkSession, sf_dir: str, base: str) -> None:
+    trips = Standin.of(spark, sf_dir).trips
+    remove(spark, landed_path(base, 2023, 4), landed_path(base, 2023, 5))
+    write_landing(trips.withColumn("total_amount", F.abs("total_amount")), base, [5])
+
+
+@_registered("""
+SELECT CAST(2023 AS INTEGER) AS year, CAST(source_month AS INTEGER) AS month,
+       CASE source_month WHEN 3 THEN 'new' WHEN 4 THEN 'vanished' ELSE 'changed' END AS change,
+       CASE WHEN source_month = 4 THEN 0 ELSE count(*) END AS record_count
+FROM raw WHERE source_month IN (3, 4, 5) GROUP BY source_month""")
+def landing_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that came, went or changed since the last load, and how many rows they have now."""
+    base, lake = _edited(spark, sf_dir)
+    _edit(spark, sf_dir, base)
+    write_landing(Standin.of(spark, sf_dir).trips, base, [3])
+    rows = landing.read_landing(spark, base, months=[1, 2, 3, 5]).groupBy(
+        F.col("source_year").alias("year"), F.col("source_month").alias("month")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    found = refresh.landing_changes(spark, base, lake).join(rows, ["year", "month"], "left")
+    found = found.withColumn("record_count", F.coalesce("rows", F.lit(0).cast("bigint"))).drop("rows")
+    return _finished(found, base, lake=lake)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, Lakehouse]:
+    """A lake of January to May after April has gone and May has changed, brought up to date by what changed alone."""
+    base, lake = _edited(spark, sf_dir, (1, 2, 3, 4, 5))
+    create_raw(spark, base, lake=lake)
+    create_silver(spark, lake=lake)
+    refresh.refresh_gold(spark, lake)
+    _edit(spark, sf_dir, base)
+    refresh.refresh_lake(spark, base, lake)
+    return base, lake
+
+
+@_registered(f"""{_EDITED_SQL}
+SELECT pickup_year, pickup_month, round(avg(total_amount), 2) AS avg_total_amount, count(*) AS trip_count
+FROM edited_silver GROUP BY pickup_year, pickup_month""")
+def refreshed_avg_total_amount_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after a refresh, from sums of which only the touched months were made again."""
+    base, lake = _refreshed(spark, sf_dir)
+    return _finished(spark.table(lake.table("gold_monthly")), base, lake=lake)
+
+
+@_registered(f"""{_EDITED_SQL}
+SELECT pickup_year, pickup_month, pickup_hour, count(*) AS trip_count FROM edited_silver GROUP BY ALL""")
+def refreshed_trip_count_by_month_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, lake = _refreshed(spark, sf_dir)
+    return _finished(gold.merged_count_by_month_hour(spark.table(lake.table("gold_parts"))), base, lake=lake)
+
+
+@_registered("""
+SELECT pickup_hour, round(avg(passenger_count), 2) AS avg_passenger_count, count(*) AS trip_count
+FROM silver WHERE pickup_year = 2023 AND pickup_month = 5 GROUP BY pickup_hour""")
+def gold_hourly_from_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly question from sums by month and hour."""
+    sums = gold.sums_by_month_and_hour(Standin.of(spark, sf_dir).silver())
+    return gold.merged_mean(sums.where("pickup_year = 2023 AND pickup_month = 5"), ["pickup_hour"], "passenger_count")
+
+
+@_registered('SELECT source_year, source_month, count(*) AS "count" FROM raw GROUP BY ALL')
+def raw_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appending what is not loaded yet, again and again: every row is there once."""
+    standin = Standin.of(spark, sf_dir)
+    lake = standin.new_lake()
+    refresh.append_new_files(spark, standin.landing, lake, [1, 2])
+    refresh.append_new_files(spark, standin.landing, lake, [1])
+    refresh.append_new_files(spark, standin.landing, lake)
+    raw = refresh.append_new_files(spark, standin.landing, lake)
+    return _finished(quality.count_by_source_month(raw), lake=lake)
+
+
 # Gold
 
 

@@ -19,6 +19,7 @@ from tripline.contract import (
     landed_path,
 )
 from tripline.plans.layers import create_gold, create_raw, create_silver
+from tripline.sources.filesystem import file_states
 from tripline.sources.local import side_by_side
 from tripline.sources.scratch import new_folder
 
@@ -98,9 +99,7 @@ class Standin:
     def of(cls, spark: SparkSession, sf_dir: str) -> Standin:
         """One stand-in per application and state of the events' files, so that its layers are written once."""
         folder = sf_dir.rstrip("/")
-        files = spark.read.format("binaryFile").load(f"{folder}/events.parquet")
-        state = files.select("path", "length", "modificationTime").sort("path").collect()
-        key = (spark.sparkContext.applicationId, folder, *map(tuple, state))
+        key = (spark.sparkContext.applicationId, folder, *file_states(spark, f"{folder}/events.parquet"))
         if key not in cls._known:
             cls._known[key] = cls(spark, folder)
         return cls._known[key]

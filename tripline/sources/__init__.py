@@ -7,6 +7,7 @@ from tripline.sources.fetch import (
     land_files,
     landing_files,
     manifest_latest,
+    read_manifest,
 )
 from tripline.sources.landing import (
     landed_parts,
@@ -18,6 +19,7 @@ from tripline.sources.landing import (
     read_month,
     schema_drift,
 )
+from tripline.sources.relay import relay_files
 
 __all__ = [
     "append_manifest",
@@ -32,6 +34,8 @@ __all__ = [
     "missing_landing_columns",
     "missing_months",
     "read_landing",
+    "read_manifest",
     "read_month",
+    "relay_files",
     "schema_drift",
 ]

@@ -150,10 +150,22 @@ def _copy_tasks(ranges: DataFrame, range_bytes: int) -> int:
     return max(1, min(rows, max(at_least, -(-size // range_bytes))))
 
 
-def append_manifest(manifest: DataFrame, path: str) -> None:
-    """Add the attempts of one run to the history at ``path``."""
+def append_manifest(manifest: DataFrame, path: str, run: str | None = None) -> str:
+    """Add the attempts of one run to the history at ``path``, and return the run's name.
+
+    A run's attempts are a folder of their own: adding them again under the same ``run``, as after a failure, replaces
+    them, so the history has one row for each attempt at a file.
+    """
+    run = run or uuid4().hex
     columns = [F.col(name).cast(kind).alias(name) for name, kind in MANIFEST_TYPES.items()]
-    manifest.select(*columns).coalesce(1).write.mode("append").parquet(path)
+    manifest.select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
+    return run
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """All attempts in the history, with their ``run``."""
+    types = ", ".join(f"{name} {kind.simpleString()}" for name, kind in MANIFEST_TYPES.items())
+    return spark.read.schema(f"{types}, run string").parquet(path)
 
 
 def ingest_landing(
@@ -165,10 +177,22 @@ def ingest_landing(
     overwrite: bool = False,
     manifest_path: str | None = None,
     mount: tuple[str, str] = ("file:", ""),
+    by: str = "bytes",
 ) -> DataFrame:
-    """Fetch the months into the landing area, add the attempts to the manifest, and return them."""
+    """Fetch the months into the landing area, add the attempts to the manifest, and return them.
+
+    ``by="bytes"`` copies files as they are, into a landing area that tasks can write to as a file system.
+    ``by="rows"`` goes through Spark's readers and writers, into any storage that Spark writes (``relay_files``).
+    """
+    if by not in ("bytes", "rows"):
+        raise ValueError(f"by must be 'bytes' or 'rows', not {by!r}")
     files = landing_files(spark, published_base, landing_base, year, months)
-    manifest = land_files(files, overwrite, mount)
+    if by == "rows":
+        from tripline.sources.relay import relay_files
+
+        manifest = relay_files(files, overwrite)
+    else:
+        manifest = land_files(files, overwrite, mount)
     if manifest_path is not None:
         append_manifest(manifest, manifest_path)
     return manifest

@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 import pyarrow.parquet as pq
 
 _COLUMNS = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
@@ -16,24 +17,29 @@ _UNSIGNED = {"uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64":
 
 
 def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the columns of each file; NULL where this process cannot open it, as on storage that only Spark reads."""
+    """Adds the columns of each file, or what kept this process from opening it, as on storage that only Spark reads."""
     for batch in batches:
-        columns = [_columns(path) for path in batch.column("path").to_pylist()]
+        found = [columns_of(path) for path in batch.column("path").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in ("path", "year", "month")), pa.array(columns, _COLUMNS)],
-            ["path", "year", "month", "columns"],
+            [
+                *(batch.column(name) for name in ("path", "year", "month")),
+                pa.array([columns for columns, _ in found], _COLUMNS),
+                pa.array([error for _, error in found], pa.string()),
+            ],
+            ["path", "year", "month", "columns", "error"],
         )
 
 
-def _columns(path: str) -> list[dict[str, str]] | None:
+def columns_of(path: str) -> tuple[list[dict[str, str]] | None, str | None]:
+    """The columns of a file as this process can open it, else None and the reason."""
     try:
         if re.match("file:|/", path):
-            return types_of(pq.ParquetFile("/" + path.removeprefix("file:").lstrip("/")))
+            return types_of(pq.ParquetFile("/" + path.removeprefix("file:").lstrip("/"))), None
         filesystem, name = pa.fs.FileSystem.from_uri(path)
         with filesystem.open_input_file(name) as file:
-            return types_of(pq.ParquetFile(file))
-    except Exception:  # Spark reads the footer instead, and raises what is wrong with it
-        return None
+            return types_of(pq.ParquetFile(file)), None
+    except Exception as error:  # the driver opens it through Spark instead, and raises if that fails too
+        return None, f"{type(error).__name__}: {error}"
 
 
 def types_of(file: pq.ParquetFile) -> list[dict[str, str]]:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripline.contract import (
@@ -18,39 +23,120 @@ from tripline.contract import (
 )
 from tripline.functions import typed
 from tripline.sources import footers
+from tripline.sources.filesystem import DriverFile
 from tripline.sources.local import local_table, side_by_side
 
 # Executors get the functions themselves, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(footers)
 
 
+# Footers that the driver reads itself; those of more files are read in tasks.
+FEW = 256
+
+_MONTH = re.compile(r"/year=(\d+)/month=(\d+)/")
+
+
 def landed_parts(spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS) -> DataFrame:
     """Every file of the months: ``path``, ``year``, ``month``. A month is one file or a folder of parts; one without
     raises."""
-    paths = [landed_path(base, *month) for month in year_months(year, months)]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    return files.select("path", _folder("year"), _folder("month"))
+    return _files(spark, base, year_months(year, months)).select("path", _folder("year"), _folder("month"))
+
+
+def _files(spark: SparkSession, base: str, asked: list[tuple[int, int]]) -> DataFrame:
+    paths = [landed_path(base, *month) for month in asked]
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+
+
+def _listed(spark: SparkSession, base: str, asked: list[tuple[int, int]]) -> list[str]:
+    """The paths that Spark has listed, written as its readers write them."""
+    return [re.sub("^file:///", "file:/", unquote(path)) for path in _files(spark, base, asked).inputFiles()]
 
 
 def landing_types(
     spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
 ) -> DataFrame:
-    """One row per file and column, with the column's physical type, read from every file's footer in tasks."""
-    parts = landed_parts(spark, base, year, months)
-    found = parts.mapInArrow(footers.read, "path string, year int, month int, columns array<struct<name string, type string>>")
-    unread = found.where("columns IS NULL").collect()
-    if unread:  # on storage that only Spark reads
-        def schema_of(row):
-            fields = spark.read.parquet(row.path).schema
-            return row.path, row.year, row.month, [(field.name, field.dataType.simpleString()) for field in fields]
-
-        rows = side_by_side(spark, schema_of, unread)
-        found = found.where("columns IS NOT NULL").union(spark.createDataFrame(rows, found.schema))
-    return found.select(
+    """One row per file and column, with the column's physical type, read from every file's footer.
+
+    The footers of many files are read in tasks. Those that tasks cannot open, because only Spark reads their storage,
+    are read by the driver through Spark's file system layer: a few kilobytes each, many at a time, without a job.
+    """
+    return _part_types(spark, base, year_months(year, months)).select(
         F.col("year").alias("source_year"), F.col("month").alias("source_month"), "path", F.inline_outer("columns")
     ).withColumnsRenamed({"name": "column_name", "type": "data_type"})
 
 
+def _part_types(spark: SparkSession, base: str, asked: list[tuple[int, int]]) -> DataFrame:
+    """One row per file: ``path``, ``year``, ``month``, ``columns``."""
+    listed = _listed(spark, base, asked)
+    if len(listed) <= FEW:
+        return _as_table(spark, part_columns(spark, listed))
+    found = landed_parts(spark, base, months=asked).mapInArrow(footers.read, f"{_PART}, error string")
+    unread = [row.path for row in found.where("columns IS NULL").select("path").collect()]
+    read = found.where("columns IS NOT NULL").drop("error")
+    return read.union(_as_table(spark, _through_spark(spark, unread))) if unread else read
+
+
+_PART = "path string, year int, month int, columns array<struct<name string, type string>>"
+
+
+def part_columns(spark: SparkSession, paths: list[str]) -> dict[str, list[dict[str, str]]]:
+    """The columns of a few files by path, read by the driver."""
+    found = dict(zip(paths, side_by_side(spark, lambda path: footers.columns_of(path)[0], paths)))
+    return found | _through_spark(spark, [path for path, columns in found.items() if columns is None])
+
+
+def _through_spark(spark: SparkSession, paths: list[str]) -> dict[str, list[dict[str, str]]]:
+    def columns(path: str) -> list[dict[str, str]]:
+        with DriverFile(spark, path) as file:
+            return footers.types_of(pq.ParquetFile(pa.PythonFile(file, mode="r")))
+
+    return dict(zip(paths, side_by_side(spark, columns, paths)))
+
+
+def _as_table(spark: SparkSession, found: dict[str, list[dict[str, str]]]) -> DataFrame:
+    rows = [(path, *map(int, _MONTH.search(path).groups()), columns) for path, columns in found.items()]
+    return local_table(spark, _PART, rows)
+
+
+def _required(columns: list[dict[str, str]]) -> tuple:
+    """Names in lower case and types of the required columns that a file has."""
+    wanted = set(map(str.lower, TRIP_COLUMNS))
+    return tuple(sorted((c["name"].lower(), c["type"]) for c in columns if c["name"].lower() in wanted))
+
+
+def _type_sets(spark: SparkSession, base: str, asked: list[tuple[int, int]]) -> dict[tuple, list[str]]:
+    """What to read by set of types of the required columns: a month whose files agree as a whole, else its files.
+
+    What comes to the driver of many files is a row per month and set of types, and the paths where a month disagrees.
+    """
+    listed = _listed(spark, base, asked)
+    months: dict[tuple[int, int], dict[tuple, list[str]]] = {}
+
+    def note(found: dict[str, list[dict[str, str]]]) -> None:
+        for path, columns in found.items():
+            own = months.setdefault(tuple(map(int, _MONTH.search(path).groups())), {})
+            own.setdefault(_required(columns), []).append(path)
+
+    if len(listed) <= FEW:
+        note(part_columns(spark, listed))
+    else:
+        parts = landed_parts(spark, base, months=asked).mapInArrow(footers.read, f"{_PART}, error string")
+        sets = parts.groupBy("year", "month", "columns").agg(F.collect_list("path").alias("paths"), F.first("error").alias("error"))
+        alone = F.count(F.lit(1)).over(W.partitionBy("year", "month")) == 1
+        unread = F.col("columns").isNull()
+        for row in sets.withColumn("paths", F.when(unread | ~alone, F.col("paths"))).collect():
+            if row.columns is None:
+                note(_through_spark(spark, row.paths))
+            else:
+                own = months.setdefault((row.year, row.month), {})
+                own.setdefault(_required([c.asDict() for c in row.columns]), []).extend(row.paths or [])
+    found: dict[tuple, list[str]] = {}
+    for month, sets in months.items():
+        for types, paths in sets.items():
+            found.setdefault(types, []).extend([landed_path(base, *month)] if len(sets) == 1 else paths)
+    return found
+
+
 def read_landing(
     spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
 ) -> DataFrame:
@@ -62,35 +148,28 @@ def read_landing(
     required column raises, and is named.
     """
     asked = year_months(year, months)
-    name = F.lower("column_name")
-    field = F.when(name.isin(*map(str.lower, TRIP_COLUMNS)), F.struct(name.alias("name"), "data_type"))
-    parts = landing_types(spark, base, year, months).groupBy("path").agg(F.sort_array(F.collect_set(field)).alias("types"))
-    groups = parts.groupBy("types").agg(F.collect_list("path").alias("paths")).collect()
-
-    def scan(types: dict[str, str], paths: list[str]) -> DataFrame:
-        missing = [name for name in TRIP_COLUMNS if name.lower() not in types]
-        if missing:
-            raise ValueError(f"missing required columns {missing} in {', '.join(sorted(paths)[:10])}")
-        columns = [f"`{name}` {types[name.lower()]}" for name in TRIP_COLUMNS]
-        files = (
-            spark.read.option("basePath", base).schema(", ".join([*columns, "year int", "month int"])).parquet(*paths)
-        )
-        # One constant per month: formatting the path for each row would take longer than reading the row.
-        of_month = [
-            F.when((F.col("year") == y) & (F.col("month") == m), landed_path(base, y, m)) for y, m in asked
-        ]
-        return files.select(
-            *typed(TRIP_TYPES),
-            F.col("year").alias("source_year"),
-            F.col("month").alias("source_month"),
-            F.coalesce(*of_month).alias("source_file"),
-            F.current_timestamp().alias("raw_loaded_at"),
-        )
-
-    scans = [scan({row.name: row.data_type for row in group.types}, group.paths) for group in groups]
+    scans = [_scan(spark, base, asked, dict(types), paths) for types, paths in _type_sets(spark, base, asked).items()]
     return reduce(DataFrame.unionByName, scans)
 
 
+def _scan(spark: SparkSession, base: str, asked: list[tuple[int, int]], types: dict[str, str], paths: list[str]) -> DataFrame:
+    """Files of one set of types, in the contract's types."""
+    missing = [name for name in TRIP_COLUMNS if name.lower() not in types]
+    if missing:
+        raise ValueError(f"missing required columns {missing} in {', '.join(sorted(paths)[:10])}")
+    columns = [f"`{name}` {types[name.lower()]}" for name in TRIP_COLUMNS]
+    files = spark.read.option("basePath", base).schema(", ".join([*columns, "year int", "month int"])).parquet(*paths)
+    # One constant per month: formatting the path for each row would take longer than reading the row.
+    of_month = [F.when((F.col("year") == y) & (F.col("month") == m), landed_path(base, y, m)) for y, m in asked]
+    return files.select(
+        *typed(TRIP_TYPES),
+        F.col("year").alias("source_year"),
+        F.col("month").alias("source_month"),
+        F.coalesce(*of_month).alias("source_file"),
+        F.current_timestamp().alias("raw_loaded_at"),
+    )
+
+
 def read_month(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
     """One monthly file in the contract's types, with its lineage."""
     return read_landing(spark, base, year, [month])

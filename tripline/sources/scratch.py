@@ -8,6 +8,8 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+from tripline.sources.filesystem import delete
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -33,7 +35,5 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete folders that a query has made and that nothing reads any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for path in paths:
-        where = hadoop.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete(spark, path)
