@@ -1,16 +1,19 @@
 from __future__ import annotations
 
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.texts import awkward, clashing, documents
+from tests.llm.texts import SCHEMA, awkward, clashing, documents
 from tripline.llm import queries
 from tripline.llm.flat import flattened
-from tripline.llm.language import BINS, _counted, identify, learn
+from tripline.llm.language import _counted, identify, learn
 from tripline.llm.sampling import by_label
 
 
@@ -74,8 +77,8 @@ def test_families_of_three(spark):
 
 
 def test_histogram_counts_runs_inside_texts():
-    shares = _counted(flattened(pa.array(["ab", "", "b", "abc"])))
-    assert np.allclose(shares.sum(axis=1), [1, 0, 1, 1]) and shares.shape[1] == BINS
+    shares = _counted(flattened(pa.array(["ab", "", "b", "abc"])), 8192)
+    assert np.allclose(shares.sum(axis=1), [1, 0, 1, 1]) and shares.shape[1] == 8192
     assert (shares[0] > 0).sum() == 3 and (shares[3] > 0).sum() == 6
 
 
@@ -94,3 +97,65 @@ def test_sample_is_bounded_for_a_shared_id(spark):
         assert 800 < n < 1200
     same = spark.range(4000).select(F.lit(1).alias("doc_id"), F.lit("t").alias("text"), F.lit("x").alias("lang"))
     assert by_label(same, "lang", 1000).count() == 1
+
+
+def close_pair(seed: int, n: int) -> list:
+    """Two made languages of one family, alike but for a fifth of their words, which differ in a letter or two."""
+    draw = random.Random(seed)
+    stems = ["".join(draw.choice("bdfgklmnprstv") + draw.choice("aeiouy") for _ in range(3)) for _ in range(300)]
+    other = [stem[:-1] + {"a": "e", "e": "æ", "i": "j", "o": "ø", "u": "å", "y": "ij"}[stem[-1]] if k % 5 == 0 else stem for k, stem in enumerate(stems)]
+    return [(" ".join(draw.choice(words) for _ in range(draw.randrange(25, 60))), lang) for lang, words in (("da", stems), ("no", other)) for _ in range(n)]
+
+
+def test_a_close_pair(spark):
+    rows = close_pair(5, 300)
+    docs = spark.createDataFrame([(k, text, lang, None, 0) for k, (text, lang) in enumerate(rows)], SCHEMA)
+    taught = F.col("doc_id") % 3 != 0
+    accuracy = {}
+    for bins in (64, 8192):
+        machines = learn(docs.where(taught), bins=bins)
+        assert machines.weights.shape == (bins, 1) and machines.families == ["germanic"]
+        found = {r.doc_id: r.lang_pred for r in identify(docs.where(~taught), machines).collect()}
+        accuracy[bins] = sum(lang == rows[k][1] for k, lang in found.items()) / len(found)
+    assert accuracy[8192] >= 0.95 and accuracy[8192] >= accuracy[64]
+    with pytest.raises(ValueError, match="power of two"):
+        learn(docs, bins=1000)
+
+
+def plain_decision(text: str, machines) -> tuple[str, float]:
+    """The decision in loops: counts of runs in a dictionary, one margin a machine, votes inside the winning family."""
+    data = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in text.lower().encode())
+    counts = Counter()
+    for size in (1, 2, 3):
+        for k in range(len(data) - size + 1):
+            x = (int.from_bytes(data[k : k + size], "big") + (size << 32)) % 2**64
+            x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % 2**64
+            x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) % 2**64
+            counts[(x ^ (x >> 31)) >> (65 - machines.bins.bit_length())] += 1
+    total = sum(counts.values())
+
+    def winner(where: int, names: list) -> tuple[int, float]:
+        votes, least = [0.0] * len(names), [math.inf] * len(names)
+        for k, (place, a, b) in enumerate(machines.pairs):
+            if place == where:
+                margin = sum(n / total * machines.weights[bin_, k] for bin_, n in counts.items()) + machines.bias[k]
+                votes[a if margin > 0 else b] += 1
+                votes[a] += 1e-3 * math.tanh(margin)
+                votes[b] -= 1e-3 * math.tanh(margin)
+                least[a], least[b] = min(least[a], margin), min(least[b], -margin)
+        best = max(range(len(names)), key=votes.__getitem__)
+        return best, 1 / (1 + math.exp(-3 * min(max(least[best], 0), 50)))
+
+    family, clear = winner(-1, machines.families)
+    language, sure = winner(family, machines.members[family])
+    return machines.members[family][language], clear * sure
+
+
+def test_plain_votes_of_the_same_machines(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    machines = learn(docs)
+    found = identify(docs, machines).join(docs.select("doc_id", "text"), "doc_id").where("lang_pred <> 'und'").collect()
+    assert len(found) > 150
+    for row in found:
+        lang, score = plain_decision(row.text, machines)
+        assert row.lang_pred == lang and row.score == pytest.approx(score, abs=1e-4)
