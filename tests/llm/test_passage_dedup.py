@@ -109,9 +109,32 @@ def test_codes_of_copies_are_told_once():
             "counts": [np.array([c], np.int32).tobytes() for c in counts],
             "names": [np.array(n, kind).tobytes() for n in names],
             "seen": [np.ones(c, np.uint8).tobytes() for c in counts],
+            "large": [b""] * rows,
         }), 100_000)
 
     out = told(3, [7] * 50 + [8], [2] * 50 + [1], [[5, 6]] * 50 + [[5]], np.uint32)
     assert out.column("hash").to_pylist() == [7, 8] and [len(x) for x in out.column("names").to_pylist()] == [8, 8]
     out = told(-1, [7] * 50, [0] * 50, [[5, 6]] * 49 + [[6, 9]], np.uint64)
     assert [list(x) for x in joined_codes(pa.array([out.column("names").to_pylist()]))] == [[5, 6, 9]]
+
+
+def test_crowded_names_are_counted_in_full():
+    """A block counts the texts of a name to 254 in a byte, and beyond that in a number of its own."""
+    import pyarrow as pa
+
+    from tripline.llm.repeats import _answered
+
+    def many(counts: list[int], crowd: int) -> list:
+        out = _answered(pa.table({
+            "bucket": pa.array([0] * len(counts), pa.int32()),
+            "hashes": [np.array([k], np.int64).tobytes() for k in range(len(counts))],
+            "counts": [np.array([2], np.int32).tobytes() for _ in counts],
+            "names": [np.array([5, 6], np.uint32).tobytes() for _ in counts],
+            "seen": [np.array([min(n, 255), 1], np.uint8).tobytes() for n in counts],
+            "large": [np.array([n] if n >= 255 else [], np.int32).tobytes() for n in counts],
+        }), crowd)
+        return [np.frombuffer(row["names"], np.uint64).tolist() for row in out.to_pylist() if row["hash"] is None]
+
+    assert many([60_000, 254, 40_000], 100_254) == [[5]]
+    assert many([60_000, 254, 40_000], 100_255) == []
+    assert many([255, 255], 510) == [[5]]

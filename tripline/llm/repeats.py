@@ -31,14 +31,14 @@ from tripline.llm.store import stored
 BLOCK_BYTES = 24 << 20
 BUCKET_BYTES = 64 << 20
 
-# Texts that share a name from which on it is crowded, as blocks count them (to 255 each), and how many such names there
-# may be: beyond that the number of texts grows instead.
+# Texts that share a name from which on it is crowded, and how many such names there may be: beyond that the number of
+# texts grows instead. Crowded names are only grouped otherwise; what is found is the same.
 CROWD = 100_000
 CROWDED_NAMES = 1_000_000
 
 LAST = 2**63 - 1
 
-_ENTRIES = "bucket int, hashes binary, counts binary, names binary, seen binary"
+_ENTRIES = "bucket int, hashes binary, counts binary, names binary, seen binary, large binary"
 _ANSWERS = "hash long, names binary"
 _U8, _I32, _U32, _I64, _U64 = np.dtype("u1"), np.dtype("<i4"), np.dtype("<u4"), np.dtype("<i8"), np.dtype("<u8")
 
@@ -193,7 +193,7 @@ def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
         columns |= binary_rows({"hashes": hashes[who]}, np.arange(len(who) + 1))
         columns["bucket"] = pa.array((-1 - (hashes[who].view(np.uint64) % np.uint64(buckets)).astype(np.int64)).astype(_I32))
         empty = pa.array([b""] * len(who), pa.binary())
-        yield _batch(columns | {"counts": empty, "seen": empty}, _ENTRY_COLUMNS)
+        yield _batch(columns | {"counts": empty, "seen": empty, "large": empty}, _ENTRY_COLUMNS)
     # One entry a name, in the order of buckets and then of texts.
     codes, texts = codes[starts], texts[starts]
     bucket = (codes >> np.uint64(32)).astype(np.int64)
@@ -209,10 +209,12 @@ def _sent(block: Block, buckets: int) -> Iterator[pa.RecordBatch]:
     who = texts[runs]
     columns = binary_rows({"names": (codes & np.uint64(0xFFFFFFFF)).astype(_U32), "seen": np.minimum(sizes, 255).astype(_U8)}, cuts)
     columns |= binary_rows({"hashes": hashes[who], "counts": counts.astype(_I32)}, run_cuts)
+    large = np.flatnonzero(sizes >= 255)  # a byte does not hold these; they follow by themselves
+    columns |= binary_rows({"large": sizes[large].astype(_I32)}, np.searchsorted(large, cuts))
     yield _batch(columns | {"bucket": pa.array(some.astype(_I32))}, _ENTRY_COLUMNS)
 
 
-_ENTRY_COLUMNS = ["bucket", "hashes", "counts", "names", "seen"]
+_ENTRY_COLUMNS = ["bucket", "hashes", "counts", "names", "seen", "large"]
 
 
 def _batch(columns: dict[str, pa.Array], names: list[str]) -> pa.RecordBatch:
@@ -237,7 +239,8 @@ def _answered(table: pa.Table, crowd: int) -> pa.Table:
         lists = table.column("names").to_pylist()
         return _told(np.repeat(hashes, [len(x) // 8 for x in lists]), np.frombuffer(b"".join(lists), _U64))
     counts, names = joined(table, "counts", _I32), joined(table, "names", _U32)
-    seen = joined(table, "seen", _U8)
+    seen = joined(table, "seen", _U8).astype(_I32)
+    seen[seen == 255] = joined(table, "large", _I32)
     document = np.repeat(np.arange(len(hashes)), counts)
     order = np.argsort(names, kind="stable")
     first = np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1]))

@@ -214,10 +214,10 @@ def _cut_out(length: int, buckets: int, crowd: np.ndarray):
                 size += len(flat.data)
                 rows += piece.num_rows
                 if size >= BLOCK_BYTES:
-                    yield from _sent(gathered, length)
+                    yield from _sent(gathered, length, buckets)
                     gathered, size, rows = [], 0, 0
         if rows:
-            yield from _sent(gathered, length)
+            yield from _sent(gathered, length, buckets)
 
     return cut
 
@@ -232,7 +232,7 @@ def _listed(codes: np.ndarray, texts: np.ndarray, lists: list[np.ndarray]) -> np
     return kept
 
 
-def _sent(gathered: list[dict[str, np.ndarray]], length: int) -> Iterator[pa.RecordBatch]:
+def _sent(gathered: list[dict[str, np.ndarray]], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Contexts for each bucket. Of equal ones that of the smallest document goes out; the others are decided here."""
     parts = {key: np.concatenate([part[key] for part in gathered]) for key in gathered[0]}
     codes, names, texts, orders = parts["codes"], parts["names"], parts["texts"], parts["orders"]
@@ -266,7 +266,7 @@ def _sent(gathered: list[dict[str, np.ndarray]], length: int) -> Iterator[pa.Rec
         who = texts[decided][cuts]
         columns = binary_rows({"starts": runs}, np.append(cuts, len(decided)) * 2)
         columns |= binary_rows({"orders": orders[who], "hashes": parts["hashes"][who]}, np.arange(len(who) + 1))
-        bucket = -1 - (parts["hashes"][who].view(np.uint64) % np.uint64(1024)).astype(np.int64)
+        bucket = -1 - (parts["hashes"][who].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         empty = pa.array([b""] * len(who), pa.binary())
         columns |= {"bucket": pa.array(bucket.astype(_I32)), "counts": empty, "codes": empty, "lengths": empty, "bytes": empty}
         yield pa.RecordBatch.from_arrays([columns[name] for name in _CONTEXT_COLUMNS], _CONTEXT_COLUMNS)
