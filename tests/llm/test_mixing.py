@@ -14,9 +14,16 @@ from tripline.llm.mixing import mixed, mixture
 
 def brute_force(rows: list, weights=(1, 2, 3), epochs=3) -> list:
     """Water-filling as it is told: share, clamp, share what was left again."""
-    rows = [(doc_id, source, len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))) for doc_id, text, source in rows]
+    def draw(doc_id, text) -> str:
+        parts = ["mix", *([str(doc_id)] if doc_id is not None else [])]
+        parts += [hashlib.md5(text.encode()).hexdigest()] if text is not None else []
+        return hashlib.md5(":".join(parts).encode()).hexdigest()
+
+    rows = [
+        (doc_id, source, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")), draw(doc_id, text)) for doc_id, text, source in rows
+    ]
     sizes = Counter()
-    for _, source, size in rows:
+    for _, source, size, _ in rows:
         sizes[source] += size
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
     weight = {name: weights[k % len(weights)] for k, name in enumerate(names)}
@@ -36,7 +43,7 @@ def brute_force(rows: list, weights=(1, 2, 3), epochs=3) -> list:
     out = []
     for name in names:
         own = sorted(
-            ((hashlib.md5(f"mix:{i}".encode() if i is not None else b"mix").hexdigest(), i is None, i or 0, size, i) for i, s, size in rows if s == name)
+            (key, i is None, i or 0, size, i) for i, s, size, key in rows if s == name
         )
         whole = int(target[name] // sizes[name]) if sizes[name] else epochs
         rest, before = target[name] - whole * sizes[name], 0
@@ -90,6 +97,16 @@ def test_repeated_documents(spark, sf_dir):
     assert out.join(docs.select("doc_id", F.col("text").alias("same")), "doc_id").where("text <> same").count() == 0
 
 
+def test_rows_without_doc_id_are_spread(spark):
+    """Documents that share a doc_id, or have none, lie in bins of their own, not in one that a task would have to order."""
+    docs = documents(spark, [(None, " ".join(prose(k, 20))) for k in range(400)])
+    check(docs)
+    from tripline.llm import mixing
+
+    drawn = docs.select(F.substring(F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string"), F.md5("text"))), 1, mixing._DIGITS).alias("bin"))
+    assert drawn.distinct().count() > 350
+
+
 def test_only_native_operators(spark, sf_dir):
     plan = mixture(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|MapPartitions|SerializeFromObject", plan)

@@ -6,11 +6,14 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from tests.llm import test_decontamination, test_mixing, test_near_duplicates
+from tests.llm import test_decontamination, test_language, test_mixing, test_near_duplicates
 from tests.llm.texts import awkward, clashing, documents
+from tripline.llm import language
+from tripline.llm.sampling import remainder
 
 
 def plain(docs) -> list:
@@ -24,9 +27,15 @@ def check(spark, docs, sf_dir) -> list:
     assert list(stages) == ["language_id", "near_dedup", "decontaminate", "mix_sources", "tokenize"]
 
     before = plain(docs)
+    machines = language.learn(docs.where(remainder(F.col("doc_id"), 4) != 2))
     docs = stages["language_id"](spark, docs, sf_dir).cache()
     assert docs.columns == columns
-    named = {i for i, text, _ in before if i is not None and any(c.isalpha() for c in text or "")}
+
+    def in_a_language(text) -> bool:
+        letters = any(c.isalpha() for c in text or "")
+        return letters and (not machines.families or test_language.plain_decision(text, machines)[1] >= pipeline.MIN_SCORE)
+
+    named = {i for i, text, _ in before if i is not None and in_a_language(text)}
     assert Counter(plain(docs)) == Counter(row for row in before if row[0] in named)
 
     before = plain(docs)
@@ -98,3 +107,26 @@ def test_table_without_languages(spark, sf_dir):
     docs = documents(spark, ["some words", "12 - 34", "", None, "слово", (None, "no id")], lang=None)
     stage = dict(pipeline.STAGES)["language_id"]
     assert sorted(r.doc_id for r in stage(spark, docs, sf_dir).collect()) == [0, 4]
+
+
+def test_rows_without_doc_id_go_alike_in_each_stage(spark, sf_dir):
+    """What no later stage could name goes, also from a stage that is run by itself; rows of one doc_id stay together."""
+    window = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    rows = [(1, "one two three four five six"), (None, "seven eight nine ten eleven twelve"), (None, window), (2, window), (None, None)]
+    docs = documents(spark, rows)
+    stages = dict(pipeline.STAGES)
+    assert {r.doc_id for r in stages["language_id"](spark, docs, sf_dir).collect()} == {1, 2}
+    assert {r.doc_id for r in stages["near_dedup"](spark, docs, sf_dir).collect()} == {1, 2}
+    assert {r.doc_id for r in stages["decontaminate"](spark, docs, sf_dir).collect()} == {1}
+
+
+def test_texts_that_mix_languages_go(spark, sf_dir):
+    """The score decides: of texts cut together from four languages some go, and whole ones stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("n_chars BETWEEN 300 AND 3000")
+    by = {lang: [r.text for r in docs.where(F.col("lang") == lang).sort("doc_id").limit(60).collect()] for lang in ("en", "de", "fr", "es")}
+    mixed_up = [" ".join(w for texts in by.values() for w in texts[k].split()[: 12 + k % 5]) for k in range(60)]
+    extra = documents(spark, mixed_up, first=10**6, lang=None).select("doc_id", "text", "lang", "source", "n_chars")
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").union(extra)
+    kept = {r.doc_id for r in pipeline.language_id(spark, both, sf_dir).collect()}
+    assert len([k for k in range(60) if 10**6 + k not in kept]) >= 1
+    assert len([i for i in kept if i < 10**6]) >= 0.995 * docs.count()

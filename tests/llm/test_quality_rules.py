@@ -102,3 +102,23 @@ def test_sentences_of_other_scripts(spark):
     assert [r.kept for r in out] == [True] * 10 + [False] * 8
     mixed = quality(documents(spark, ["plain words without an end ก", "กขค plain"])).collect()
     assert [r.n_failed_lines for r in sorted(mixed)] == [1, 1]
+
+
+def test_sql_states_the_same_rule_in_every_script(spark):
+    """Sentence ends beyond Latin script, closing marks behind them, and the scripts that are written without any."""
+    import duckdb
+
+    from tripline.llm import queries
+
+    words = [f"слово{k}" for k in range(60)]
+    texts = [" ".join(words) + end for end in ["", *".!?…。！？．｡।॥۔؟։።፧፨။។៕།༎᠃᠉", "\u037e", ".»", "؟)”", "। x", "।x", "،", "؛"]]
+    thai, lao = [f"ภาษาไทย{k}" for k in range(60)], [f"ພາສາລາວ{k}" for k in range(60)]
+    texts += [" ".join(thai), " ".join(lao), " ".join(thai[:5] + words[:55]), " ".join(x + y for x, y in zip(thai, words))]
+    texts += [" ".join(thai) + "\n" + " ".join(words), " ".join(thai) + " #" * 50, *(x for x in awkward() if isinstance(x, str))]
+    docs = documents(spark, texts)
+    query = quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    connection = duckdb.connect()
+    connection.register("documents", docs.select("doc_id", "text").toArrow())
+    wanted = connection.execute(queries.oracle_sql()["op7_quality_rules"]).fetchall()
+    assert sorted(map(tuple, query.collect())) == sorted(wanted)
+    assert 10 < sum(row[-1] for row in wanted) < len(wanted) - 5

@@ -24,8 +24,9 @@ def mixture(
     ``epochs`` times its words stops there; what it leaves goes to the others by weight, until none is above.
 
     A source takes each document the whole number of times that its target holds its words, and once more the
-    documents first in a seeded order until the rest is reached, to half a document. The order is the hash of seed and
-    doc_id, so reruns agree; rows of equal doc_id follow each other by size.
+    documents first in a seeded order until the rest is reached, to half a document. The order is the hash of seed,
+    doc_id and text, so reruns agree and rows that share a doc_id, or have none, are spread over the order; rows alike in
+    both follow each other.
     Documents without words come the whole number of times. Shares are compared as whole numbers, so
     that no rounding decides. An empty table gives no rows, a table without words takes nothing; NULL doc_ids have a
     place in the order like others; other columns are not read, or with ``keep`` stay together in a column ``row``.
@@ -35,7 +36,7 @@ def mixture(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("draw"),
+        F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.md5("text"))).alias("draw"),
         *kept,
     )
     rows = stored(rows.withColumn("bin", F.substring("draw", 1, _DIGITS)), "sized")

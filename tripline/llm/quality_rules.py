@@ -80,10 +80,10 @@ def _table(characters: str) -> np.ndarray:
 
 _SYMBOLS, _MARKS, _BARS = _table("#*$%&|<>"), _table("#*$%&|<>!"), _table("|>")
 # What ends a sentence, and what may stand between that and the end of the word.
-_ENDS = [".", "!", "?"]
+SENTENCE_ENDS = [".", "!", "?"]
 # Beyond ASCII: CJK with its wide and half-wide forms, danda, Urdu and Arabic, Armenian, Greek, Ethiopic, Burmese,
 # Khmer, Tibetan and Mongolian.
-_WIDE_ENDS = [*"…。！？．｡", *"।॥", *"۔؟", "։", "\u037e", *"።፧፨", "။", *"។៕", *"།༎", *"᠃᠉"]
+WIDE_SENTENCE_ENDS = [*"…。！？．｡", *"।॥", *"۔؟", "։", "\u037e", *"።፧፨", "။", *"។៕", *"།༎", *"᠃᠉"]
 _CLOSERS = ['"', "'", ")", "]", "”", "’", "»"]
 _DOTS = ["»", "·", "•"]
 
@@ -107,9 +107,9 @@ def _sentence_ends(words: Words) -> np.ndarray:
     todo, ends = np.arange(len(words)), words.ends.copy()
     while len(todo):
         some = Words(words.flat, words.starts[todo], ends[todo])
-        out[todo] = _ends_with(some, ends[todo], _ENDS) > 0
+        out[todo] = _ends_with(some, ends[todo], SENTENCE_ENDS) > 0
         wide = np.flatnonzero((some.ends > some.starts) & (words.flat.data[np.maximum(some.ends - 1, 0)] >= 0x80))
-        out[todo[wide]] = _ends_with(Words(words.flat, some.starts[wide], some.ends[wide]), some.ends[wide], _WIDE_ENDS) > 0
+        out[todo[wide]] = _ends_with(Words(words.flat, some.starts[wide], some.ends[wide]), some.ends[wide], WIDE_SENTENCE_ENDS) > 0
         closing = _ends_with(some, ends[todo], _CLOSERS)
         closing[out[todo]] = 0
         ends[todo] -= closing

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripline.llm import byte_bpe, decontamination, language, passage_dedup, substring_dedup, token_files, toxicity, vector_codes
+from tripline.llm import byte_bpe, decontamination, language, passage_dedup, quality_rules, substring_dedup, token_files, toxicity, vector_codes
 from tripline.llm.hard_negatives import hard_negatives
 from tripline.llm.licenses import license_scan
 from tripline.llm.mixing import mixture
@@ -101,7 +101,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_OP7_SQL = r"""
+# What may end a sentence, and what may close it, as in the rules.
+_ENDS = "".join([*quality_rules.SENTENCE_ENDS, *quality_rules.WIDE_SENTENCE_ENDS])
+
+_OP7_SQL = (
+    r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
@@ -116,7 +120,8 @@ WITH d AS (
 ), judged AS (
   SELECT r, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS dup,
          length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
-         NOT regexp_matches(line, '[.!?…。！？]["'')\]”’»]*([\x20\x09-\x0D]|$)')
+         NOT regexp_matches(line, '[@ENDS@]["'')\]”’»]*([\x20\x09-\x0D]|$)')
+         AND 2 * len(regexp_extract_all(line, '[\x{0E00}-\x{0EFF}]')) <= length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))
          OR 100 * len(regexp_extract_all(line, '[#*$%&|<>!]')) > 50 * len(w)
          OR (len([x FOR x IN w IF regexp_full_match(x, '[|>]+|[»·•]')]) >= 2
              AND 100 * len([x FOR x IN w IF regexp_full_match(x, '[|>]+|[»·•]')]) >= 20 * len(w))
@@ -139,7 +144,8 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * lost <= 50 * word_chars AS kept
-FROM base"""
+FROM base""".replace("@ENDS@", _ENDS)
+)
 
 
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +159,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS HUGEINT) AS size,
-         md5('mix' || coalesce(':' || CAST(doc_id AS VARCHAR), '')) AS draw
+         md5('mix' || coalesce(':' || CAST(doc_id AS VARCHAR), '') || coalesce(':' || md5(text), '')) AS draw
   FROM documents
 ), sources AS (
   SELECT source, sum(size) AS s,
