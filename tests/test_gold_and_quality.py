@@ -4,6 +4,7 @@ import math
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 from decimal import ROUND_HALF_UP, Decimal
+from uuid import uuid4
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from tests.conftest import TESTDATA
 from tests.rows import raw_rows
 from tests.test_silver import trip
-from tripline.contract import DROPOFF, GOLD_TRIP_COLUMNS, PICKUP
+from tripline.contract import DROPOFF, GOLD_TRIP_COLUMNS, PICKUP, Lakehouse, Period
 from tripline.operators import (
     QualityError,
+    WriteProfile,
     assert_clean,
     assert_no_rows,
     assert_required_columns,
@@ -30,7 +32,10 @@ from tripline.operators import (
     trip_facts,
     violation_profile,
 )
+from tripline.operators.quality import assert_none_broken
+from tripline.plans import create_raw, create_silver
 from tripline.plans.standin import Standin
+from tripline.plans.tables import drop_lake
 
 # What the stand-in must give, per scale factor.
 EXPECTED = {
@@ -161,3 +166,25 @@ def test_means_agree_with_plain_python(spark, rows):
         (*key, half_up(values), len(values)) for key, values in sorted(by_month.items())]
     assert [tuple(row) for row in avg_passenger_count_by_hour(silver).sort("pickup_hour").collect()] == [
         (key, half_up(values), len(values)) for key, values in sorted(by_hour.items())]
+
+
+def test_profiles_of_the_write_equal_those_of_the_table(spark, tmp_path):
+    """Counted by the writing job: the same numbers, and no job that reads the stored table."""
+    lake = Lakehouse(database=f"test_{uuid4().hex}", location=str(tmp_path / "lake"))
+    landed = Standin.of(spark, "/root/testdata/sf0.001").landing
+    raw_profile, silver_profile = WriteProfile(), WriteProfile(Period())
+    raw = create_raw(spark, landed, lake=lake, profile=raw_profile)
+    silver = create_silver(spark, lake=lake, profile=silver_profile)
+    for df, profile in ((raw, raw_profile), (silver, silver_profile)):
+        assert profile.nulls == null_profile(df).first().asDict()
+        assert profile.violations == violation_profile(df).first().asDict()
+    counted = {row.rule: row.row_count for row in reject_profile(silver).collect()}
+    assert silver_profile.broken == {rule: n for rule, n in counted.items() if rule != "kept"}
+    assert raw_profile.broken == {}
+    drop_lake(spark, lake)
+
+
+def test_broken_rules_stop(spark):
+    with pytest.raises(QualityError, match="dropoff"):
+        assert_none_broken({"dropoff": 3, "pickup": 0})
+    assert_none_broken({"dropoff": 0})

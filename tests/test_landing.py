@@ -209,3 +209,24 @@ def test_a_cluster_must_name_its_checkpoint_folder():
         session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             checkpoint_root(session)
+
+
+def test_cast_losses(spark, tmp_path):
+    """What casts to the contract's types null or change, by month and column."""
+    big = 2**53 + 1
+    rows = [(2.0, big, "1.5", "x"), (2.5, 3, "one", "2023-01-01 00:00:00"), (3e9, None, None, None), (None, 0, "", "2023-01-02"),
+            (float("nan"), -1, "2", "2023")]
+    month = spark.createDataFrame(rows, "VendorID double, passenger_count long, total_amount string, tpep_pickup_datetime string")
+    month = month.withColumn("tpep_dropoff_datetime", F.lit(0).cast("timestamp"))
+    month.write.parquet(landed_path(str(tmp_path), 2023, 1))
+    found = {r.column_name: tuple(r)[3:] for r in landing.cast_losses(spark, str(tmp_path), months=[1]).collect()}
+    assert found == {
+        "VendorID": ("double", "int", 4, 2, 1),  # NaN and 3e9 do not fit, 2.5 loses its fraction
+        "passenger_count": ("bigint", "double", 4, 0, 1),
+        "total_amount": ("string", "double", 4, 2, 0),
+        "tpep_pickup_datetime": ("string", "timestamp", 4, 1, 0),
+    }
+    typed = month.select(F.lit(1).alias("VendorID"), *(F.lit(1.0).alias(n) for n in ("passenger_count", "total_amount")),
+                         *(F.lit(0).cast("timestamp").alias(n) for n in ("tpep_pickup_datetime", "tpep_dropoff_datetime")))
+    typed.write.parquet(landed_path(str(tmp_path), 2023, 2))
+    assert landing.cast_losses(spark, str(tmp_path), months=[2]).collect() == []

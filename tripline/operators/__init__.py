@@ -12,6 +12,7 @@ from tripline.operators.gold import (
 )
 from tripline.operators.quality import (
     QualityError,
+    WriteProfile,
     assert_clean,
     assert_no_rows,
     assert_required_columns,
@@ -28,6 +29,7 @@ from tripline.operators.silver import clean_trips, gather_strays
 
 __all__ = [
     "QualityError",
+    "WriteProfile",
     "assert_clean",
     "assert_no_rows",
     "assert_required_columns",

@@ -26,7 +26,13 @@ from tripline.operators.gold import (
     avg_total_amount_by_month,
     trip_facts,
 )
-from tripline.operators.quality import QualityError, assert_clean, assert_no_rows, assert_required_columns
+from tripline.operators.quality import (
+    QualityError,
+    WriteProfile,
+    assert_no_rows,
+    assert_none_broken,
+    assert_required_columns,
+)
 from tripline.operators.silver import clean_trips, gather_strays
 from tripline.plans.tables import (
     OVERWRITE_PARTITIONS,
@@ -49,13 +55,14 @@ def create_raw(
     months=DEFAULT_MONTHS,
     mode: str = "overwrite",
     lake: Lakehouse = Lakehouse(),
+    profile: WriteProfile | None = None,
 ) -> DataFrame:
     """Landing files to the raw table. A scan task reads one month's file, so no shuffle comes before the write.
 
-    ``months`` are months of ``year``, or (year, month) pairs of several years.
+    ``months`` are months of ``year``, or (year, month) pairs of several years. A ``profile`` counts the rows written.
     """
     landed = read_landing(build_session(spark), landing_base, year, months)
-    write_table(landed, lake, "raw", mode, RAW_PARTITIONS)
+    write_table(profile.watched(landed) if profile else landed, lake, "raw", mode, RAW_PARTITIONS)
     if mode == OVERWRITE_PARTITIONS:
         # Row counts come from the files' footers.
         held = {tuple(row) for row in landed.select(*RAW_PARTITIONS).distinct().collect()}
@@ -69,17 +76,19 @@ def create_silver(
     mode: str = "overwrite",
     lake: Lakehouse = Lakehouse(),
     period: Period | None = None,
+    profile: WriteProfile | None = None,
 ) -> DataFrame:
     """Raw table to the silver table. The period is that of raw's source months, unless one is given.
 
     It is stored with the table, for months that are replaced later. A raw table of which no row is clean is an
-    error: its months are then hardly those of the period.
+    error: its months are then hardly those of the period. A ``profile`` counts the rows written.
     """
     raw = seen_by(build_session(spark), lake, "raw")
     months = source_months(raw)
     period = period or (Period.covering(months) if months else Period())
     forget_sums(spark, lake)
-    silver = write_table(gather_strays(raw, period, months), lake, "silver", mode, SILVER_PARTITIONS)
+    laid_out = gather_strays(raw, period, months)
+    silver = write_table(profile.watched(laid_out) if profile else laid_out, lake, "silver", mode, SILVER_PARTITIONS)
     remember_period(spark, lake, period)
     if silver.isEmpty() and not raw.isEmpty():
         raise QualityError(f"no row of raw is clean in the period from {period.start} to {period.end}")
@@ -246,8 +255,10 @@ def create_all(
     raw = create_raw(spark, landing_base, year, months, lake=lake)
     assert_required_columns(raw)
     period = period or Period.covering(year_months(year, months))
-    silver = create_silver(spark, lake=lake, period=period)
-    assert_clean(silver, period)
+    profile = WriteProfile(period)
+    silver = create_silver(spark, lake=lake, period=period, profile=profile)
+    assert_required_columns(silver)
+    assert_none_broken(profile.broken)  # counted while silver was written
     gold = create_gold(spark, "overwrite", lake, *hourly_month, trips_as)
     assert_no_rows(layer_tables(spark, lake).where("NOT is_present"), "tables missing from the catalog")
     return {"raw_df": raw, "silver_df": silver, **gold}

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from tripline.contract import (
     DROPOFF,
     GOLD_TRIP_COLUMNS,
+    LINEAGE_TYPES,
     PICKUP,
     RAW_PARTITIONS,
     TRIP_COLUMNS,
+    TRIP_TYPES,
     Lakehouse,
     landed_path,
 )
@@ -28,6 +30,7 @@ from tripline.plans import answers, refresh, tables
 from tripline.plans.layers import create_raw, create_silver, replace_months
 from tripline.plans.standin import ORACLE_TRIPS, Standin, write_landing
 from tripline.sources import fetch, landing, relay
+from tripline.sources.local import local_table
 from tripline.sources.scratch import new_folder, remove
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,6 +330,39 @@ def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(months.union(columns.distinct()), base)
 
 
+@_registered("""
+SELECT CAST(2023 AS INTEGER) AS year, CAST(source_month AS INTEGER) AS month, 'VendorID' AS column_name,
+       CASE source_month WHEN 1 THEN 'double' WHEN 2 THEN 'bigint' ELSE 'string' END AS data_type, 'int' AS stored_as,
+       CASE source_month WHEN 1 THEN count(total_amount) ELSE count(VendorID) END AS value_count,
+       CASE source_month WHEN 1 THEN 0 WHEN 2 THEN count(VendorID)
+            ELSE count(*) FILTER (VendorID IS NOT NULL AND passenger_count > 3) END AS nulled,
+       CASE source_month WHEN 1 THEN count(*) FILTER (total_amount <> trunc(total_amount)) ELSE 0 END AS changed
+FROM raw WHERE source_month <= 3 GROUP BY source_month
+UNION ALL
+SELECT 2023, CAST(source_month AS INTEGER), 'passenger_count', 'bigint', 'double', count(passenger_count), 0, 0
+FROM raw WHERE source_month IN (2, 3) GROUP BY source_month
+UNION ALL
+SELECT 2023, CAST(source_month AS INTEGER), 'tpep_pickup_datetime', 'timestamp_ntz', 'timestamp', count(tpep_pickup_datetime), 0, 0
+FROM raw WHERE source_month <= 3 GROUP BY source_month
+UNION ALL
+SELECT 2023, CAST(source_month AS INTEGER), 'tpep_dropoff_datetime', 'timestamp_ntz', 'timestamp', count(tpep_dropoff_datetime), 0, 0
+FROM raw WHERE source_month <= 3 GROUP BY source_month""")
+def landing_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors that are amounts in January, too large in February and partly no numbers in March."""
+    base, trips = new_folder(spark, "landing"), Standin.of(spark, sf_dir).trips
+    vendors = {
+        1: F.col("total_amount"),
+        2: F.col("VendorID").cast("bigint") * 3_000_000_000,
+        3: F.when(F.col("VendorID").isNotNull() & (F.col("passenger_count") > 3), "x").otherwise(F.col("VendorID").cast("string")),
+    }
+    for month, vendor in vendors.items():
+        rows = trips.where(F.col("source_month") == month).withColumn("VendorID", vendor)
+        if month > 1:
+            rows = rows.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        rows.drop("source_year", "source_month").write.parquet(landed_path(base, 2023, month))
+    return _finished(landing.cast_losses(spark, base, 2023, [1, 2, 3]), base)
+
+
 # Raw
 
 
@@ -355,6 +391,61 @@ def raw_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(quality.violation_profile(Standin.of(spark, sf_dir).raw()))
 
 
+def _written(spark: SparkSession, profile: quality.WriteProfile) -> DataFrame:
+    counted = profile.nulls | profile.violations
+    rows = spark.createDataFrame([tuple(counted.values())], ", ".join(
+        f"{name} {'timestamp' if name.endswith('_datetime') else 'bigint'}" for name in counted
+    ))
+    return _comparable(rows)
+
+
+@_registered(f"SELECT * FROM ({_null_counts('raw')}), ({_violations('raw')})")
+def raw_profile_of_the_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both profiles of raw, counted by the job that writes it."""
+    standin, profile = Standin.of(spark, sf_dir), quality.WriteProfile()
+    lake = standin.new_lake()
+    create_raw(spark, standin.landing, lake=lake, profile=profile)
+    return _finished(_written(spark, profile), lake=lake)
+
+
+@_registered(f"SELECT * FROM ({_null_counts('silver')}), ({_violations('silver')})")
+def silver_profile_of_the_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both profiles of silver, counted by the job that writes it."""
+    standin, profile = Standin.of(spark, sf_dir), quality.WriteProfile()
+    lake = standin.new_lake()
+    create_raw(spark, standin.landing, lake=lake)
+    create_silver(spark, lake=lake, profile=profile)
+    return _finished(_written(spark, profile), lake=lake)
+
+
+_STORED_SCHEMAS = {
+    "raw": [*((name, kind.simpleString()) for name, kind in (TRIP_TYPES | LINEAGE_TYPES).items())],
+    "silver": [
+        *((name, kind.simpleString()) for name, kind in (TRIP_TYPES | LINEAGE_TYPES).items()),
+        ("pickup_date", "date"), ("pickup_year", "int"), ("pickup_month", "int"), ("pickup_day", "int"),
+        ("pickup_hour", "int"), ("trip_duration_minutes", "double"), ("silver_loaded_at", "timestamp"),
+    ],
+}
+
+
+@_registered(
+    ", expected(layer, column_name, data_type) AS (VALUES "
+    + ", ".join(f"('{layer}', '{name}', '{kind}')" for layer, fields in _STORED_SCHEMAS.items() for name, kind in fields)
+    + """)
+SELECT expected.*, CASE layer WHEN 'raw' THEN (SELECT count(*) FROM raw) ELSE (SELECT count(*) FROM silver) END AS record_count
+FROM expected"""
+)
+def stored_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns and types that the stored layers have, and the rows behind them."""
+    standin = Standin.of(spark, sf_dir)
+    layers = {"raw": standin.raw(), "silver": standin.silver()}
+    counts = [quality.record_count(df).select(F.lit(layer).alias("layer"), "record_count") for layer, df in layers.items()]
+    fields = [(layer, *field) for layer, df in layers.items() for field in df.dtypes]
+    return local_table(spark, "layer string, column_name string, data_type string", fields).join(
+        reduce(DataFrame.unionByName, counts), "layer"
+    )
+
+
 _REJECTS = {
     "VendorID_present": "VendorID IS NULL",
     "passenger_count_present": "passenger_count IS NULL",

@@ -10,6 +10,7 @@ from tripline.sources.fetch import (
     read_manifest,
 )
 from tripline.sources.landing import (
+    cast_losses,
     landed_parts,
     landing_inventory,
     landing_types,
@@ -23,6 +24,7 @@ from tripline.sources.relay import relay_files
 
 __all__ = [
     "append_manifest",
+    "cast_losses",
     "failed_files",
     "ingest_landing",
     "land_files",

@@ -12,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripline.contract import (
     DEFAULT_MONTHS,
@@ -240,3 +241,49 @@ def schema_drift(
     return drifted.select(
         "column_name", "data_type", "file_count", "part_count", F.col("found.source_month").alias("months")
     )
+
+
+def cast_losses(
+    spark: SparkSession, base: str, year: int = DEFAULT_YEAR, months=DEFAULT_MONTHS
+) -> DataFrame:
+    """What bringing landing files to the contract's types costs: one row per month, required column and physical type
+    that is not the contract's.
+
+    ``value_count`` values there are; ``nulled`` ones do not fit and become NULL; ``changed`` ones become another value,
+    which is told by casting them back: a fraction that is cut off, a whole number that a double does not hold. Text is
+    only parsed, so none of it counts as changed. One scan per set of types and one small row per task and month.
+    """
+    asked = year_months(year, months)
+    profiles = []
+    for types, paths in _type_sets(spark, base, asked).items():
+        types, wanted = dict(types), {name.lower(): (name, kind) for name, kind in TRIP_TYPES.items()}
+        others = {name: kind for name, kind in types.items() if kind != wanted[name][1].simpleString()}
+        if not others:
+            continue
+        fields = ", ".join(f"`{wanted[name][0]}` {kind}" for name, kind in others.items())
+        rows = spark.read.option("basePath", base).schema(f"{fields}, year int, month int").parquet(*paths)
+        measures = [F.array(*(_cast_loss(*wanted[name], kind) for name, kind in others.items())).alias("losses")]
+        profiles.append(rows.groupBy("year", "month").agg(*measures).select("year", "month", F.inline("losses")))
+    if not profiles:
+        return local_table(spark, _LOSSES, [])
+    return reduce(DataFrame.unionByName, profiles)
+
+
+_LOSSES = (
+    "year int, month int, column_name string, data_type string, stored_as string, value_count bigint, nulled bigint, changed bigint"
+)
+
+
+def _cast_loss(name: str, stored: T.DataType, kind: str) -> Column:
+    value = F.col(name)
+    cast = value.try_cast(stored)
+    back = cast.try_cast(kind)
+    other = F.lit(False) if kind == "string" else cast.isNotNull() & ~back.eqNullSafe(value)
+    return F.struct(
+        F.lit(name).alias("column_name"),
+        F.lit(kind).alias("data_type"),
+        F.lit(stored.simpleString()).alias("stored_as"),
+        F.count(value).alias("value_count"),
+        F.count_if(value.isNotNull() & cast.isNull()).alias("nulled"),
+        F.count_if(other).alias("changed"),
+    )
