@@ -3,9 +3,12 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.texts import awkward, clashing, documents, prose
+from tripline.llm.components import components
 from tripline.llm.near_duplicates import Signature, near_duplicates
 
 
@@ -72,8 +75,58 @@ def test_chains_and_groups(spark):
     check(documents(spark, chain + group))
 
 
-def test_signature_finds_all_within_distance():
+def test_signature_has_an_allowed_error_a_chunk():
     signature = Signature()
     assert signature.errors == 1 and len(signature.variants) == 64
     with pytest.raises(ValueError):
         Signature(symbols=64, distance=80).variants
+
+
+def test_signatures_within_the_distance_share_a_key():
+    """Random pairs with up to 31 of 64 symbols changed, wherever these lie, have a key in common."""
+    from tripline.llm.near_duplicates import _enumerated
+
+    signature, draw = Signature(), np.random.default_rng(8)
+    assert signature.distance == 31
+    one = draw.integers(0, 2**16, (600, signature.symbols)).astype("<u2")
+    other = one.copy()
+    for k in range(len(one)):
+        n = signature.distance if k % 3 else int(draw.integers(0, signature.distance + 1))
+        if k % 2:  # spread as evenly as can be: two in each chunk but one, the worst case
+            at = np.concatenate([c * signature.chunk + draw.permutation(signature.chunk)[:2] for c in draw.permutation(signature.chunks)])[:n]
+        else:
+            at = draw.permutation(signature.symbols)[:n]
+        other[k, at] ^= draw.integers(1, 2**16, len(at)).astype("<u2")
+    assert ((one != other).sum(axis=1) <= signature.distance).all() and ((one != other).sum(axis=1) == 31).sum() > 300
+
+    def keys(signs) -> list[set]:
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(signs) + 1, dtype=np.int32) * signature.chunks), pa.array(signs.ravel().view("<i8")))
+        batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(signs))), lists], ["rep", "signature"])
+        found = [set() for _ in signs]
+        for out in _enumerated(signature)(iter([batch])):
+            for key, rep in zip(out.column("key").to_pylist(), out.column("rep").to_pylist()):
+                found[rep].add(key)
+        return found
+
+    assert all(a & b for a, b in zip(keys(one), keys(other)))
+
+
+def test_a_doc_id_with_texts_of_several_classes_links_them(spark):
+    """Rows that share a doc_id are one document: what is linked to any of its texts is linked to all."""
+    texts = [" ".join(prose(k, 40, 4000)) for k in range(4)]
+    rows = [(9, texts[0]), (2, texts[0]), (9, texts[1]), (5, texts[1]), (7, texts[2]), (9, ""), (5, texts[3]), (8, texts[3]), (6, None)]
+    docs = documents(spark, rows)
+    check(docs)
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert found == {9: 2, 2: 2, 5: 2, 8: 2, 7: 7, 6: 6}
+
+
+def test_components_work_on_classes(spark, monkeypatch):
+    """However many copies a text has, its class is one node and they add no link."""
+    from tripline.llm import near_duplicates as module
+
+    seen = []
+    monkeypatch.setattr(module, "components", lambda links: seen.append(links.count()) or components(links))
+    base = prose(4, 60, 3000)
+    near_duplicates(documents(spark, [" ".join(base)] * 300 + [" ".join(base[:30] + ["x"] + base[31:])] * 200)).collect()
+    assert seen and max(seen) <= 2

@@ -67,11 +67,23 @@ def near_duplicates(
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     sketched = stored(rows.mapInArrow(_sketcher(words, signature), _SKETCH), "sketches")
-    links = _links(rows, sketched.where("doc_id IS NOT NULL AND n_shingles > 0"), words, similar, signature)
-    found = components(links).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
+    known = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
+    classes = stored(
+        known.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")),
+        "classes",
+    )
+    keys = ["f1", "f2", "n_shingles"]
+    own = stored(known.select("doc_id", *keys).join(classes.select(*keys, "rep"), keys).select("doc_id", "rep").distinct(), "own")
+    # A doc_id with texts of several classes links these.
+    several = own.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last")
+    shared = own.join(several.select("doc_id", "b"), "doc_id").select(F.col("rep").alias("a"), "b")
+    found = components(_links(rows, classes, words, similar, signature).union(shared))
+    # Links are between classes; each document then takes the component of its class.
+    reached = own.join(found, own["rep"] == found["node"], "left")
+    reached = reached.groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     return (
         sketched.select("doc_id", "n_shingles")
-        .join(found, "doc_id", "left")
+        .join(reached, "doc_id", "left")
         .select(
             "doc_id",
             "n_shingles",
@@ -88,17 +100,8 @@ BLOCK_SHINGLES = 1 << 15
 _SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, signature array<long>"
 
 
-def _links(rows: DataFrame, sketched: DataFrame, words: int, similar: int, signature: Signature) -> DataFrame:
-    """Links that connect what is similar: copies to their class, and classes among each other."""
-    classes = stored(
-        sketched.groupBy("f1", "f2", "n_shingles").agg(
-            F.min("doc_id").alias("rep"), F.min("signature").alias("signature")
-        ),
-        "classes",
-    )
-    copies = sketched.join(classes.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"])
-    copies = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-
+def _links(rows: DataFrame, classes: DataFrame, words: int, similar: int, signature: Signature) -> DataFrame:
+    """Links that connect the classes whose sets are similar, by their smallest doc_ids."""
     keys = classes.select("rep", "signature").mapInArrow(_enumerated(signature), "key long, rep long")
     shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     members = stored(keys.join(shared, "key"), "members")
@@ -140,7 +143,7 @@ def _links(rows: DataFrame, sketched: DataFrame, words: int, similar: int, signa
     meeting = one.join(other, F.expr(f"x_key = y_key AND {_PARTS} AND NOT (x_low = x_high AND y_low = y_high AND x_low = y_low)"))
     columns = [f"{side}_{name}" for side in "xy" for name in ("rep", "c", "hub", "x")]
     pairs = meeting.select("x_key", *columns).mapInArrow(_meeting(signature), "a long, b long").distinct()
-    return links.union(confirmed(pairs)).union(copies)
+    return links.union(confirmed(pairs))
 
 
 _PARTS = (
