@@ -240,7 +240,7 @@ class Pieces:
 
 
 class _Words(dict):
-    """Tokens by word, for words that are no longer than the rest of their text needs."""
+    """Tokens by word; words of up to 64 characters are remembered."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
