@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.texts import awkward, clashing, documents
@@ -64,6 +66,40 @@ def test_a_tokenizer_that_keeps_blanks(spark):
     check(spark, documents(spark, awkward() + ODD), "byte_bpe_50k.json", 50256)
 
 
+def changed(change) -> Tokenizer:
+    steps = json.loads(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).to_str())
+    change(steps)
+    return Tokenizer.from_str(json.dumps(steps))
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda steps: steps["normalizer"]["normalizers"].pop(),
+        lambda steps: steps["normalizer"]["normalizers"].__setitem__(0, {"type": "NFKC"}),
+        lambda steps: steps["normalizer"].update(normalizers=[{"type": "Prepend", "prepend": "x"}, *steps["normalizer"]["normalizers"]]),
+        lambda steps: steps["pre_tokenizer"]["pretokenizers"][0].update(behavior="Isolated"),
+        lambda steps: steps["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\S+ \S+|\S+"),
+        lambda steps: steps["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+        lambda steps: steps["added_tokens"].append({"id": 49408, "content": "one, two", "single_word": False, "lstrip": False, "rstrip": False, "normalized": True, "special": False}),
+    ],
+)
+def test_other_tokenizers_get_whole_texts(change):
+    """What the file says decides, not how the tokenizer does on some texts."""
+    import pyarrow as pa
+
+    known = token_files._Remembered(changed(lambda steps: None))
+    assert known.by_word
+    tokenizer = changed(change)
+    known = token_files._Remembered(tokenizer)
+    assert not known.by_word
+    texts = [*ODD, "One, two, three  Four", "A B c d's ﬁ x", "one two", "x"]
+    ids, counts = known.encoded(token_files.flattened(pa.array(texts)), 2)
+    cut = np.cumsum(counts)
+    for text, a, b in zip(texts, np.append(0, cut), cut):
+        assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_forgetting(spark, monkeypatch):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     monkeypatch.setattr(token_files, "REMEMBERED", 10)

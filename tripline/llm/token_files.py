@@ -6,6 +6,7 @@ rows) and a Bloom filter on doc_id. Readers take stripes side by side, and skip
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -119,8 +120,8 @@ class _Remembered:
     The vocabulary's tokenizer drops white space, lower-cases, and never joins letters with the punctuation beside
     them. So the ids of a text are those of its pieces in a row, if it is cut at blanks and between ASCII letters and
     other ASCII characters; never at an apostrophe (it starts endings like 's) and never beside characters beyond ASCII
-    (they may compose). Texts that hold one of the special tokens' strings, and all texts of a tokenizer that does not
-    behave so, are encoded whole.
+    (they may compose). Texts that hold one of the special tokens' strings, and all texts of a tokenizer whose file does
+    not say so (``_cuts_at_words``), are encoded whole.
     """
 
     def __init__(self, tokenizer):
@@ -129,20 +130,11 @@ class _Remembered:
         self.special = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
         size = tokenizer.get_vocab_size()
         self.ends = np.array([(tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
-        self.by_word = False
-        self.by_word = self._cuts_well()
+        self.by_word = _cuts_at_words(tokenizer)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _cuts_well(self) -> bool:
-        probes = ["a b", " A\tb ", "One, two  three\n(four) 5 v6.7x", "x\r\ny\x0bz\x0c.", "É ñ\n\n漢 字 русский 's don't o'K", "", "a%%%b"]
-        whole = self._ids(probes)
-        self.by_word = True
-        ids, counts = self.encoded(flattened(pa.array(probes)), 0)
-        cut = np.cumsum(counts)
-        return [[*x, 0] for x in whole] == [ids[a:b].tolist() for a, b in zip(np.append(0, cut), cut)]
-
     def encoded(self, flat: Flat, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and their number by text."""
         lowered = flat.lowered.data.tobytes()
@@ -241,6 +233,34 @@ class _Remembered:
         self.sizes = np.concatenate([self.sizes, sizes])[by]
 
 
+# How a vocabulary file says that white space goes, case is lowered, and letters, digits and other
+# characters are split from each other but for the endings 's, 't and the like.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _cuts_at_words(tokenizer) -> bool:
+    """Whether a text's ids are those of its words in a row, by what the tokenizer's file says of its steps.
+
+    Then no match of the split holds a blank, or an ASCII letter beside another ASCII character that is no apostrophe;
+    nothing before the split looks beyond a character and those it composes with; and merges stay inside a match.
+    """
+    steps = json.loads(tokenizer.to_str())
+    normalizer, split, model = steps["normalizer"] or {}, steps["pre_tokenizer"] or {}, steps["model"]
+    first = (split.get("pretokenizers") or [{}])[0]
+    return (
+        normalizer.get("type") == "Sequence"
+        and normalizer.get("normalizers") == _NORMALIZER
+        and split.get("type") == "Sequence"
+        and first == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+        and [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in split["pretokenizers"][1:]] == [("ByteLevel", False, False)]
+        and model["type"] == "BPE"
+        and model["end_of_word_suffix"] == "</w>"
+        and not model["dropout"]
+        and all(token["special"] and not token["normalized"] for token in steps["added_tokens"])
+    )
+
+
 # 0: blank, 1: an ASCII letter, 2: other ASCII but the apostrophe, 4: what is never cut at
 _KIND = np.full(256, 4, np.uint8)
 _KIND[:128] = 2
