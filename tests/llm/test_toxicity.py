@@ -93,7 +93,7 @@ def test_sample_is_bounded_for_a_shared_id(spark, monkeypatch):
     import tripline.llm.toxicity as module
 
     sizes = []
-    monkeypatch.setattr(module, "_fitted", lambda lists, y: sizes.append(len(y)))
+    monkeypatch.setattr(module, "_fitted", lambda lists, y, *_: sizes.append(len(y)))
     for one in range(1, 7):
         docs = documents(spark, [(one, f"a{k}") for k in range(3000)] + [(100 + k, f"b{k}") for k in range(100)])
         learn(docs, spark.createDataFrame([(one, 0)] + [(100 + k, k % 2) for k in range(100)], "doc_id long, toxic int"), toxic=50, clean=300)

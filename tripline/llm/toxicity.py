@@ -54,9 +54,14 @@ def toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 5000, left: int = 0) -> Machine:
+def learn(
+    docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 5000, left: int = 0, least: int = 3, by_chance: int = 200
+) -> Machine:
     """A machine from about ``toxic`` and ``clean`` rows of labelled documents; others are not looked at.
 
+    Terms that fewer than ``least`` texts of the sample have are left out, as nothing can be learned of them.
+    ``by_chance`` is how many of all terms may be kept without a cause: fewer make the penalty on weights stricter.
+
     Labels of documents whose crc32 of doc_id, modulo 5, is ``left`` are not used. Labels that are not 0 or 1, or that
     contradict each other, teach nothing. Without labels of both kinds all scores are the share of toxic ones.
     """
@@ -67,7 +72,8 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 50
     # The sample's terms are what comes to the driver: four bytes for each distinct one of a row.
     texts = by_label(texts, "toxic", {1: toxic, 0: clean})
     found = texts.select("toxic", "text").mapInArrow(_termed, "toxic int, bins binary").collect()
-    return _fitted([np.frombuffer(row.bins, np.int32) for row in found], np.array([row.toxic for row in found], np.float64))
+    lists, toxic_ones = [np.frombuffer(row.bins, np.int32) for row in found], np.array([row.toxic for row in found], np.float64)
+    return _fitted(lists, toxic_ones, least, by_chance)
 
 
 def _fitted(lists: list[np.ndarray], y: np.ndarray, least: int = 3, by_chance: int = 200, block: int = 256) -> Machine:
