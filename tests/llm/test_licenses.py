@@ -111,3 +111,50 @@ def test_bad_templates():
     for text in ("a", "[[a b]]", "a b [[c", "a b c]]"):
         with pytest.raises(ValueError):
             compiled("t", text)
+
+
+def test_whole_wordings(spark):
+    """Wordings as files carry them, with names filled in, are accepted; one other mandatory word is not."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ * 1. Redistributions of source code must retain the above copyright notice, this
+ *    list of conditions and the following disclaimer.
+ * 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+ *    conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+    third = "* 3. Neither the name of the Example Project nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    warranty = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+ WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+ SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"""
+    texts = [
+        bsd + warranty,
+        bsd + third + warranty,
+        bsd.replace("retain", "keep") + third + warranty,
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "it is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3",
+        "To the extent possible under law, A. N. Author has waived all copyright and related or neighboring rights to this work.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ]
+    docs = documents(spark, texts)
+    found = {r.doc_id: set(filter(None, r.labels.split(","))) for r in license_scan(docs).collect()}
+    assert found[0] == {"BSD-notice", "BSD-2-Clause"}
+    assert found[1] == {"BSD-notice", "BSD-3-Clause"}
+    assert found[2] == set()
+    assert found[3] == {"MPL-2.0"}
+    assert found[4] == {"LGPL-notice"}
+    assert found[5] == {"CC0-1.0"}
+    assert found[6] == {"gpl", "GPL-disclaimer"}
+    check(docs)
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_each_template_accepts_its_own_wording(name):
+    """With optional regions and without, and with names in place of what may be replaced."""
+    wording = TEMPLATES[name]
+    for keep in (True, False):
+        text = re.sub(r"\[\[(.*?)\]\]", r"\1" if keep else "", wording)
+        words = split(re.sub(r"\{\{(\d+)\}\}", lambda m: " any " * int(m[1]) if keep else " ", text))
+        automaton = compiled(name, wording)
+        assert automaton.run(iter(words))[0] == len(words)
+        assert keep or automaton.run(iter([*words[:-1], "another"]))[0] is None

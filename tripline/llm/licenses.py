@@ -64,6 +64,65 @@ TEMPLATES = {
         " hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT-disclaimer": (
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO"
+        " THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE[[,]] AND NONINFRINGEMENT. IN NO EVENT SHALL"
+        " {{12}} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,"
+        " ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: [[1. ]]Redistributions of source code must retain the above copyright"
+        " notice, this list of conditions and the following disclaimer. [[2. ]]Redistributions in binary form must"
+        " reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation"
+        " and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY {{14}} AS IS AND ANY EXPRESS"
+        " OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {{14}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+        " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: [[1. ]]Redistributions of source code must retain the above copyright"
+        " notice, this list of conditions and the following disclaimer. [[2. ]]Redistributions in binary form must"
+        " reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation"
+        " and/or other materials provided with the distribution. [[3. ]]Neither the name of {{14}} nor the names of [[its]]"
+        " {{3}} contributors may be used to endorse or promote products derived from this software without specific prior"
+        " written permission."
+    ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the {{3}} be held"
+        " liable for any damages arising from the use of this software. Permission is granted to anyone to use this"
+        " software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject"
+        " to the following restrictions: [[1. ]]The origin of this software must not be misrepresented; you must not claim"
+        " that you wrote the original software. If you use this software in a product, an acknowledgment in the product"
+        " documentation would be appreciated but is not required. [[2. ]]Altered source versions must be plainly marked as"
+        " such, and must not be misrepresented as being the original software. [[3. ]]This notice may not be removed or"
+        " altered from any source distribution."
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and"
+        " accompanying documentation covered by this license (the {{1}}Software{{1}}) to use, reproduce, display,"
+        " distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit"
+        " third-parties to whom the Software is furnished to do so, all subject to the following:"
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at"
+    ),
+    "LGPL-notice": (
+        "is free software[[: you can redistribute it]]; you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation"
+    ),
+    "AGPL-notice": (
+        "is free software[[: you can redistribute it]]; you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation"
+    ),
+    "GPL-disclaimer": (
+        "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU [[Lesser ]][[Affero ]]General Public License for"
+        " more details."
+    ),
+    "CC0-1.0": "To the extent possible under law, {{14}} waived all copyright and related or neighboring rights to",
 }
 
 
