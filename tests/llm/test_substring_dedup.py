@@ -90,3 +90,22 @@ def test_suffixes_are_sorted(seed):
     expected = sorted(s for s in strings if strings.count(s) > 1)
     assert [strings[k] for k in rows] == expected
     assert [a == b for a, b in zip(leaf, leaf[1:])] == [a == b for a, b in zip(expected, expected[1:])]
+
+
+def test_three_way_partitions_sort_each_rank():
+    """Ranks stay where they are, and inside each the symbols rise: random, equal, rising, falling and organ-pipe ones."""
+    from tripline.llm.substring_dedup import _partitioned
+
+    draw = np.random.default_rng(6)
+    for round_ in range(60):
+        sizes = draw.integers(1, [3, 40, 2000][round_ % 3], 30)
+        rank = np.repeat(np.arange(len(sizes)) * 2, sizes)
+        groups = []
+        for k, n in enumerate(sizes):
+            kinds = [draw.integers(0, 2**64, n, np.uint64), draw.integers(0, 3, n).astype(np.uint64), np.arange(n), np.arange(n)[::-1]]
+            groups.append(np.asarray([*kinds, np.minimum(np.arange(n), np.arange(n)[::-1])][k % 5], np.uint64))
+        symbol = np.concatenate(groups)
+        order = _partitioned(symbol, rank)
+        assert sorted(order.tolist()) == list(range(len(symbol))) and (rank[order] == rank).all()
+        assert (symbol[order] == symbol[np.lexsort((symbol, rank))]).all()
+    assert len(_partitioned(np.empty(0, np.uint64), np.empty(0, np.int64))) == 0

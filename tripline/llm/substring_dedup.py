@@ -392,8 +392,7 @@ def sorted_suffixes(data: np.ndarray, position: np.ndarray, group: np.ndarray, l
     alive, rank = np.arange(len(position)), group
     for depth in range(0, SHALLOW, 8):
         symbol = eights[position[alive] + depth].astype(np.uint64)
-        order = np.argsort(symbol, kind="stable")
-        order = order[np.argsort(rank[order], kind="stable")]
+        order = _partitioned(symbol, rank)
         alive, symbol, rank = alive[order], symbol[order], rank[order]
         new = np.ones(len(alive), dtype=bool)
         new[1:] = (symbol[1:] != symbol[:-1]) | (rank[1:] != rank[:-1])
@@ -403,6 +402,38 @@ def sorted_suffixes(data: np.ndarray, position: np.ndarray, group: np.ndarray, l
     return _blind_tries(eights, position, alive, rank, length)
 
 
+def _partitioned(symbol: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The order of each rank's symbols, by three-way partitions around pivots; ranks stand together and stay so.
+
+    A round takes a pivot for every open group and deals its members out to those below, equal and above. Equal ones are
+    done at this depth, the others are groups of the next round. Pivots are medians of three, at places that change with
+    the round, so no order of the input is a bad one for long.
+    """
+    order, values = np.arange(len(symbol)), symbol.copy()
+    todo, group, turn = order.copy(), np.asarray(rank), 1
+    while len(todo):
+        heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        sizes = np.diff(np.append(heads, len(todo)))
+        which, own = np.repeat(np.arange(len(heads)), sizes), values[todo]
+        a, b, c = (own[heads + (heads * 7 + turn * step) % sizes] for step in (0, 40_503, 69_069))
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[which]
+        sides = [own < pivot, own == pivot, own > pivot]
+        place, before = np.empty(len(todo), np.int64), heads.copy()
+        for side in sides:
+            counted = np.cumsum(side)
+            earlier = counted[heads] - side[heads]
+            place[side] = (before[which] + counted - 1 - earlier[which])[side]
+            before = before + np.add.reduceat(side, heads, dtype=np.int64)
+        dealt = np.empty(len(todo), np.int64)
+        dealt[place] = np.arange(len(todo))
+        order[todo], values[todo] = order[todo][dealt], own[dealt]
+        label = (3 * which + sides[1] + 2 * sides[2])[dealt]
+        new = np.append(True, label[1:] != label[:-1])
+        open_ = (label % 3 != 1) & ~(new & np.append(new[1:], True))
+        todo, group, turn = todo[open_], label[open_], turn + 1
+    return order
+
+
 def _blind_tries(eights, position, alive, rank, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Order groups that agree up to the shallow depth, each by a trie that knows only where its branches part.
 
