@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripline.llm.store import stored, stored_in
+from tripline.llm.store import dropped, stored, stored_in
 from tripline.llm.vector_codes import integers
 from tripline.plans.tables import build_session
 
@@ -81,12 +81,13 @@ def hard_negatives(
     kind = np.float64 if n and most_size * far**2 < 1 << 52 else np.int64  # both exact
 
     blocks = stored_in(own, _stored_blocks(base, n, low or 0, high or 0))
+    zones, count = _packed_zones(blocks)
     anchors = stored(
         blocks.select("rows", "ids", "given", "labels", "anchors", "parts", F.spark_partition_id().alias("part"))
         .mapInArrow(_tiles(positives, kind), _ANCHORS),
         "anchors",
     )
-    best = _search(anchors, blocks, True, positives, kind)
+    best = _search(anchors, blocks, zones, count, True, positives, kind)
     score = F.col("score")
     lo = F.expr(f"CASE WHEN score > 0 THEN ({least} * score + 99) DIV 100 ELSE ({least} * score) DIV 100 END")
     hi = F.expr(f"CASE WHEN score >= 0 THEN ({most} * score) DIV 100 ELSE -((99 - {most} * score) DIV 100) END")
@@ -97,7 +98,7 @@ def hard_negatives(
         "tile", "row", "vec_id", "label", "parts", F.col("w.rank").alias("ranks"), F.col("w.lo").alias("lo"), F.col("w.hi").alias("hi")
     )
     asking = stored(asking, "windows")
-    hard = _search(asking.drop("ranks"), blocks, False, negatives, kind)
+    hard = _search(asking.drop("ranks"), blocks, zones, count, False, negatives, kind)
     # A window's place among those of its anchor names the positive.
     named = asking.select("row", F.col("vec_id").alias("anchor_id"), F.posexplode("ranks").alias("place", "of"))
     found = (
@@ -106,7 +107,9 @@ def hard_negatives(
         .join(best.select("row", F.col("rank").alias("of"), "positive_id", "positive_score"), ["row", "of"])
         .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
     )
-    return stored_in(spark, stored(found, "negatives"))
+    found = stored(found, "negatives")
+    dropped(base, blocks, zones, anchors, best, asking)
+    return stored_in(spark, found)
 
 
 def _stored_blocks(base: DataFrame, n: int, low: int, high: int) -> DataFrame:
@@ -118,7 +121,19 @@ def _stored_blocks(base: DataFrame, n: int, low: int, high: int) -> DataFrame:
     return stored(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_packed, _BLOCKS), "blocks")
 
 
-def _search(anchors: DataFrame, blocks: DataFrame, same: bool, first: int, kind) -> DataFrame:
+def _packed_zones(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """The zone maps of many blocks in one row each, numbered by ``chunk``, and how many rows that makes."""
+    zones = blocks.select("block", "n", "lows", "highs", "kinds")
+    chunks = stored(zones.coalesce(max(1, zones.rdd.getNumPartitions() // 8)).mapInArrow(_chunked, _CHUNKS), "zones")
+    number = F.row_number().over(W.orderBy("first")) - 1  # orders one row for ZONES * BLOCK vectors
+    numbered = stored(chunks.join(chunks.select("first", number.alias("chunk")), "first"), "zones")
+    dropped(chunks)
+    return numbered, max(1, numbered.count())
+
+
+def _search(
+    anchors: DataFrame, blocks: DataFrame, chunks: DataFrame, count: int, same: bool, first: int, kind
+) -> DataFrame:
     """The ``first`` rows in each window of each anchor: ``row``, ``place`` of the window, ``score``, ``vec_id``, ``rank``.
 
     ``same`` looks among rows of the anchor's label, else among those of others.
@@ -126,11 +141,6 @@ def _search(anchors: DataFrame, blocks: DataFrame, same: bool, first: int, kind)
     spark = anchors.sparkSession
     fields = F.struct("row", "vec_id", "label", "parts", "lo", "hi")
     tiles = anchors.groupBy("tile").agg(F.collect_list(fields).alias("anchors"))  # TILE anchors at most
-    zones = blocks.select("block", "n", "lows", "highs", "kinds")
-    chunks = stored(zones.coalesce(max(1, zones.rdd.getNumPartitions() // 8)).mapInArrow(_chunked, _CHUNKS), "zones")
-    number = F.row_number().over(W.orderBy("first")) - 1
-    numbers = chunks.select("first", number.alias("chunk"))  # one row for ZONES * BLOCK vectors
-    chunks, count = chunks.join(numbers, "first"), max(1, chunks.count())
     # Every tile meets every chunk once. Where chunks are few, tiles are dealt over copies of them.
     groups = max(1, 3 * spark.sparkContext.defaultParallelism // count)
     asked = tiles.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn(

@@ -48,6 +48,12 @@ def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     return out
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, before the driver ends."""
+    for table in tables:
+        _removed(table.sparkSession, table.stored_at)
+
+
 def stored_in(spark: SparkSession, table: DataFrame) -> DataFrame:
     """A stored table, read by another session."""
     out = spark.read.schema(table.schema).parquet(table.stored_at)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripline.llm.flat import mixed
-from tripline.llm.store import stored
+from tripline.llm.store import dropped, stored
 
 # Members that one task owns, about.
 MEMBERS = 500_000
@@ -115,6 +115,7 @@ def compressed(vectors: DataFrame, positions: int = 4, entries: int = 256, round
     code = F.concat(*(F.lower(F.lpad(F.hex(f"entry{k}"), 2, "0")) for k in range(positions)))
     rows = base.select("row", "vec_id", "label").join(codes, "row").select("vec_id", "label", code.alias("code"), "error")
     rows = stored(rows, "codes")
+    dropped(base)
     for old in held:
         old.unpersist()
     return Codes(rows, books)
