@@ -90,6 +90,18 @@ def test_a_failed_overwrite_leaves_the_old_month(spark, published, base, monkeyp
     assert content(spark, base, [2]) == content(spark, published, [2])
 
 
+def test_a_folder_without_marker_stays_until_it_can_be_replaced(spark, published, base, tmp_path):
+    """Parts that were landed in another way are not given up for a source that is not there."""
+    target = landed_path(base, 2023, 2)
+    spark.read.parquet(landed_path(published, 2023, 2)).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+    assert not relay.is_whole(spark, target)
+    assert statuses(relay_files(files_of(spark, str(tmp_path / "nowhere"), base, [2]))) == ["failed"]
+    assert content(spark, base, [2]) == content(spark, published, [2])
+    assert statuses(relay_files(files_of(spark, published, base, [2]))) == ["success"]
+    assert relay.is_whole(spark, target) and content(spark, base, [2]) == content(spark, published, [2])
+
+
 def test_a_new_folder_that_cannot_be_renamed(spark, published, base, monkeypatch):
     files, rename = files_of(spark, published, base, [2]), relay.rename
     relay_files(files)

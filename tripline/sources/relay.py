@@ -59,19 +59,18 @@ def is_whole(spark: SparkSession, path: str) -> bool:
 
 
 def _landed(spark: SparkSession, source: str, target: str, overwrite: bool) -> tuple[str, int | None]:
-    whole = is_whole(spark, target)
-    if whole and not overwrite:
+    if is_whole(spark, target) and not overwrite:
         return "skipped_already_exists", None
     folder, name = target.rsplit("/", 1)
-    written = f"{folder}/.{name}.{uuid4().hex}" if whole else target
-    if not whole:
-        delete(spark, target)  # what an earlier run has left
+    # What lies there, whole or left behind, goes only when the new folder can take its place.
+    there = exists(spark, target)
+    written = f"{folder}/.{name}.{uuid4().hex}" if there else target
     try:
         for part in _parts(spark, source):
             # Without Spark's own marker, which each of these jobs would set.
             part.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(written)
         size = sum(state.length for state in file_states(spark, written))
-        if whole:
+        if there:
             _replaced(spark, written, target)
         touch(spark, f"{target}/{MARKER}")
     except Exception:
