@@ -8,6 +8,7 @@ three functions are spelled differently.
 from __future__ import annotations
 
 from string import Template
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tripline.contract import (
     landed_path,
 )
 from tripline.plans.layers import create_gold, create_raw, create_silver
-from tripline.sources.filesystem import file_states
+from tripline.sources.filesystem import delete, exists, file_states, make_folder, rename
 from tripline.sources.local import side_by_side
 from tripline.sources.scratch import new_folder
 
@@ -67,19 +68,39 @@ def standin_trips(events: DataFrame) -> DataFrame:
 
 
 def write_landing(trips: DataFrame, base: str, months=DEFAULT_MONTHS, year: int = DEFAULT_YEAR) -> str:
-    """Write monthly files whose types drift: from February on, vendors and passengers are other integers."""
-
-    def write(month: int) -> None:
-        vendor, passengers = ("bigint", "double") if month == 1 else ("int", "bigint")
-        of_month = trips.where(F.col("source_month") == month).withColumns(
+    """Write monthly files whose types drift: from February on, vendors and passengers are other integers.
+
+    Trips are read once for each set of types, not for each month: a month's folder is renamed to its place.
+    """
+    spark, months = trips.sparkSession, list(months)
+    staged = f"{base}/.{uuid4().hex}"
+
+    def write(types: tuple[str, str]) -> None:
+        vendor, passengers = types
+        own = [month for month in months if (month == 1) == (vendor == "bigint")]
+        if not own:
+            return
+        rows = trips.where(F.col("source_month").isin(own)).withColumns(
             {
                 "VendorID": F.col("VendorID").cast(vendor),
                 "passenger_count": F.col("passenger_count").cast(passengers),
+                "folder": F.col("source_month"),
             }
         )
-        of_month.drop("source_year", "source_month").write.parquet(landed_path(base, year, month))
-
-    side_by_side(trips.sparkSession, write, months)
+        rows = rows.drop("source_year", "source_month")
+        rows.write.partitionBy("folder").parquet(f"{staged}/{vendor}")
+        for month in own:
+            target, folder = landed_path(base, year, month), f"{staged}/{vendor}/folder={month}"
+            if exists(spark, target):
+                raise FileExistsError(target)
+            if exists(spark, folder):
+                make_folder(spark, target.rsplit("/", 1)[0])
+                rename(spark, folder, target)
+            else:  # a month without trips
+                rows.limit(0).drop("folder").write.parquet(target)
+
+    side_by_side(spark, write, [("bigint", "double"), ("int", "bigint")])
+    delete(spark, staged)
     return base
 
 

@@ -36,6 +36,11 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, where = _located(spark, path)
+    files.mkdirs(where)
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     files, where = _located(spark, path)
     if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(target)):
