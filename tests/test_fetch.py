@@ -18,6 +18,7 @@ from tripline.sources import (
     land_files,
     landing_files,
     manifest_latest,
+    read_manifest,
     transfer,
 )
 
@@ -124,6 +125,20 @@ def test_manifest_grows_and_knows_the_last_attempt(spark, published, tmp_path):
     assert failed_files(manifest.where("status != 'success'")).select("month").collect() == [(6,)]
 
 
+def test_a_run_that_is_added_again_counts_once(spark, published, tmp_path):
+    """A failure after the write and before the run's end: its attempts replace themselves, others stay."""
+    history = str(tmp_path / "history")
+    files = landing_files(spark, f"file://{published}", str(tmp_path / "landing"), 2023, [1, 2])
+    attempts = land_files(files)
+    run = append_manifest(attempts, history)
+    assert append_manifest(attempts, history, run) == run
+    append_manifest(land_files(files), history)
+    rows = spark.read.parquet(history).groupBy("status").count().collect()
+    assert sorted(map(tuple, rows)) == [("skipped_already_exists", 2), ("success", 2)]
+    assert read_manifest(spark, history).count() == 4
+    assert len([name for name in os.listdir(history) if name.endswith(".parquet")]) == 2
+
+
 def test_failure_is_described(spark, published, tmp_path):
     row = land_files(landing_files(spark, str(published), str(tmp_path / "l"), 2023, [6])).first()
     assert row.status.startswith("failed: FileNotFoundError: ") and "2023-06" in row.status

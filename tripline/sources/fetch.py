@@ -16,6 +16,7 @@ from tripline.contract import (
     published_url_column,
 )
 from tripline.sources import transfer
+from tripline.sources.filesystem import children, delete, rename
 from tripline.sources.landing import expected_months
 from tripline.sources.scratch import checkpoint_root
 
@@ -153,19 +154,23 @@ def _copy_tasks(ranges: DataFrame, range_bytes: int) -> int:
 def append_manifest(manifest: DataFrame, path: str, run: str | None = None) -> str:
     """Add the attempts of one run to the history at ``path``, and return the run's name.
 
-    A run's attempts are a folder of their own: adding them again under the same ``run``, as after a failure, replaces
-    them, so the history has one row for each attempt at a file.
+    A run's attempts are one file, named after the run: adding them again under the same ``run``, as after a failure,
+    replaces it, so the history has one row for each attempt at a file.
     """
-    run = run or uuid4().hex
+    spark, run = manifest.sparkSession, run or uuid4().hex
     columns = [F.col(name).cast(kind).alias(name) for name, kind in MANIFEST_TYPES.items()]
-    manifest.select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
+    staged, target = f"{path}/.{run}", f"{path}/attempts-{run}.parquet"
+    manifest.select(*columns).coalesce(1).write.mode("overwrite").parquet(staged)
+    part = next(name for name in children(spark, staged) if name.startswith("part-"))
+    delete(spark, target)
+    rename(spark, f"{staged}/{part}", target)
+    delete(spark, staged)
     return run
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """All attempts in the history, with their ``run``."""
-    types = ", ".join(f"{name} {kind.simpleString()}" for name, kind in MANIFEST_TYPES.items())
-    return spark.read.schema(f"{types}, run string").parquet(path)
+    """All attempts in the history."""
+    return spark.read.schema(", ".join(f"{name} {kind.simpleString()}" for name, kind in MANIFEST_TYPES.items())).parquet(path)
 
 
 def ingest_landing(
