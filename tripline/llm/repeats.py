@@ -239,8 +239,7 @@ def _answered(table: pa.Table, crowd: int) -> pa.Table:
         lists = table.column("names").to_pylist()
         return _told(np.repeat(hashes, [len(x) // 8 for x in lists]), np.frombuffer(b"".join(lists), _U64))
     counts, names = joined(table, "counts", _I32), joined(table, "names", _U32)
-    seen = joined(table, "seen", _U8).astype(_I32)
-    seen[seen == 255] = joined(table, "large", _I32)
+    seen = joined(table, "seen", _U8)
     document = np.repeat(np.arange(len(hashes)), counts)
     order = np.argsort(names, kind="stable")
     first = np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1]))
@@ -255,7 +254,10 @@ def _answered(table: pa.Table, crowd: int) -> pa.Table:
     kept = np.flatnonzero(twice)
     codes = np.uint64(bucket) << np.uint64(32) | names[kept].astype(np.uint64)
     out = _told(hashes[document[kept]], codes)
-    many = names[order][first[np.add.reduceat(seen[order], first, dtype=np.int64) >= crowd]]
+    texts = np.add.reduceat(seen[order], first, dtype=np.int64)
+    large = np.flatnonzero(seen == 255)
+    np.add.at(texts, np.searchsorted(names[order[first]], names[large]), joined(table, "large", _I32) - 255)
+    many = names[order[first[texts >= crowd]]]
     if not len(many):
         return out
     codes = (np.uint64(bucket) << np.uint64(32) | many.astype(np.uint64)).astype(_U64)

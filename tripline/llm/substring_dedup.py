@@ -27,7 +27,7 @@ from tripline.llm.repeats import (
 from tripline.llm.store import stored
 
 # Suffixes a task sorts at a time.
-SORTED_AT_ONCE = 1 << 20
+SORTED_AT_ONCE = 1 << 19
 # Bytes to which suffixes are sorted symbol by symbol; groups still equal then go to blind tries.
 SHALLOW = 24
 GRAM = 20
@@ -409,28 +409,33 @@ def _partitioned(symbol: np.ndarray, rank: np.ndarray) -> np.ndarray:
     done at this depth, the others are groups of the next round. Pivots are medians of three, at places that change with
     the round, so no order of the input is a bad one for long.
     """
-    order, values = np.arange(len(symbol)), symbol.copy()
+    order, values = np.arange(len(symbol), dtype=_I32), symbol.copy()
     todo, group, turn = order.copy(), np.asarray(rank), 1
     while len(todo):
         heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         sizes = np.diff(np.append(heads, len(todo)))
-        which, own = np.repeat(np.arange(len(heads)), sizes), values[todo]
+        which, own = np.repeat(np.arange(len(heads), dtype=_I32), sizes), values[todo]
         a, b, c = (own[heads + (heads * 7 + turn * step) % sizes] for step in (0, 40_503, 69_069))
         pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[which]
-        sides = [own < pivot, own == pivot, own > pivot]
-        place, before = np.empty(len(todo), np.int64), heads.copy()
-        for side in sides:
-            counted = np.cumsum(side)
-            earlier = counted[heads] - side[heads]
-            place[side] = (before[which] + counted - 1 - earlier[which])[side]
-            before = before + np.add.reduceat(side, heads, dtype=np.int64)
-        dealt = np.empty(len(todo), np.int64)
-        dealt[place] = np.arange(len(todo))
+        side = (own >= pivot).astype(np.uint8)
+        side += own > pivot
+        del pivot
+        # Of each group those below come first, then the equal ones, then those above.
+        place, before = np.empty(len(todo), _I32), heads.astype(_I32)
+        for kind in range(3):
+            here = side == kind
+            counted = np.cumsum(here, dtype=_I32)
+            offset = before - 1 - counted[heads] + here[heads]
+            place[here] = counted[here] + offset[which[here]]
+            before = before + np.add.reduceat(here, heads, dtype=_I32)
+        dealt = np.empty(len(todo), _I32)
+        dealt[place] = np.arange(len(todo), dtype=_I32)
+        del place
         order[todo], values[todo] = order[todo][dealt], own[dealt]
-        label = (3 * which + sides[1] + 2 * sides[2])[dealt]
-        new = np.append(True, label[1:] != label[:-1])
-        open_ = (label % 3 != 1) & ~(new & np.append(new[1:], True))
-        todo, group, turn = todo[open_], label[open_], turn + 1
+        side = side[dealt]
+        new = np.append(True, (side[1:] != side[:-1]) | (which[1:] != which[:-1]))
+        open_ = (side != 1) & ~(new & np.append(new[1:], True))
+        todo, group, turn = todo[open_], 3 * which[open_] + side[open_], turn + 1
     return order
 
 
