@@ -256,7 +256,17 @@ def _tiles(positives: int, kind):
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, marks, number, part = [], [], 0, 0
 
-        def tile() -> pa.RecordBatch:
+        def tiled() -> Iterator[pa.RecordBatch]:
+            """TILE anchors at most in each; one block may have more."""
+            nonlocal number
+            if any(map(np.any, marks)):
+                anchors = found()
+                for at in range(0, anchors.num_rows, TILE):
+                    some = anchors.slice(at, TILE)
+                    yield some.add_column(0, "tile", pa.array(np.full(some.num_rows, (part << 32) + number)))
+                    number += 1
+
+        def found() -> pa.RecordBatch:
             rows, ids, given, labels = (np.concatenate([getattr(b, x) for b in held]) for x in ("rows", "ids", "given", "labels"))
             raw = np.concatenate([b.raw for b in held])
             at = np.flatnonzero(np.concatenate(marks))
@@ -269,7 +279,6 @@ def _tiles(positives: int, kind):
                     least[mine] = np.partition(scores, -positives, axis=1)[:, -positives].astype(np.int64)
             return pa.RecordBatch.from_pydict(
                 {
-                    "tile": pa.array(np.full(len(at), (part << 32) + number)),
                     "row": pa.array(rows[at]),
                     "vec_id": pa.array(ids[at], mask=~given[at]),
                     "label": pa.array(labels[at]),
@@ -284,26 +293,15 @@ def _tiles(positives: int, kind):
                 part = row["part"]
                 mark = np.frombuffer(row["anchors"], np.bool_)
                 if held and (len(held) >= _STRETCH or sum(map(np.sum, marks)) + mark.sum() > TILE):
-                    if any(map(np.any, marks)):
-                        yield from _halved(tile())
-                        number += 1
+                    yield from tiled()
                     held, marks = [], []
                 held.append(_Block(row, np.int32))
                 marks.append(mark)
-        if any(map(np.any, marks)):
-            yield from _halved(tile())
+        yield from tiled()
 
     return tiles
 
 
-def _halved(tile: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A tile with more than TILE anchors, from one block, is more than one tile."""
-    for k, at in enumerate(range(0, tile.num_rows, TILE)):
-        some = tile.slice(at, TILE)
-        numbers = pa.array(some.column("tile").to_numpy() * 2 + k)
-        yield some.set_column(0, "tile", numbers)
-
-
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Zone maps of many blocks packed into one row."""
     held: list[dict] = []
